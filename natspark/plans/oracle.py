@@ -202,6 +202,11 @@ _TAILS["hourly_profile"] = (
     "SELECT u.user_id, string_agg(s.hour || '=' || coalesce(hb.byte, '0'), ',' ORDER BY s.hour) "
     "AS profile FROM ukeys u CROSS JOIN slots s "
     "LEFT JOIN hb ON hb.user_id = u.user_id AND hb.hour = s.hour GROUP BY u.user_id")
+_TAILS["stream_log_count_5min"] = (
+    _count5("parsed") + " HAVING accesstime < (SELECT max(accesstime) FROM parsed)")
+_TAILS["stream_dim_count_5min"] = (
+    "SELECT * FROM (" + " UNION ALL ".join(_dim(d) for d in ("province", "operator", "city"))
+    + ") d WHERE accesstime < (SELECT max(accesstime) // 1000 FROM gf)")
 _TAILS["word_count"] = ("SELECT word, count(*) AS count FROM "
                         "(SELECT unnest(ws) AS word FROM doc_words) t GROUP BY word")
 

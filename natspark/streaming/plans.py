@@ -1,3 +1,48 @@
-"""Streaming query keys (filled in by the streaming module)."""
+"""Streaming query keys.
 
-STREAM_QUERIES: dict = {}
+Each query writes the syslog lines derived from ``events`` as text files
+under the shared checkpoint folder, runs the streaming pipeline over them
+with ``availableNow`` into a parquet sink, and returns the sink's rows.
+In ``append`` mode the newest window is never emitted (the watermark equals
+its start), which the matching oracle SQL accounts for.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from natspark.session import scratch_path
+from natspark.sources.fixtures import ip_ranges, read_table, syslog_lines
+from natspark.sources.streams import read_text_stream
+from natspark.streaming.pipelines import dim_count_stream, log_count_stream, start_counts
+
+
+def _stream_input(spark: SparkSession, sf: str) -> str:
+    path = scratch_path(spark, "syslog-lines")
+    syslog_lines(read_table(spark, sf, "events")).select("value").write.text(path)
+    return path
+
+
+def _run(spark: SparkSession, counts: DataFrame, name: str) -> DataFrame:
+    out = scratch_path(spark, f"{name}-out")
+    q = start_counts(counts, out, scratch_path(spark, f"{name}-ckpt"),
+                     trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def stream_log_count_5min(spark: SparkSession, sf: str) -> DataFrame:
+    lines = read_text_stream(spark, _stream_input(spark, sf))
+    return _run(spark, log_count_stream(lines), "log-count")
+
+
+def stream_dim_count_5min(spark: SparkSession, sf: str) -> DataFrame:
+    lines = read_text_stream(spark, _stream_input(spark, sf))
+    ranges = ip_ranges(read_table(spark, sf, "nation"))
+    return _run(spark, dim_count_stream(lines, ranges), "dim-count")
+
+
+STREAM_QUERIES = {
+    "stream_log_count_5min": stream_log_count_5min,
+    "stream_dim_count_5min": stream_dim_count_5min,
+}
