@@ -10,7 +10,8 @@ from natspark.functions.split import _c
 
 def strip_protocol(col) -> Column:
     """Remove one trailing ``:``."""
-    return F.regexp_replace(_c(col), r":\z", "")
+    c = _c(col)
+    return F.when(c.endswith(":"), c.substr(F.lit(1), F.length(c) - 1)).otherwise(c)
 
 
 def to_json_doc(cols) -> Column:

@@ -16,18 +16,30 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# Separator patterns whose trailing runs are exactly a run of characters from
+# a set, so a character-set ``rtrim`` strips them (much cheaper than a regex).
+# ``\\s`` is the JVM's whitespace class.
+TRIM_SETS = {",": ",", ":": ":", " ": " ", "\\.": ".", "\\|": "|", "[->()]": "->()",
+             "\\s+": " \t\n\x0b\f\r"}
+
+
 def jsplit(col, pattern: str) -> Column:
     """Split ``col`` on the regex ``pattern``; trailing empty parts dropped.
 
-    Trailing separators are stripped first (a possessive group anchored at
-    the absolute end, so it cannot backtrack), then Spark's ``split`` runs;
-    an input made only of separators has no part.  Valid for separators that
-    never match the empty string.  Everything stays code-generated."""
+    Trailing separators are stripped first (``rtrim`` for the character
+    separators above, else a possessive regex anchored at the absolute end),
+    then Spark's ``split`` runs once.  ``split('')`` is ``['']``: right for an
+    empty input, while an input made only of separators has no part.  Valid
+    for separators that never match the empty string."""
     c = _c(col)
-    body = F.regexp_replace(c, f"(?:{pattern})++\\z", "")
-    return (F.when(c == F.lit(""), F.array(F.lit("")))
-            .when(body == F.lit(""), F.array().cast("array<string>"))
-            .otherwise(F.split(body, pattern)))
+    chars = TRIM_SETS.get(pattern)
+    if chars is not None:
+        body = F.rtrim(c, F.lit(chars))
+    else:
+        body = F.regexp_replace(c, f"(?:{pattern})++\\z", "")
+    parts = F.split(body, pattern)
+    only_separators = (F.size(parts) == 1) & (F.get(parts, 0) == F.lit("")) & (c != F.lit(""))
+    return F.when(only_separators, F.array().cast("array<string>")).otherwise(parts)
 
 
 def item(arr: Column, index: int) -> Column:

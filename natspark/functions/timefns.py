@@ -19,7 +19,7 @@ def floor_minutes_ms(col, grain_minutes: int = 5) -> Column:
     parse (the reference raises there)."""
     if 60 % grain_minutes:
         raise ValueError("grain_minutes must divide 60")
-    s = F.regexp_replace(_c(col), "T", " ")
+    s = F.translate(_c(col), "T", " ")
     mm = F.substring(s, 15, 2)
     minute = F.when(mm.rlike("^[0-9]{1,2}$"), mm.cast("int"))
     floored = F.lpad((minute - minute % grain_minutes).cast("string"), 2, "0")

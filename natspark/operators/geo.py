@@ -10,7 +10,7 @@ from natspark.functions.split import item, jsplit
 from natspark.operators.broadcast import (DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast,
                                           row_count_at_most)
 from natspark.operators.rangejoin import (DEFAULT_BUCKET_BITS, bucket_join, bucketed_ranges,
-                                          sweep_lookup)
+                                          containing_ranges, disjoint_segments, sweep_lookup)
 
 # Fixed values from the reference: the unresolved sentinel (capital K), the
 # spelling its geo filter tests against (lower-case k), and the default
@@ -76,6 +76,17 @@ def geo_filter(df: DataFrame, drop_unresolved: bool = False) -> DataFrame:
     return df.where(c1 & c2)
 
 
+def app_segments(apps: DataFrame, bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
+    """Disjoint ``[seg_lo, seg_hi]`` segments of the application ranges,
+    each with the winning app (largest ``ord`` among the half-open ranges
+    covering it).  Computed on the range table alone: segments come from a
+    per-bucket window, winners from an exact dyadic-block equi-join."""
+    ranges = apps.select("start", (F.col("end") - 1).alias("_last"), "app", "ord")
+    segs = disjoint_segments(ranges, "start", "_last", bits)
+    covering = containing_ranges(segs, "_seg_lo", ranges, "start", "_last")
+    return covering.groupBy("_seg_lo", "_seg_hi").agg(F.max_by("app", "ord").alias("app"))
+
+
 def app_name(df: DataFrame, apps: DataFrame, ip_col: str = "targetIp", out: str = "app",
              bits: int = DEFAULT_BUCKET_BITS,
              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
@@ -83,15 +94,17 @@ def app_name(df: DataFrame, apps: DataFrame, ip_col: str = "targetIp", out: str
     one with the largest ``ord`` wins where ranges overlap (the reference
     keeps the last match in list order), ``其他`` when none holds it.
 
-    Distinct addresses are matched (so a hot address is one row), reduced
-    to one app each, and joined back."""
+    Overlaps are resolved once on the range table (``app_segments``), so
+    each address matches at most one segment: under the row bound the
+    segments are broadcast and the rows are never shuffled; above it the
+    distinct addresses are swept against the segments and joined back."""
+    segs = app_segments(apps, bits).withColumnRenamed("app", "_app")
     pts = df.withColumn("_ip", ip_to_long(F.col(ip_col)))
-    distinct_ips = pts.select("_ip").distinct()
-    ranges = apps.select("start", (F.col("end") - 1).alias("_last"), "app", "ord")
-    bucketed = bucketed_ranges(ranges, "start", "_last", bits, "_rb")
-    small = max_broadcast_rows > 0 and row_count_at_most(bucketed, max_broadcast_rows)
-    matched = bucket_join(distinct_ips, "_ip", ranges, "start", "_last", bits, "inner", small)
-    winner = matched.groupBy("_ip").agg(F.max_by("app", "ord").alias("_app"))
-    winner = bounded_broadcast(winner, max_broadcast_rows)
-    joined = pts.join(winner, "_ip", "left")
+    bucketed = bucketed_ranges(segs, "_seg_lo", "_seg_hi", bits, "_rb")
+    if max_broadcast_rows > 0 and row_count_at_most(bucketed, max_broadcast_rows):
+        joined = bucket_join(pts, "_ip", segs, "_seg_lo", "_seg_hi", bits, "left", True)
+    else:
+        resolved = sweep_lookup(pts, "_ip", segs, "_seg_lo", "_seg_hi", ["_app"], bits)
+        resolved = bounded_broadcast(resolved, max_broadcast_rows)
+        joined = pts.join(resolved, "_ip", "left")
     return joined.select(*df.columns, F.coalesce(F.col("_app"), F.lit(OTHER_APP)).alias(out))

@@ -66,3 +66,52 @@ def sweep_lookup(points: DataFrame, point: str, ranges: DataFrame, lo: str, hi:
         F.col("_pos").alias(point),
         F.when(F.col("_hit._hi") >= F.col("_pos"), F.col("_hit")).alias("_hit"))
     return found.select(point, *[F.col(f"_hit.{p}").alias(p) for p in payload])
+
+
+MAX_LEVEL = 32
+
+
+def dyadic_blocks(ranges: DataFrame, lo: str, hi: str) -> DataFrame:
+    """Canonical decomposition of each inclusive ``[lo, hi]`` into maximal
+    aligned power-of-two blocks ``(_level, _block)``: block ``j`` of level
+    ``k`` covers ``[j * 2^k, (j + 1) * 2^k - 1]``.  At each level only the
+    leftmost and rightmost inside blocks can be maximal, so a range yields
+    at most 2 * 33 rows."""
+    lv = ranges.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(MAX_LEVEL))))
+    first = F.expr(f"shiftright({lo} + shiftleft(1L, _level) - 1, _level)")
+    last = F.expr(f"shiftright({hi} + 1, _level) - 1")
+    cand = lv.withColumn("_block", F.explode(F.array_distinct(F.array(first, last))))
+    inside = F.expr(f"shiftleft(_block, _level) >= {lo} AND "
+                    f"shiftleft(_block + 1, _level) - 1 <= {hi}")
+    parent_inside = F.expr(f"_level < {MAX_LEVEL} AND "
+                           f"shiftleft(shiftright(_block, 1), _level + 1) >= {lo} AND "
+                           f"shiftleft(shiftright(_block, 1) + 1, _level + 1) - 1 <= {hi}")
+    return cand.where(inside & ~parent_inside)
+
+
+def containing_ranges(points: DataFrame, point: str, ranges: DataFrame, lo: str,
+                      hi: str) -> DataFrame:
+    """Every (point, range) pair with ``lo <= point <= hi``, as an equi-join
+    of the point's 33 ancestor blocks with the ranges' dyadic blocks: each
+    joined row is a true containment, no candidate is filtered away."""
+    anc = (points.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(MAX_LEVEL))))
+           .withColumn("_block", F.expr(f"shiftright({point}, _level)")))
+    return anc.join(dyadic_blocks(ranges, lo, hi), ["_level", "_block"]).drop("_level", "_block")
+
+
+def disjoint_segments(ranges: DataFrame, lo: str, hi: str, bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
+    """Cut the (possibly overlapping) inclusive ranges at every range start,
+    every range end + 1 and every bucket start they touch: ``_seg_lo`` /
+    ``_seg_hi`` segments, none crossing a bucket, over which the set of
+    covering ranges is constant.  The neighbour lookup is a window per
+    bucket, so no window partition exceeds one bucket's boundaries."""
+    starts = ranges.select(F.col(lo).alias("_p"))
+    ends = ranges.select((F.col(hi) + 1).alias("_p"))
+    buckets = bucketed_ranges(ranges, lo, hi, bits, "_b").select(
+        F.shiftleft(F.col("_b"), bits).alias("_p"))
+    points = starts.unionByName(ends).unionByName(buckets).distinct()
+    points = points.withColumn("_b", F.shiftright("_p", bits))
+    w = Window.partitionBy("_b").orderBy("_p")
+    bucket_end = F.shiftleft(F.col("_b") + 1, bits) - 1
+    return points.select(F.col("_p").alias("_seg_lo"),
+                         F.coalesce(F.lead("_p").over(w) - 1, bucket_end).alias("_seg_hi"))

@@ -19,7 +19,9 @@ from natspark.operators import aggregate as agg
 from natspark.operators.enrich import enrich_user, index_docs, index_lookup as lookup
 from natspark.operators.geo import app_name as resolve_app, geo_filter as gfilter, resolve_geo as rgeo
 from natspark.operators.parse import parse_nat_log as parse, parse_rejects as rejects
+from natspark.operators.partitioning import ensure_parallelism
 from natspark.schemas import ADDRESS_FIELDS, NAT_LOG_COLUMNS, NAT_RECORD_COLUMNS
+from natspark.session import ensure_checkpoint_dir
 from natspark.sinks import latest_by_key, record_rows, user_log_lines
 from natspark.sources.fixtures import (app_ranges, ip_ranges, online_users, read_table,
                                        syslog_lines)
@@ -32,7 +34,9 @@ HOT_GRAIN, HOT_MIN = "1 day", 1
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    return syslog_lines(read_table(spark, sf, "events"))
+    """Syslog lines, spread over the cores when the source is a few large
+    files (the parse is the CPU-heavy step)."""
+    return ensure_parallelism(syslog_lines(read_table(spark, sf, "events")), key="seq")
 
 
 def logs(spark: SparkSession, sf: str, keep=("seq",)) -> DataFrame:
@@ -92,14 +96,18 @@ def record_store(spark, sf):
 
 
 def index_lookup(spark, sf):
-    rec = records(spark, sf, keep=())
+    # The index and the records are both read from one stored copy (the
+    # reference writes both tables, then searches): checkpoint() writes it to
+    # the shared checkpoint folder and cuts the lineage.
+    ensure_checkpoint_dir(spark)
+    rec = records(spark, sf, keep=()).checkpoint(eager=True)
     q = dict(INDEX_QUERY)
     return lookup(index_docs(rec), rec, q.pop("time_from"), q.pop("time_to"), **q).select(
         *NAT_RECORD_COLUMNS)
 
 
 def resolve_geo(spark, sf):
-    return geo(spark, sf, keep=()).drop("seq")
+    return geo(spark, sf, keep=())
 
 
 def geo_filter(spark, sf):
@@ -148,7 +156,8 @@ def province_running_max(spark, sf):
 
 
 def word_count(spark, sf):
-    docs = read_table(spark, sf, "documents")
+    docs = ensure_parallelism(read_table(spark, sf, "documents").select("doc_id", "text"),
+                              key="doc_id")
     text = docs.select(F.explode(text_lines(F.col("text"))).alias("value"))
     return agg.word_count(text)
 

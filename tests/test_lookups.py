@@ -137,3 +137,40 @@ def test_index_lookup(spark):
     hit = index_lookup(idx, rec, time_from=500, targetIp="5.0.0.2")
     assert rows(hit, "targetIp", "accesstime") == [("5.0.0.2", 1000)]
     assert index_lookup(idx, rec, time_to=500, targetIp="5.0.0.2").count() == 0
+
+
+def test_dyadic_containment_matches_bruteforce(spark):
+    import random
+    from natspark.operators.rangejoin import containing_ranges
+    rnd = random.Random(11)
+    data = []
+    for i in range(60):
+        lo = rnd.randrange(0, 1 << 32)
+        hi = min((1 << 32) - 1, lo + rnd.choice([0, 1, 255, 65535, rnd.randrange(1 << 28)]))
+        data.append((lo, hi, i))
+    data.append((0, (1 << 32) - 1, 99))
+    rg = spark.createDataFrame(data, "lo long, hi long, rid long")
+    pts = [rnd.randrange(0, 1 << 32) for _ in range(300)] + [d[0] for d in data] + [d[1] for d in data]
+    pdf = spark.createDataFrame([(p,) for p in set(pts)], "p long")
+    got = sorted((r.p, r.rid) for r in containing_ranges(pdf, "p", rg, "lo", "hi").collect())
+    want = sorted((p, rid) for p in set(pts) for lo, hi, rid in data if lo <= p <= hi)
+    assert got == want
+
+
+def test_app_segments_overlap_bruteforce(spark):
+    import random
+    rnd = random.Random(5)
+    apps = []
+    ords = rnd.sample(range(1000), 40)           # unique: the winner is well defined
+    for i in range(40):
+        s = rnd.randrange(0, 1 << 24) << 8
+        apps.append((s, s + rnd.choice([1, 256, 70000, 1 << 20]), f"A{i}", ords[i]))
+    adf = spark.createDataFrame(apps, "start long, end long, app string, ord long")
+    ips = [rnd.randrange(0, 1 << 32) for _ in range(200)] + [a[0] for a in apps] + [a[1] for a in apps]
+    lg = logs(spark, [("s", "%d.%d.%d.%d" % (p >> 24, (p >> 16) & 255, (p >> 8) & 255, p & 255)) for p in ips])
+    got = {r.targetIp: r.app for r in app_name(lg, adf).collect()}
+    for p in ips:
+        hits = [(o, a) for s, e, a, o in apps if s <= p < e]
+        want = max(hits)[1] if hits else "其他"
+        key = "%d.%d.%d.%d" % (p >> 24, (p >> 16) & 255, (p >> 8) & 255, p & 255)
+        assert got[key] == want, key
