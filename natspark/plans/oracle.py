@@ -204,6 +204,8 @@ _TAILS["hourly_profile"] = (
     "LEFT JOIN hb ON hb.user_id = u.user_id AND hb.hour = s.hour GROUP BY u.user_id")
 _TAILS["stream_log_count_5min"] = (
     _count5("parsed") + " HAVING accesstime < (SELECT max(accesstime) FROM parsed)")
+_TAILS["stream_matched_count_5min"] = (
+    _count5("records") + " HAVING accesstime < (SELECT max(accesstime) FROM records)")
 _TAILS["stream_dim_count_5min"] = (
     "SELECT * FROM (" + " UNION ALL ".join(_dim(d) for d in ("province", "operator", "city"))
     + ") d WHERE accesstime < (SELECT max(accesstime) // 1000 FROM gf)")

@@ -91,7 +91,7 @@ def start_counts(counts: DataFrame, path: str, checkpoint: str, trigger: dict |
 
 
 def start_province_updates(flow: DataFrame, path: str, checkpoint: str,
-                           slice_seconds: int = 5):
+                           slice_seconds: int = 5, trigger: dict | None = None):
     """A7 + A8 on a stream: the province counts in ``update`` mode, with
     each trigger's changed rows written under its batch id.  With a
     ``slice_seconds`` processing-time trigger the per-batch rows are the
@@ -103,4 +103,4 @@ def start_province_updates(flow: DataFrame, path: str, checkpoint: str,
 
     return (counts.writeStream.outputMode("update").foreachBatch(write)
             .option("checkpointLocation", checkpoint)
-            .trigger(processingTime=f"{slice_seconds} seconds").start())
+            .trigger(**(trigger or {"processingTime": f"{slice_seconds} seconds"})).start())

@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from natspark.session import scratch_path
-from natspark.sources.fixtures import ip_ranges, read_table, syslog_lines
+from natspark.sources.fixtures import ip_ranges, online_users, read_table, syslog_lines
 from natspark.sources.streams import read_text_stream
-from natspark.streaming.pipelines import dim_count_stream, log_count_stream, start_counts
+from natspark.streaming.pipelines import (dim_count_stream, log_count_stream,
+                                         matched_count_stream, start_counts)
 
 
 def _stream_input(spark: SparkSession, sf: str) -> str:
@@ -42,7 +43,14 @@ def stream_dim_count_5min(spark: SparkSession, sf: str) -> DataFrame:
     return _run(spark, dim_count_stream(lines, ranges), "dim-count")
 
 
+def stream_matched_count_5min(spark: SparkSession, sf: str) -> DataFrame:
+    lines = read_text_stream(spark, _stream_input(spark, sf))
+    users = online_users(read_table(spark, sf, "customer"))
+    return _run(spark, matched_count_stream(lines, users), "matched-count")
+
+
 STREAM_QUERIES = {
     "stream_log_count_5min": stream_log_count_5min,
     "stream_dim_count_5min": stream_dim_count_5min,
+    "stream_matched_count_5min": stream_matched_count_5min,
 }
