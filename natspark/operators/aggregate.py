@@ -78,16 +78,30 @@ def count_by_province(spark, view: str = "nat_flow") -> DataFrame:
 
 
 def province_running_max(df: DataFrame, slice_size: str = "5 seconds",
-                         ts_col: str = "ts", key: str = "province") -> DataFrame:
+                         ts_col: str = "ts", key: str = "province",
+                         block: str = "1 day") -> DataFrame:
     """For each window with activity, the running count per province at its
     last update: counts only grow, so the max over the changelog equals the
-    cumulative count up to the window's end."""
+    cumulative count up to the window's end.
+
+    The running sum is two-level so that no window partition holds a
+    province's whole history: sums within ``(province, block)`` partitions,
+    plus the total of all earlier blocks (a window over one row per block)."""
     per = df.groupBy(key, F.window(ts_col, slice_size).alias("w")).agg(
         F.count(F.lit(1)).alias("cnt"))
-    running = Window.partitionBy(key).orderBy(F.col("w.start")).rowsBetween(
+    per = per.select(key, F.col("w.start").alias("_start"),
+                     F.window(F.col("w.start"), block).start.alias("_block"), "cnt")
+    inner = Window.partitionBy(key, "_block").orderBy("_start").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    within = per.withColumn("_run", F.sum("cnt").over(inner))
+    totals = per.groupBy(key, "_block").agg(F.sum("cnt").alias("_tot"))
+    outer = Window.partitionBy(key).orderBy("_block").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    return per.select(key, F.unix_millis(F.col("w.start")).alias("window_start"),
-                      F.sum("cnt").over(running).alias("resolver"))
+    offsets = totals.select(key, "_block", (F.sum("_tot").over(outer) - F.col("_tot"))
+                            .alias("_before"))
+    return within.join(offsets, [key, "_block"]).select(
+        key, F.unix_millis("_start").alias("window_start"),
+        (F.col("_run") + F.col("_before")).alias("resolver"))
 
 
 def words(lines: DataFrame, text_col: str = "value", keep=()) -> DataFrame:

@@ -81,3 +81,17 @@ def test_count_by_province_sql(spark):
     df = spark.createDataFrame([("P1",), ("P1",), ("P2",)], "province string")
     df.createOrReplaceTempView("nat_flow_test")
     assert rows(agg.count_by_province(spark, "nat_flow_test")) == [("P1", 2), ("P2", 1)]
+
+
+def test_province_running_max_across_blocks(spark):
+    rnd = random.Random(9)
+    events = [(T0 + dt.timedelta(seconds=rnd.randrange(4 * 86400)), rnd.choice("AB")) for _ in range(300)]
+    df = timed(spark, events, "ts timestamp, province string")
+    got = {(r.province, r.window_start): r.resolver
+           for r in agg.province_running_max(df, block="1 day").collect()}
+    counts, want = {}, {}
+    for ts, p in sorted(events):
+        counts[p] = counts.get(p, 0) + 1
+        w = int(ts.replace(tzinfo=dt.timezone.utc).timestamp()) // 5 * 5000
+        want[(p, w)] = max(want.get((p, w), 0), counts[p])
+    assert got == want
