@@ -98,11 +98,11 @@ def parse_nat_log(lines: DataFrame, value: str = "value", grain_minutes: int = 5
     parsed = parse_all(lines, value, grain_minutes, keep)
     cols = [*keep, *NAT_LOG_COLUMNS]
     if mode == "fail":
-        guard = F.when(F.col("reason").isNotNull(),
-                       F.raise_error(F.concat(F.lit("malformed NAT log ("),
-                                              F.col("reason"), F.lit("): "),
-                                              F.col("_line"))))
-        return _select_rows(parsed, F.col("_arity_ok") & guard.isNull(), cols)
+        malformed = F.col("_arity_ok") & F.col("reason").isNotNull()
+        message = F.concat(F.lit("malformed NAT log ("), F.col("reason"), F.lit("): "),
+                           F.col("_line"))
+        keep_row = F.when(malformed, F.raise_error(message)).otherwise(F.col("_arity_ok"))
+        return _select_rows(parsed, keep_row, cols)
     if mode != "drop":
         raise ValueError("mode must be 'drop' or 'fail'")
     return _select_rows(parsed, F.col("_arity_ok") & F.col("reason").isNull(), cols)

@@ -15,7 +15,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
     ``key`` should be unique per row (an offset): hash partitioning on it is
     deterministic under task retries and cannot concentrate a repeated line
     in one partition.  Without a key a round-robin repartition is used."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Connect session): leave the plan as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)
