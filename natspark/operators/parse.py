@@ -18,12 +18,9 @@ keeps each split computed once per line.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from natspark.functions.split import item, jsplit
-from natspark.functions.docs import strip_protocol
-from natspark.functions.timefns import floor_minutes_ms
+from natspark.functions import sqlexpr as X
 from natspark.schemas import NAT_LOG_COLUMNS
 
 # The field order of the reference's evaluation, which decides
@@ -32,51 +29,55 @@ REASON_ORDER = ["accesstime", "hostIP", "flow", "source", "target", "converted",
                 "protocol", "sourceIp", "sourcePort", "targetIp", "targetPort",
                 "convertedIp", "convertedPort"]
 
+# Column holding each REASON_ORDER field (or the intermediate it comes from).
+_PRESENT = {"accesstime": "accesstime", "hostIP": "hostIP", "flow": "_flow",
+            "source": "_source", "target": "_target", "converted": "_converted",
+            "protocol": "protocol", **{n: n for n in REASON_ORDER[7:]}}
+_PAIRS = {"source": "_source", "target": "_target", "converted": "_converted"}
+# The reference's separators.
+COMMA, WHITESPACE, SNAT, FLOW, PORT = ",", r"\s+", " snat to ", "[->()]", ":"
+
 
 def _fields(lines: DataFrame, value: str, grain_minutes: int, keep: list[str]) -> DataFrame:
-    v = F.col(value).cast("string")
-    stage1 = lines.select(*keep, v.alias("_line"), jsplit(v, ",").alias("_parts"))
-    stage2 = stage1.select(
-        *keep, "_line", (F.size("_parts") >= 2).alias("_arity_ok"),
-        jsplit(item(F.col("_parts"), 0), r"\s+").alias("_tok"),
-        jsplit(item(F.col("_parts"), 1), " snat to ").alias("_conv"))
-    stage3 = stage2.select(
-        *keep, "_line", "_arity_ok",
-        floor_minutes_ms(item(F.col("_tok"), 0), grain_minutes).alias("accesstime"),
-        item(F.col("_tok"), 1).alias("hostIP"),
-        item(F.col("_tok"), 6).alias("_flow"),
-        item(F.col("_conv"), 1).alias("_converted"))
-    stage4 = stage3.select(
-        *keep, "_line", "_arity_ok", "accesstime", "hostIP", "_flow", "_converted",
-        jsplit(F.col("_flow"), "[->()]").alias("_fl"))
-    stage5 = stage4.select(
-        *keep, "_line", "_arity_ok", "accesstime", "hostIP", "_flow", "_converted",
-        item(F.col("_fl"), 0).alias("_source"),
-        item(F.col("_fl"), 2).alias("_target"),
-        strip_protocol(item(F.col("_fl"), 3)).alias("protocol"))
-    pairs = {"source": "_source", "target": "_target", "converted": "_converted"}
-    stage6 = stage5.select(
-        *keep, "_line", "_arity_ok", "accesstime", "hostIP", "protocol", "_flow", *pairs.values(),
-        *[jsplit(F.col(c), ":").alias(f"_{k}_p") for k, c in pairs.items()])
-    out = stage6.select(
-        *keep, "_line", "_arity_ok", "accesstime", "hostIP", "protocol", "_flow", *pairs.values(),
-        *[item(F.col(f"_{k}_p"), 0).alias(f"{k}Ip") for k in pairs],
-        *[item(F.col(f"_{k}_p"), 1).alias(f"{k}Port") for k in pairs])
-    present = {"accesstime": "accesstime", "hostIP": "hostIP", "flow": "_flow",
-               "source": "_source", "target": "_target", "converted": "_converted",
-               "protocol": "protocol"}
-    present.update({n: n for n in REASON_ORDER[7:]})
-    reason = F.coalesce(*[F.when(F.col(present[n]).isNull(), F.lit(n))
-                          for n in REASON_ORDER])
-    return out.select(*keep, "_line", "_arity_ok", *NAT_LOG_COLUMNS,
-                      reason.alias("reason"))
-
-
-def _select_rows(df: DataFrame, keep_row: Column, cols: list[str]) -> DataFrame:
-    """Rows where ``keep_row`` holds, projected to ``cols``, without a Filter
-    node (see the module note): ``inline`` of a null array yields no row."""
-    row = F.struct(*[F.col(c) for c in cols])
-    return df.select(F.inline(F.when(keep_row, F.array(row))))
+    """Six projections, each one ``selectExpr``; every split is computed once
+    and referenced by name in the next stage."""
+    k = [X.ident(c) for c in keep]
+    v = f"CAST({X.ident(value)} AS STRING)"
+    stage1 = lines.selectExpr(*k, f"{v} AS _line", f"{X.jsplit(v, COMMA)} AS _parts")
+    stage2 = stage1.selectExpr(
+        *k, "_line", "size(_parts) >= 2 AS _arity_ok",
+        f"{X.jsplit(X.item('_parts', 0), WHITESPACE)} AS _tok",
+        f"{X.jsplit(X.item('_parts', 1), SNAT)} AS _conv")
+    stage3 = stage2.selectExpr(
+        *k, "_line", "_arity_ok",
+        f"{X.floor_minutes_ms(X.item('_tok', 0), grain_minutes)} AS accesstime",
+        f"{X.item('_tok', 1)} AS hostIP", f"{X.item('_tok', 6)} AS _flow",
+        f"{X.item('_conv', 1)} AS _converted")
+    stage4 = stage3.selectExpr(
+        *k, "_line", "_arity_ok", "accesstime", "hostIP", "_flow", "_converted",
+        f"{X.jsplit('_flow', FLOW)} AS _fl")
+    stage5 = stage4.selectExpr(
+        *k, "_line", "_arity_ok", "accesstime", "hostIP", "_flow", "_converted",
+        f"{X.item('_fl', 0)} AS _source", f"{X.item('_fl', 2)} AS _target",
+        f"{X.strip_protocol(X.item('_fl', 3))} AS protocol")
+    stage6 = stage5.selectExpr(
+        *k, "_line", "_arity_ok", "accesstime", "hostIP", "protocol", "_flow", *_PAIRS.values(),
+        *[f"{X.jsplit(c, PORT)} AS _{n}_p" for n, c in _PAIRS.items()])
+    out = stage6.selectExpr(
+        *k, "_line", "_arity_ok", "accesstime", "hostIP", "protocol", "_flow", *_PAIRS.values(),
+        *[f"{X.item(f'_{n}_p', 0)} AS {n}Ip" for n in _PAIRS],
+        *[f"{X.item(f'_{n}_p', 1)} AS {n}Port" for n in _PAIRS])
+    reason = "coalesce(" + ", ".join(
+        f"CASE WHEN {_PRESENT[n]} IS NULL THEN {X.lit(n)} END" for n in REASON_ORDER) + ")"
+    return out.selectExpr(*k, "_line", "_arity_ok", *NAT_LOG_COLUMNS, f"{reason} AS reason")
+
+
+def _select_rows(df: DataFrame, keep_row: str, cols: list[str]) -> DataFrame:
+    """Rows where the SQL condition ``keep_row`` holds, projected to
+    ``cols``, without a Filter node (see the module note): ``inline`` of a
+    null array yields no row."""
+    row = "struct(" + ", ".join(X.ident(c) for c in cols) + ")"
+    return df.selectExpr(f"inline(CASE WHEN {keep_row} THEN array({row}) END)")
 
 
 def parse_all(lines: DataFrame, value: str = "value", grain_minutes: int = 5,
@@ -98,14 +99,12 @@ def parse_nat_log(lines: DataFrame, value: str = "value", grain_minutes: int = 5
     parsed = parse_all(lines, value, grain_minutes, keep)
     cols = [*keep, *NAT_LOG_COLUMNS]
     if mode == "fail":
-        malformed = F.col("_arity_ok") & F.col("reason").isNotNull()
-        message = F.concat(F.lit("malformed NAT log ("), F.col("reason"), F.lit("): "),
-                           F.col("_line"))
-        keep_row = F.when(malformed, F.raise_error(message)).otherwise(F.col("_arity_ok"))
+        keep_row = ("CASE WHEN _arity_ok AND reason IS NOT NULL THEN raise_error(concat("
+                    "'malformed NAT log (', reason, '): ', _line)) ELSE _arity_ok END")
         return _select_rows(parsed, keep_row, cols)
     if mode != "drop":
         raise ValueError("mode must be 'drop' or 'fail'")
-    return _select_rows(parsed, F.col("_arity_ok") & F.col("reason").isNull(), cols)
+    return _select_rows(parsed, "_arity_ok AND reason IS NULL", cols)
 
 
 def parse_rejects(lines: DataFrame, value: str = "value", grain_minutes: int = 5,
@@ -113,6 +112,6 @@ def parse_rejects(lines: DataFrame, value: str = "value", grain_minutes: int = 5
     """Lines that pass the arity filter but miss a required field:
     ``keep`` columns, ``line`` and ``reason``."""
     parsed = parse_all(lines, value, grain_minutes, keep)
-    rejected = _select_rows(parsed, F.col("_arity_ok") & F.col("reason").isNotNull(),
+    rejected = _select_rows(parsed, "_arity_ok AND reason IS NOT NULL",
                             [*keep, "_line", "reason"])
     return rejected.withColumnRenamed("_line", "line")

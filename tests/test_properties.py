@@ -6,6 +6,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from natspark.functions import jsplit
+from natspark.functions import sqlexpr
 from natspark.operators.partitioning import ensure_parallelism
 
 SEPARATORS = [",", ":", " ", r"\s+", "[->()]", r"\.", r"\|", " snat to "]
@@ -29,9 +30,11 @@ texts = st.lists(st.text(alphabet="ab,: \t.|->()snato", max_size=14), min_size=1
 def test_jsplit_matches_java_contract(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     cols = [jsplit(F.col("v"), p).alias(f"c{i}") for i, p in enumerate(SEPARATORS)]
-    for row, v in zip(df.select("v", *cols).collect(), [r.v for r in df.collect()]):
+    cols += [F.expr(sqlexpr.jsplit("v", p)).alias(f"s{i}") for i, p in enumerate(SEPARATORS)]
+    for row in df.select("v", *cols).collect():
         for i, p in enumerate(SEPARATORS):
             assert row[f"c{i}"] == java_split(row.v, p), (row.v, p)
+            assert row[f"s{i}"] == java_split(row.v, p), (row.v, p)
 
 
 def test_ensure_parallelism(spark):
