@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from natspark.functions.hashing import rowkey
-from natspark.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from natspark.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
+from natspark.operators.joins import DEFAULT_SALTS, salted_join
 from natspark.schemas import INDEX_DOC_COLUMNS
 
 # Fixed value: the reference's sentinel for a source address with no login.
@@ -26,22 +27,27 @@ def with_rowkey(df: DataFrame) -> DataFrame:
 
 
 def enrich_user(logs: DataFrame, users: DataFrame, keep_unknown: bool = False,
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                salts: int = DEFAULT_SALTS) -> DataFrame:
     """``NAT_RECORD``: logs plus ``username`` and ``rowkey``.
 
     ``sourceIp`` is looked up in the deduplicated users; a miss (or a null
     login) is ``UnKnown`` and, unless ``keep_unknown``, dropped together
     with any login literally named ``UnKnown``.  Without ``keep_unknown`` the
     lookup is an inner join, so the sentinel filter lands on the user side
-    before the join.  The user side is broadcast only under the row bound;
-    otherwise it is a shuffle join on the address (AQE splits hot ones)."""
+    before the join.  The user side is broadcast when it has at most
+    ``max_broadcast_rows`` rows (no shuffle of the logs); otherwise the join
+    is a salted shuffle join, so one hot source address does not end up in
+    a single task."""
     dim = latest_users(users).select(F.col("framedip").alias("_ip"),
                                      F.col("loginname").alias("_login"))
-    dim = bounded_broadcast(dim, max_broadcast_rows)
-    joined = logs.join(dim, logs["sourceIp"] == dim["_ip"],
-                       "left" if keep_unknown else "inner")
+    how = "left" if keep_unknown else "inner"
+    if max_broadcast_rows > 0 and row_count_at_most(dim, max_broadcast_rows):
+        joined = logs.join(F.broadcast(dim), logs["sourceIp"] == dim["_ip"], how)
+    else:
+        joined = salted_join(logs, dim, "sourceIp", "_ip", how, salts)
     username = F.coalesce(F.col("_login"), F.lit(UNKNOWN_USER))
-    out = joined.select(*[logs[c] for c in logs.columns], username.alias("username"))
+    out = joined.select(*[F.col(c) for c in logs.columns], username.alias("username"))
     if not keep_unknown:
         out = out.where(F.col("username") != F.lit(UNKNOWN_USER))
     return with_rowkey(out)

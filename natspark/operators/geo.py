@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from natspark.functions.ipaddr import ip_to_long, ip_to_long_strict
 from natspark.functions.split import item, jsplit
-from natspark.operators.broadcast import (DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast,
-                                          row_count_at_most)
+from natspark.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
+from natspark.operators.joins import lookup_join
 from natspark.operators.rangejoin import (DEFAULT_BUCKET_BITS, bucket_join, bucketed_ranges,
                                           containing_ranges, disjoint_segments, sweep_lookup)
 
@@ -45,7 +45,8 @@ def resolve_geo(logs: DataFrame, ranges: DataFrame, ip_col: str = "targetIp",
 
     Ranges must not overlap.  Under the row bound the bucketed ranges are
     broadcast and the logs are never shuffled; above it the distinct
-    addresses are resolved by ``sweep_lookup`` and joined back."""
+    addresses are resolved by ``sweep_lookup`` and joined back (broadcast
+    under the bound, else a salted shuffle join against a hot address)."""
     located = parse_location(ranges)
     pts = logs.withColumn("_ip", ip_to_long_strict(F.col(ip_col)))
     bucketed = bucketed_ranges(located, "startip", "endip", bits, "_rb")
@@ -53,8 +54,7 @@ def resolve_geo(logs: DataFrame, ranges: DataFrame, ip_col: str = "targetIp",
         joined = bucket_join(pts, "_ip", located, "startip", "endip", bits, "left", True)
     else:
         resolved = sweep_lookup(pts, "_ip", located, "startip", "endip", list(GEO_FIELDS), bits)
-        resolved = bounded_broadcast(resolved, max_broadcast_rows)
-        joined = pts.join(resolved, "_ip", "left")
+        joined = lookup_join(pts, resolved, "_ip", "left", max_broadcast_rows)
     return joined.select(*logs.columns,
                          *[F.coalesce(F.col(f), F.lit(UNRESOLVED)).alias(f)
                            for f in GEO_FIELDS])
@@ -105,6 +105,5 @@ def app_name(df: DataFrame, apps: DataFrame, ip_col: str = "targetIp", out: str
         joined = bucket_join(pts, "_ip", segs, "_seg_lo", "_seg_hi", bits, "left", True)
     else:
         resolved = sweep_lookup(pts, "_ip", segs, "_seg_lo", "_seg_hi", ["_app"], bits)
-        resolved = bounded_broadcast(resolved, max_broadcast_rows)
-        joined = pts.join(resolved, "_ip", "left")
+        joined = lookup_join(pts, resolved, "_ip", "left", max_broadcast_rows)
     return joined.select(*df.columns, F.coalesce(F.col("_app"), F.lit(OTHER_APP)).alias(out))
