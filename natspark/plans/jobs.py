@@ -24,14 +24,14 @@ from natspark.sources.streams import read_text_lines
 
 def run_record_job(lines: DataFrame, users: DataFrame, out: str, batch_id: int = 0,
                    order: str | None = None) -> None:
-    """Record branch: parse, count all logs (K1 ``nat_count``), keep rejects,
+    """Record branch: parse, count all logs (K1 ``log_count``), keep rejects,
     enrich and key the records, then the user log (K2), record store (K3),
-    index (K4) and matched counts (K1 ``nat_hbase_count``)."""
+    index (K4) and matched counts (K1 ``matched_count``)."""
     keep = [order] if order else []
     logs = parse_nat_log(lines, keep=keep).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_counts(agg.log_count_5min(agg.with_event_time(logs, delay=None)),
-                     f"{out}/nat_count", batch_id)
+                     f"{out}/log_count", batch_id)
         batch_partition_write(parse_rejects(lines, keep=keep), f"{out}/rejects", batch_id)
         records = enrich_user(logs, users).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -41,7 +41,7 @@ def run_record_job(lines: DataFrame, users: DataFrame, out: str, batch_id: int =
             upsert_records(records, f"{out}/records", batch_id, order)
             upsert_index(records, f"{out}/index", batch_id)
             write_counts(agg.log_count_5min(agg.with_event_time(records, delay=None)),
-                         f"{out}/nat_hbase_count", batch_id)
+                         f"{out}/matched_count", batch_id)
         finally:
             records.unpersist()
     finally:

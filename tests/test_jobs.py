@@ -16,9 +16,9 @@ def test_record_job_end_to_end_and_rerun(spark, tmp_path):
     run_record_job(lines, users, out, batch_id=0, order="seq")    # re-run replaces
     recs = spark.read.parquet(f"{out}/records")
     assert recs.count() == batch.nat_records(spark, SF).count()
-    assert rows(spark.read.parquet(f"{out}/nat_count").drop("batch_id")) == \
+    assert rows(spark.read.parquet(f"{out}/log_count").drop("batch_id")) == \
         rows(batch.log_count_5min(spark, SF))
-    assert rows(spark.read.parquet(f"{out}/nat_hbase_count").drop("batch_id")) == \
+    assert rows(spark.read.parquet(f"{out}/matched_count").drop("batch_id")) == \
         rows(batch.matched_count_5min(spark, SF))
     assert spark.read.parquet(f"{out}/rejects").count() == batch.parse_rejects(spark, SF).count()
     assert spark.read.parquet(f"{out}/index").count() == recs.count()
