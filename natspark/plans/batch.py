@@ -21,7 +21,7 @@ from natspark.operators.geo import app_name as resolve_app, geo_filter as gfilte
 from natspark.operators.parse import parse_nat_log as parse, parse_rejects as rejects
 from natspark.operators.partitioning import ensure_parallelism
 from natspark.schemas import ADDRESS_FIELDS, NAT_LOG_COLUMNS, NAT_RECORD_COLUMNS
-from natspark.session import ensure_checkpoint_dir
+from natspark.session import scratch_path
 from natspark.sinks import latest_by_key, record_rows, user_log_lines
 from natspark.sources.fixtures import (app_ranges, ip_ranges, online_users, read_table,
                                        syslog_lines)
@@ -99,14 +99,17 @@ def record_store(spark, sf):
 
 
 def index_lookup(spark, sf):
-    # The index and the records are both read from one stored copy (the
-    # reference writes both tables, then searches): checkpoint() writes it to
-    # the shared checkpoint folder and cuts the lineage.
-    ensure_checkpoint_dir(spark)
-    rec = records(spark, sf, keep=()).checkpoint(eager=True)
+    """Search as the reference's readers would: records and index are
+    written once as tables in the shared checkpoint folder (which also cuts
+    the lineage), then the index is filtered (the equalities reach the
+    parquet scan as pushed filters) and the hits fetch their records."""
+    rec_path, idx_path = scratch_path(spark, "records"), scratch_path(spark, "index")
+    records(spark, sf, keep=()).write.parquet(rec_path)
+    rec = spark.read.parquet(rec_path)
+    index_docs(rec).write.parquet(idx_path)
     q = dict(INDEX_QUERY)
-    return lookup(index_docs(rec), rec, q.pop("time_from"), q.pop("time_to"), **q).select(
-        *NAT_RECORD_COLUMNS)
+    hits = lookup(spark.read.parquet(idx_path), rec, q.pop("time_from"), q.pop("time_to"), **q)
+    return hits.select(*NAT_RECORD_COLUMNS)
 
 
 def resolve_geo(spark, sf):
