@@ -159,3 +159,18 @@ def test_record_branch_stream_end_to_end_and_restart(spark, tmp_path):
     assert spark.read.parquet(paths["index"]).count() == 3
     assert sorted(r.value for r in spark.read.text(paths["user_log"]).collect()) == \
         ["(alice,1704067200000)", "(alice,1704067200000)", "(alice,1704067500000)"]
+
+
+def test_hot_targets_update_mode_emits_each_update_past_threshold(spark, tmp_path):
+    from natspark.operators.aggregate import hot_targets, with_event_time
+    from natspark.operators.parse import parse_nat_log
+    src = str(tmp_path / "in")
+    write_files(src, [[line(1, i) for i in range(3)], [line(2, i) for i in range(3, 5)],
+                      [line(3, 5)]])
+    logs = with_event_time(parse_nat_log(read_text_stream(spark, src, max_files_per_trigger=1)),
+                           delay="10 minutes")
+    q = (hot_targets(logs, min_count=2).writeStream.outputMode("update").format("memory")
+         .queryName("hot_updates").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted(r["count"] for r in spark.sql("select * from hot_updates").collect())
+    assert got == [3, 5, 6]     # one row per micro-batch in which the running count exceeds 2
