@@ -42,7 +42,11 @@ def enrich_user(logs: DataFrame, users: DataFrame, keep_unknown: bool = False,
     dim = latest_users(users).select(F.col("framedip").alias("_ip"),
                                      F.col("loginname").alias("_login"))
     how = "left" if keep_unknown else "inner"
-    if max_broadcast_rows > 0 and row_count_at_most(dim, max_broadcast_rows):
+    # Deduplication only shrinks the table, so a raw user table within the
+    # bound proves the bound without running the dedup shuffle.
+    small = max_broadcast_rows > 0 and (row_count_at_most(users, max_broadcast_rows)
+                                        or row_count_at_most(dim, max_broadcast_rows))
+    if small:
         joined = logs.join(F.broadcast(dim), logs["sourceIp"] == dim["_ip"], how)
     else:
         joined = salted_join(logs, dim, "sourceIp", "_ip", how, salts)

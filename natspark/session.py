@@ -73,7 +73,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (a bare local test session) is a private scratch folder set instead.
+    on a local master (tests) is a private scratch folder set instead, and on
+    a cluster an unset value is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -81,7 +82,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="natspark-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS or object "
+                               "store): lineage cuts and scratch tables must survive executor loss")
+        configured = tempfile.mkdtemp(prefix="natspark-ckpt-")   # single-machine tests only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
