@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound on rows shipped to every executor (about 100 MB at the
-# widths used here).  Above it the join is a shuffle join, which AQE may
+# Default bound on rows shipped to every executor: at the 60-100 bytes per
+# row of the lookup tables here (an address, a login or three short
+# location fields, row overhead) that is at most about 200 MB once hashed.  Above it the join is a shuffle join, which AQE may
 # still turn into a broadcast from runtime sizes and whose skewed
 # partitions AQE splits.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
