@@ -42,10 +42,47 @@ def jsplit(e: str, pattern: str) -> str:
             f"THEN CAST(array() AS ARRAY<STRING>) ELSE {parts} END")
 
 
+def jsplit_on_comma(e: str, literal: str | None = None, chars: str | None = None) -> str:
+    """``jsplit`` for a text that contains no comma (a comma part of a line):
+    the separator (a ``literal`` string, or any one of ``chars``) is first
+    rewritten to a comma with a plain ``replace`` / ``translate``, so the split
+    takes the JVM's no-regex path instead of compiling a pattern per row.
+    Same parts as splitting on the separator itself."""
+    if literal is not None:
+        e = f"replace({e}, {lit(literal)}, ',')"
+    if chars is not None:
+        e = f"translate({e}, {lit(chars)}, {lit(',' * len(chars))})"
+    return jsplit(e, ",")
+
+
 def item(arr: str, index: int) -> str:
     return f"get({arr}, {int(index)})"
 
 
+def time_text(e: str) -> str:
+    """Stage 1 of the floor: ``T`` replaced by a space."""
+    return f"translate({e}, 'T', ' ')"
+
+
+def minute_of(t: str) -> str:
+    """Stage 2 of the floor: the two minute digits of a ``time_text`` as INT
+    (null unless they are digits, as the JVM's integer parse requires)."""
+    mm = f"substring({t}, 15, 2)"
+    return f"CASE WHEN {mm} RLIKE '^[0-9]{{1,2}}$' THEN CAST({mm} AS INT) END"
+
+
+def floored_ms(t: str, minute: str, grain_minutes: int = 5) -> str:
+    """Stage 3 of the floor, from the columns of stages 1 and 2.  Staging
+    keeps every piece computed once (inside a CASE branch Spark would
+    evaluate each repeated piece again)."""
+    if 60 % grain_minutes:
+        raise ValueError("grain_minutes must divide 60")
+    floored = f"lpad(CAST({minute} - {minute} % {int(grain_minutes)} AS STRING), 2, '0')"
+    text = f"concat(substring({t}, 1, 14), {floored}, ':00')"
+    return (f"CASE WHEN length({t}) >= 16 THEN "
+            f"unix_millis(try_to_timestamp({text}, 'yyyy-MM-dd HH:mm:ss')) END")
+
+
 def floor_minutes_ms(e: str, grain_minutes: int = 5) -> str:
     """``functions.timefns.floor_minutes_ms`` as SQL."""
     if 60 % grain_minutes:

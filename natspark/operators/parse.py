@@ -35,29 +35,36 @@ _PRESENT = {"accesstime": "accesstime", "hostIP": "hostIP", "flow": "_flow",
             "protocol": "protocol", **{n: n for n in REASON_ORDER[7:]}}
 _PAIRS = {"source": "_source", "target": "_target", "converted": "_converted"}
 # The reference's separators.
-COMMA, WHITESPACE, SNAT, FLOW, PORT = ",", r"\s+", " snat to ", "[->()]", ":"
+COMMA, WHITESPACE, SNAT, PORT = ",", r"\s+", " snat to ", ":"
+FLOW_CHARS = "->()"          # the flow token is split on any one of these
 
 
 def _fields(lines: DataFrame, value: str, grain_minutes: int, keep: list[str]) -> DataFrame:
-    """Six projections, each one ``selectExpr``; every split is computed once
-    and referenced by name in the next stage."""
+    """Projections, each one ``selectExpr``; every split is computed once and
+    referenced by name in the next stage (the stages fuse into one
+    generated-code loop).  The two comma parts contain no comma, so their
+    flow and ``snat to`` separators are rewritten to commas and split
+    without a regex."""
     k = [X.ident(c) for c in keep]
     v = f"CAST({X.ident(value)} AS STRING)"
     stage1 = lines.selectExpr(*k, f"{v} AS _line", f"{X.jsplit(v, COMMA)} AS _parts")
     stage2 = stage1.selectExpr(
         *k, "_line", "size(_parts) >= 2 AS _arity_ok",
         f"{X.jsplit(X.item('_parts', 0), WHITESPACE)} AS _tok",
-        f"{X.jsplit(X.item('_parts', 1), SNAT)} AS _conv")
+        f"{X.jsplit_on_comma(X.item('_parts', 1), literal=SNAT)} AS _conv")
     stage3 = stage2.selectExpr(
         *k, "_line", "_arity_ok",
-        f"{X.floor_minutes_ms(X.item('_tok', 0), grain_minutes)} AS accesstime",
+        f"{X.time_text(X.item('_tok', 0))} AS _time",
         f"{X.item('_tok', 1)} AS hostIP", f"{X.item('_tok', 6)} AS _flow",
         f"{X.item('_conv', 1)} AS _converted")
     stage4 = stage3.selectExpr(
-        *k, "_line", "_arity_ok", "accesstime", "hostIP", "_flow", "_converted",
-        f"{X.jsplit('_flow', FLOW)} AS _fl")
+        *k, "_line", "_arity_ok", "_time", f"{X.minute_of('_time')} AS _minute",
+        "hostIP", "_flow", "_converted",
+        f"{X.jsplit_on_comma('_flow', chars=FLOW_CHARS)} AS _fl")
     stage5 = stage4.selectExpr(
-        *k, "_line", "_arity_ok", "accesstime", "hostIP", "_flow", "_converted",
+        *k, "_line", "_arity_ok",
+        f"{X.floored_ms('_time', '_minute', grain_minutes)} AS accesstime",
+        "hostIP", "_flow", "_converted",
         f"{X.item('_fl', 0)} AS _source", f"{X.item('_fl', 2)} AS _target",
         f"{X.strip_protocol(X.item('_fl', 3))} AS protocol")
     stage6 = stage5.selectExpr(
