@@ -84,16 +84,17 @@ def floored_ms(t: str, minute: str, grain_minutes: int = 5) -> str:
 
 
 def floor_minutes_ms(e: str, grain_minutes: int = 5) -> str:
-    """``functions.timefns.floor_minutes_ms`` as SQL."""
+    """``functions.timefns.floor_minutes_ms`` as one SQL expression (checks
+    first, so the shared pieces are computed once)."""
     if 60 % grain_minutes:
         raise ValueError("grain_minutes must divide 60")
-    s = f"translate({e}, 'T', ' ')"
+    s = time_text(e)
     mm = f"substring({s}, 15, 2)"
-    minute = f"(CASE WHEN {mm} RLIKE '^[0-9]{{1,2}}$' THEN CAST({mm} AS INT) END)"
+    minute = f"CAST({mm} AS INT)"
     floored = f"lpad(CAST({minute} - {minute} % {int(grain_minutes)} AS STRING), 2, '0')"
     text = f"concat(substring({s}, 1, 14), {floored}, ':00')"
-    return (f"CASE WHEN length({s}) >= 16 THEN "
-            f"unix_millis(try_to_timestamp({text}, 'yyyy-MM-dd HH:mm:ss')) END")
+    return (f"CASE WHEN length({s}) < 16 OR NOT ({mm} RLIKE '^[0-9]{{1,2}}$') THEN NULL "
+            f"ELSE unix_millis(try_to_timestamp({text}, 'yyyy-MM-dd HH:mm:ss')) END")
 
 
 def strip_protocol(e: str) -> str:

@@ -16,16 +16,22 @@ from natspark.functions.split import _c
 
 def floor_minutes_ms(col, grain_minutes: int = 5) -> Column:
     """Epoch milliseconds of the floored minute, null when the text does not
-    parse (the reference raises there)."""
+    parse (the reference raises there).
+
+    The checks come first in the CASE: Spark always evaluates a CASE's first
+    condition, so the pieces it shares with the value (the translated text,
+    the minute digits) are computed once; inside a later branch they would
+    be computed again for every use."""
     if 60 % grain_minutes:
         raise ValueError("grain_minutes must divide 60")
     s = F.translate(_c(col), "T", " ")
     mm = F.substring(s, 15, 2)
-    minute = F.when(mm.rlike("^[0-9]{1,2}$"), mm.cast("int"))
+    minute = mm.cast("int")
     floored = F.lpad((minute - minute % grain_minutes).cast("string"), 2, "0")
     text = F.concat(F.substring(s, 1, 14), floored, F.lit(":00"))
     ts = F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))
-    return F.when(F.length(s) >= 16, F.unix_millis(ts))
+    bad = (F.length(s) < 16) | ~mm.rlike("^[0-9]{1,2}$")
+    return F.when(bad, F.lit(None).cast("bigint")).otherwise(F.unix_millis(ts))
 
 
 def event_time(ms_col) -> Column:
