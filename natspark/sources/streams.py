@@ -12,14 +12,24 @@ from natspark.schemas import IP_RANGE, ONLINE_USER
 
 
 def read_syslog_kafka(spark: SparkSession, servers: str, topic: str,
-                      starting_offsets: str = "latest", options: dict | None = None) -> DataFrame:
+                      starting_offsets: str = "latest", options: dict | None = None,
+                      min_partitions: int | None = None,
+                      max_offsets_per_trigger: int | None = None) -> DataFrame:
     """S1: Kafka topic of UTF-8 lines as ``value`` plus ``seq`` (the offset),
     ``partition`` and ``kafka_ts``.  Needs the Spark Kafka connector on the
-    classpath (not bundled with this install)."""
+    classpath (not bundled with this install).
+
+    ``min_partitions`` splits each topic partition's offset range over more
+    tasks, so a topic with few partitions still spreads the parse over the
+    cluster; ``max_offsets_per_trigger`` bounds a micro-batch."""
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers)
               .option("subscribe", topic)
               .option("startingOffsets", starting_offsets))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     return reader.load().select(F.col("value").cast("string").alias("value"),
