@@ -43,7 +43,9 @@ def _users_loader(spark: SparkSession, args) -> callable:
 
 def _lines(spark: SparkSession, args) -> DataFrame:
     if args.kafka_servers:
-        return read_syslog_kafka(spark, args.kafka_servers, args.topic, args.starting_offsets)
+        return read_syslog_kafka(spark, args.kafka_servers, args.topic, args.starting_offsets,
+                                 min_partitions=args.kafka_min_partitions,
+                                 max_offsets_per_trigger=args.max_offsets_per_trigger)
     return read_text_stream(spark, args.text_dir, args.max_files_per_trigger)
 
 
@@ -88,6 +90,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     s.add_argument("--kafka-servers")
     s.add_argument("--topic", default="syslog")
     s.add_argument("--starting-offsets", default="latest")
+    s.add_argument("--kafka-min-partitions", type=int, default=None,
+                   help="split topic partitions over at least this many tasks")
+    s.add_argument("--max-offsets-per-trigger", type=int, default=None)
     s.add_argument("--text-dir", help="folder of text files (instead of Kafka)")
     s.add_argument("--max-files-per-trigger", type=int, default=None)
     s.add_argument("--checkpoint", required=True, help="checkpoint root (shared storage)")
