@@ -1,7 +1,8 @@
 """Command-line entry point (``spark-submit natspark/app.py <command> ...``).
 
-``stream``     the full streaming job: log counts, matched counts, the record
-               branch (user log, record store, index) and dimension documents,
+``stream``     the full streaming job: log counts, the record branch (user log,
+               record store, index, matched-count partials; read the matched
+               counts with ``read_matched_counts``) and dimension documents,
                from Kafka or from a folder of text files.
 ``batch``      the record and dimension branches over a batch of lines.
 ``wordcount``  word count of a text file or folder.
@@ -26,8 +27,7 @@ from natspark.session import cluster_session  # noqa: E402
 from natspark.sources.streams import (read_ip_ranges, read_online_users,  # noqa: E402
                                       read_syslog_kafka, read_text_lines, read_text_stream)
 from natspark.streaming.pipelines import (dim_count_stream, log_count_stream,  # noqa: E402
-                                          matched_count_stream, start_counts,
-                                          start_record_branch)
+                                          start_counts, start_record_branch)
 
 
 def _users_loader(spark: SparkSession, args) -> callable:
@@ -59,13 +59,11 @@ def start_streams(spark: SparkSession, args) -> list:
     queries = [
         start_counts(log_count_stream(_lines(spark, args), args.delay), f"{out}/log_count",
                      f"{ckpt}/log_count", trigger),
-        start_counts(matched_count_stream(_lines(spark, args), load_users(), args.delay),
-                     f"{out}/matched_count", f"{ckpt}/matched_count", trigger),
         start_counts(dim_count_docs(dim_count_stream(_lines(spark, args), ranges, args.delay)),
                      f"{out}/dim_docs", f"{ckpt}/dim_docs", trigger),
         start_record_branch(_lines(spark, args), load_users,
                             {"user_log": f"{out}/username", "records": f"{out}/records",
-                             "index": f"{out}/index"},
+                             "index": f"{out}/index", "matched": f"{out}/matched_partials"},
                             f"{ckpt}/records", trigger),
     ]
     return queries

@@ -47,15 +47,35 @@ def matched_count_stream(lines: DataFrame, users: DataFrame,
     return agg.log_count_5min(agg.with_event_time(records, delay=delay))
 
 
+def matched_partials(records: DataFrame) -> DataFrame:
+    """Per-batch partial counts of records per 5-minute window."""
+    w = F.window(F.timestamp_millis("accesstime"), agg.WINDOW_5MIN)
+    return records.groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("n")).select(
+        F.unix_millis(F.col("w.start")).alias("window_start"), "n")
+
+
+def read_matched_counts(spark, path: str) -> DataFrame:
+    """``COUNT_5MIN`` of matched records: the per-batch partials summed per
+    window (a replayed batch replaced its own partial, so nothing doubles)."""
+    total = spark.read.parquet(path).groupBy("window_start").agg(F.sum("n").alias("n"))
+    return total.select(F.col("n").alias("count_5min"),
+                        F.floor(F.col("n") / 300).cast("bigint").alias("count_sec"),
+                        F.date_format(F.timestamp_millis("window_start"),
+                                      "yyyy-MM-dd HH:mm:ss").alias("update_time"))
+
+
 def record_batch_writer(users_loader: Callable[[], DataFrame], user_log_path: str,
-                        records_path: str, index_path: str, order: str | None = None):
+                        records_path: str, index_path: str, order: str | None = None,
+                        matched_path: str | None = None):
     """``foreachBatch`` function for the record branch (O7, O6, K2-K4).
 
     Each micro-batch: the users are loaded afresh (the reference re-reads
     them at every window firing), the batch is enriched once and persisted,
     then written to the user log, the record store and the index.  Every
     write replaces the batch's own partition, so a replayed batch after a
-    failure leaves no duplicate."""
+    failure leaves no duplicate.  With ``matched_path`` the batch's matched
+    counts per window are written too (A3 with users as fresh as the records;
+    read them with ``read_matched_counts``)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         records = enrich_user(batch, users_loader()).persist()
@@ -65,6 +85,8 @@ def record_batch_writer(users_loader: Callable[[], DataFrame], user_log_path: st
                                   partition_cols=("dt",))
             upsert_records(records, records_path, batch_id, order)
             upsert_index(records, index_path, batch_id)
+            if matched_path:
+                batch_partition_write(matched_partials(records), matched_path, batch_id)
         finally:
             records.unpersist()
 
@@ -77,7 +99,7 @@ def start_record_branch(lines: DataFrame, users_loader: Callable[[], DataFrame],
     """Start the record branch: parse the stream, then ``foreachBatch``."""
     logs = parse_nat_log(lines, keep=[order] if order else [])
     writer = record_batch_writer(users_loader, paths["user_log"], paths["records"],
-                                 paths["index"], order)
+                                 paths["index"], order, paths.get("matched"))
     q = logs.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     return q.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 

@@ -38,7 +38,10 @@ def test_stream_command_available_now(spark, tmp_path):
     newest = max(r[2] for r in full)
     assert rows(counts) == [r for r in full if r[2] != newest]
     assert spark.read.parquet(f"{out}/records").count() == batch.nat_records(spark, SF).count()
-    for sub in ("matched_count", "dim_docs", "index", "username"):
+    from natspark.streaming.pipelines import read_matched_counts
+    assert rows(read_matched_counts(spark, f"{out}/matched_partials")) == \
+        rows(batch.matched_count_5min(spark, SF))
+    for sub in ("dim_docs", "index", "username"):
         assert os.path.isdir(f"{out}/{sub}")
 
 
