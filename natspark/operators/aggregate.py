@@ -135,10 +135,7 @@ def hourly_profile(df: DataFrame, key: str, hour: str = "hour", value: str = "by
     per_hour = valid.groupBy(key, hour).agg(F.max_by(value, order).alias("_v"))
     per_key = per_hour.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(hour), F.col("_v")))).alias("_m"))
-    slots = F.transform(
-        F.sequence(F.lit(0), F.lit(23)),
-        lambda h: F.concat(F.lpad(h.cast("string"), 2, "0"), F.lit("="),
-                           F.coalesce(F.try_element_at(F.col("_m"),
-                                                       F.lpad(h.cast("string"), 2, "0")),
-                                      F.lit("0"))))
-    return per_key.select(key, F.array_join(slots, ",").alias("profile"))
+    slots = [F.concat(F.lit(f"{h:02d}="), F.coalesce(F.try_element_at(F.col("_m"), F.lit(f"{h:02d}")),
+                                                      F.lit("0")))
+             for h in range(24)]
+    return per_key.select(key, F.concat_ws(",", *slots).alias("profile"))
