@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natspark.llm import langid, mixing
+from natspark.llm import langid, mixing, neardup, sentencepiece
 from natspark.llm.common import id_remainder, materialize, table
+from natspark.llm.queries import tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,15 +23,30 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return seen.where(langid.accepted(F.col("lang_pred"), F.col("score"))).select(*docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8)
+    the document with the smallest id stays."""
+    return neardup.one_of_each(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of the sources at weights 5, 2, 1; a document taken twice
     comes twice."""
     return mixing.mixed_rows(docs)
 
 
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every row of the mix."""
+    ids = sentencepiece.encode(docs.select("doc_id", "source", "lang", "text"),
+                               sentencepiece.read_model(tokenizer_path()), outputs=("n_tokens", "ids"))
+    return ids.drop("text")
+
+
 STAGES = [
     ("language_id", language_id),
+    ("near_dedup", near_dedup),
     ("source_mix", source_mix),
+    ("tokenize", tokenize),
 ]
 
 # Language models, connected components and tokenizing are beyond SQL.

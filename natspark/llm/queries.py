@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natspark.llm import langid, mixing
+from natspark.llm import langid, mixing, neardup, sentencepiece
 from natspark.llm.common import id_remainder, table
 
 
@@ -22,9 +22,31 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(rows, model, with_spans=False).drop("text")
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer file that the registered queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = sentencepiece.read_model(tokenizer_path())
+    return sentencepiece.encode(docs, model, outputs=("n_tokens", "ids_sha256", "decoded_sha256")
+                                ).drop("text")
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Params(shingle_words=2))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles",
+                        F.col("component").alias("component_id"), "kept")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op3_language_id": op3_language_id,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op5_near_duplicates": op5_near_duplicates,
 }
 
 # The same mix from the definition: limits by water level, then one running
