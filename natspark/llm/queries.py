@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natspark.llm import langid, mixing, neardup, sentencepiece
+from natspark.llm import langid, lattice, mixing, neardup, sentencepiece
 from natspark.llm.common import id_remainder, table
 
 
@@ -42,11 +42,20 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"), "kept")
 
 
+def op8_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(id_remainder(F.col("doc_id"), 10) == 0, F.lit(False))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return lattice.score(rows, id_remainder(F.col("doc_id"), 10) != 0,
+                         sentencepiece.read_model(tokenizer_path()))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op3_language_id": op3_language_id,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_near_duplicates": op5_near_duplicates,
+    "op8_lattice_score": op8_lattice_score,
 }
 
 # The same mix from the definition: limits by water level, then one running
