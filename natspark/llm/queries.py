@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natspark.llm import langid, lattice, mixing, neardup, sentencepiece
+from natspark.llm import chat, ctph, langid, lattice, licenses, mih, mixing, neardup, sentencepiece, warc
 from natspark.llm.common import id_remainder, table
 
 
@@ -14,6 +14,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select(F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op2_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations")).withColumnRenamed("conv", "conv_id")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(id_remainder(F.col("doc_id"), 5) == 0, F.lit(False))
@@ -50,12 +54,41 @@ def op8_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                          sentencepiece.read_model(tokenizer_path()))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctph.neighbours(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, folder = warc.bundle(table(spark, sf_dir, "pages"))
+    return warc.read_archives(index, folder, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mih.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files: a source is a tree with a folder per language,
+    thousand and hundred of ids."""
+    folder = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")),
+                         F.expr("doc_id div 1000"), F.expr("doc_id div 100"))
+    files = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(folder, F.lit("/"), F.col("doc_id"), F.lit(".txt")).alias("path"), "text")
+    return licenses.inherit(licenses.scan(files)).drop("header")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_chat_perspectives": op2_chat_perspectives,
     "op3_language_id": op3_language_id,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_multi_index_hashing": op6_multi_index_hashing,
+    "op7_fingerprints": op7_fingerprints,
     "op8_lattice_score": op8_lattice_score,
+    "op9_license_scan": op9_license_scan,
+    "op10_warc": op10_warc,
 }
 
 # The same mix from the definition: limits by water level, then one running
@@ -87,6 +120,30 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM p
 """
 
+# Pieces in order, joined; a span begins after what all earlier pieces and the
+# own head take.
+_OP2 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS who, replace(coalesce(text, ''), '<|', '< |') AS body
+  FROM conversations),
+p AS (SELECT DISTINCT conv_id, who AS speaker FROM t WHERE who <> 'system'),
+x AS (SELECT t.conv_id, p.speaker, coalesce(turn // 1024, 4611686018427387904) AS part, turn, who, body,
+             who = p.speaker AS own,
+             '<|im_start|>' || CASE WHEN who = p.speaker THEN 'assistant' WHEN who = 'system' THEN who
+                                    ELSE 'user name=' || replace(who, '<|', '< |') END || chr(10) AS head
+      FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+y AS (SELECT *, row_number() OVER o AS n,
+             coalesce(sum(length(head) + length(body) + 11) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+             + length(head) AS pos
+      FROM x WINDOW o AS (PARTITION BY conv_id, speaker, part ORDER BY turn NULLS LAST, who, body))
+SELECT conv_id, speaker, part, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
+       string_agg(head || body || '<|im_end|>' || chr(10), '' ORDER BY n) AS rendered,
+       coalesce(list({'start': CAST(pos AS BIGINT), 'end': CAST(pos + length(body) + 10 AS BIGINT)} ORDER BY n)
+                FILTER (own), []) AS mask
+FROM y GROUP BY conv_id, speaker, part
+"""
+
 ORACLE_SQL = {
+    "op2_chat_perspectives": _OP2,
     "op1_mix_sources": _OP1,
 }
