@@ -11,8 +11,9 @@
     nodes to one pseudo-random member, then to the member of most links.  In
     the few buckets that still hold several components, the nodes outside the
     largest one are compared with all others in blocks, by packed signatures;
-    only what passes the estimate leaves the task.  So no pair that shares a
-    bucket goes unseen.
+    what passes the estimate forms clusters, and these are confirmed in blocks
+    on the full sets.  A task gives only links that join components, so no
+    pair that shares a bucket goes unseen and none is written out twice.
 5.  Components come from alternating star contraction of the links.
 """
 
@@ -45,6 +46,8 @@ class Params:
     bits: int = 4
     sigmas: float = 5.0
     block: int = 2048
+    set_block: int = 128
+    broadcast_nodes: int = 500_000
 
     @property
     def k(self) -> int:
@@ -175,8 +178,10 @@ def sign(docs: DataFrame, p: Params, id_col: str = "doc_id", text_col: str = "te
 
 def node_sets(docs: DataFrame, nodes: DataFrame, p: Params, id_col: str, text_col: str) -> DataFrame:
     """(node, items): the full sets of ``nodes`` (node, id), from the texts."""
+    # 16 bytes a node: sent to all tasks within the bound, else the texts are shuffled
+    few = nodes.count() <= p.broadcast_nodes
     src = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-           .join(nodes, "id").select("node", "text"))
+           .join(F.broadcast(nodes) if few else nodes, "id").select("node", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -215,6 +220,8 @@ def estimated(pairs: DataFrame, sigs: DataFrame, p: Params) -> DataFrame:
 
 def confirmed(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     """The pairs whose full sets meet the threshold."""
+    needed = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nd-needed")
+    sets = sets.join(needed, "node", "left_semi")
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("ia")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("items").alias("ib")), "b"))
     common = F.size(F.array_intersect("ia", "ib"))
@@ -276,9 +283,41 @@ def _stars(entries: DataFrame, degree: DataFrame | None) -> DataFrame:
             .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
 
 
-def _rest(entries: DataFrame, sigs: DataFrame, p: Params) -> DataFrame:
-    """Pairs that pass the estimate, of all pairs across components within a
-    bucket: the nodes outside the bucket's largest component against all."""
+def _cells(rows: DataFrame, group: str, block_col: str, fields: list[str], block: int) -> DataFrame:
+    """Rows of each group (with its size ``block_col``) dealt into cells
+    (group, i, j) so that any two rows meet in one, sorted by cell; side 0 is
+    block i and side 1 block j. A cell with i = j has its rows once."""
+    n = F.ceil(F.col(block_col) / block).cast("int")
+    own = rows.withColumn("_n", n).withColumn("_b", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int"))
+    dealt = own.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).select(
+        group, F.least("_b", "_o").alias("i"), F.greatest("_b", "_o").alias("j"),
+        (F.col("_b") > F.col("_o")).cast("int").alias("side"), *fields)
+    return dealt.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j", "side")
+
+
+def _by_cell(batches: Iterator[pa.RecordBatch], compare) -> Iterator[pa.RecordBatch]:
+    """Feed the rows of each cell (equal first three columns) to ``compare``,
+    which returns two lists of nodes; a cell can span batches."""
+    held: list[tuple] = []
+
+    def out() -> pa.RecordBatch:
+        a, b = compare(held)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    for batch in batches:
+        for r in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and held[-1][:3] != r[:3]:
+                yield out()
+                held = []
+            held.append(r)
+    if held:
+        yield out()
+
+
+def _suspects(entries: DataFrame, sigs: DataFrame, p: Params) -> DataFrame:
+    """A forest over all pairs across components within a bucket that pass the
+    estimate: the nodes outside a bucket's largest component are compared with
+    all its nodes, and each cell keeps only pairs that join two of its trees."""
     sizes = entries.groupBy("key", "comp").agg(F.count("*").alias("n"))
     most = materialize(sizes.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("top"),
                                                 F.sum("n").alias("all"), F.max("n").alias("n_top")), "rest-buckets")
@@ -300,36 +339,72 @@ def _rest(entries: DataFrame, sigs: DataFrame, p: Params) -> DataFrame:
 
     def compare(cell: list[tuple]) -> tuple[list[int], list[int]]:
         side = np.array([r[3] for r in cell])
-        node = np.array([r[4] for r in cell], np.int64)
+        node, tree = np.unique(np.array([r[4] for r in cell], np.int64), return_inverse=True)
+        at = tree.copy()                       # the distinct node of each row
+        tree = np.arange(len(node))
         comp = np.array([r[5] for r in cell], np.int64)
         sig = sig_words([r[6] for r in cell])
-        lo, hi = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        hi = np.flatnonzero(side == 1)
         a, b = [], []
-        for x in lo:
+        for x in np.flatnonzero(side == 0):
             eq = equal_values(sig[x], sig[hi], p.bits) - pad
-            ok = hi[(eq >= least) & (comp[hi] != comp[x])]
-            a += [int(node[x])] * len(ok)
-            b += node[ok].tolist()
+            met = at[hi[(eq >= least) & (comp[hi] != comp[x])]]
+            if len(met):
+                trees, first = np.unique(tree[met], return_index=True)
+                new = trees != tree[at[x]]
+                if new.any():
+                    a += [int(node[at[x]])] * int(new.sum())
+                    b += node[met[first[new]]].tolist()
+                    tree[np.isin(tree, trees)] = tree[at[x]]
         return a, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for batch in batches:
-            a, b = [], []
-            for r in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and held[-1][:3] != r[:3]:
-                    x, y = compare(held)
-                    a += x
-                    b += y
-                    held = []
-                held.append(r)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-        if held:
-            a, b = compare(held)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    pairs = cells.mapInArrow(run, "a long, b long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        yield from _by_cell(batches, compare)
+
+    return cells.mapInArrow(run, "a long, b long").distinct()
+
+
+def _rest(entries: DataFrame, sigs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """Confirmed links between the components that share a bucket.
+
+    Nodes that pass the estimate with each other, directly or through others,
+    form a cluster; inside it every pair across components that passes is
+    confirmed on the full sets, block against block, and a cell gives only the
+    links that join two of its components."""
+    clusters = materialize(components(materialize(_suspects(entries, sigs, p), "nd-suspects"))
+                           .withColumnRenamed("comp", "cluster"), "nd-clusters")
+    size = materialize(clusters.groupBy("cluster").agg(F.count("*").alias("n")), "nd-cluster-sizes")
+    comp = entries.select("node", "comp").distinct()
+    rows = (clusters.join(size, "cluster").join(comp, "node").join(sigs, "node").join(sets, "node"))
+    cells = _cells(rows, "cluster", "n", ["node", "comp", "sig", "items"], p.set_block)
+    least, pad, percent = p.least_equal, _pad(p), p.percent
+
+    def compare(cell: list[tuple]) -> tuple[list[int], list[int]]:
+        side = np.array([r[3] for r in cell])
+        comp = np.array([r[5] for r in cell], np.int64)
+        sig = sig_words([r[6] for r in cell])
+        items = [np.array(r[7], np.int64) for r in cell]
+        size = np.array([len(x) for x in items])
+        within = cell[0][1] == cell[0][2]
+        a, b = [], []
+        for x in range(len(cell)) if within else np.flatnonzero(side == 0):
+            other = np.arange(x + 1, len(cell)) if within else np.flatnonzero(side == 1)
+            other = other[(comp[other] != comp[x]) & (size[other] * 100 >= size[x] * percent)
+                          & (size[x] * 100 >= size[other] * percent)]
+            other = other[equal_values(sig[x], sig[other], p.bits) - pad >= least]
+            for y in other:
+                if comp[x] != comp[y]:
+                    common = len(np.intersect1d(items[x], items[y], assume_unique=True))
+                    if common * 100 >= (size[x] + size[y] - common) * percent:
+                        a.append(cell[x][4])
+                        b.append(cell[y][4])
+                        comp[comp == comp[y]] = comp[x]
+        return a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _by_cell(batches, compare)
+
+    return cells.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id",
@@ -351,21 +426,21 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id
     entries = nodes.select("node", F.explode("bands").alias("key"))
     entries = materialize(_open_buckets(entries, None).select("key", "node"), "nd-entries")
     wanted = entries.select("node").distinct().join(nodes.select("node", "id"), "node")
-    sets = materialize(node_sets(docs, materialize(wanted, "nd-wanted"), p, id_col, text_col)
-                       .dropDuplicates(["node"]), "nd-sets")
+    sets = materialize(node_sets(docs, materialize(wanted, "nd-wanted"), p, id_col, text_col), "nd-sets")
 
     links = comps = None
     for step in ("star", "hub", "rest"):
         still = materialize(_open_buckets(entries, comps), "nd-open")
         if step == "rest":
-            pairs = _rest(still, sigs, p)
+            found = _rest(still, sigs, sets, p)
         else:
             degree = None
             if links is not None:
                 degree = materialize(links.select(F.explode(F.array("a", "b")).alias("node"))
                                      .groupBy("node").agg(F.count("*").alias("deg")), "nd-degree")
-            pairs = estimated(_stars(still, degree), sigs, p)
-        found = materialize(confirmed(materialize(pairs, "nd-pairs"), sets, p), "nd-links")
+            pairs = materialize(estimated(_stars(still, degree), sigs, p), "nd-pairs")
+            found = confirmed(pairs, sets, p)
+        found = materialize(found, "nd-links")
         links = found if links is None else links.unionByName(found)
         comps = materialize(components(links), "nd-comps")
 
