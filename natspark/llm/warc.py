@@ -242,6 +242,7 @@ def read_archives(index: DataFrame, folder: str, with_payload: bool = True) -> D
     """All records of the archives that ``index`` names, frame by frame
     through each archive's own seek table."""
     archives = index.select("archive").distinct()
+    n = max(1, archives.count())
     schema = RECORD_SCHEMA if with_payload else RECORD_SCHEMA.rpartition(",")[0]
     names = [f.split()[0] for f in schema.split(", ")]
 
@@ -256,7 +257,8 @@ def read_archives(index: DataFrame, folder: str, with_payload: bool = True) -> D
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([r[n] for r in rows], kinds.get(n, pa.string())) for n in names], names)
 
-    return archives.repartition(F.col("archive")).mapInArrow(run, schema)
+    # a stated number, so that few small names aren't gathered into one task
+    return archives.repartition(n).mapInArrow(run, schema)
 
 
 def fetch(index: DataFrame, folder: str) -> DataFrame:
