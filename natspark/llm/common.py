@@ -18,12 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` once below the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation.
+    ``rows`` bounds the number of (narrow) rows, where it is known: the table
+    then has a partition per 50,000 of them, not one per shuffle partition.
     """
     path = scratch_path(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // 50_000)))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -218,9 +218,9 @@ def estimated(pairs: DataFrame, sigs: DataFrame, p: Params) -> DataFrame:
     return withs.mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, p: Params, rows: int) -> DataFrame:
     """The pairs whose full sets meet the threshold."""
-    needed = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nd-needed")
+    needed = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nd-needed", rows)
     sets = sets.join(needed, "node", "left_semi")
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("ia")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("items").alias("ib")), "b"))
@@ -238,17 +238,17 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                         .where("u <> v").distinct(), "cc")
+    n = 2 * edges.count()
     state = None
-    while True:
+    while n:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = materialize(both.groupBy("u").agg(F.min("v").alias("m"))
-                          .select("u", F.least("u", "m").alias("m")), "cc-min")
+                          .select("u", F.least("u", "m").alias("m")), "cc-min", n)
         large = materialize(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                            .unionByName(low.where("u <> m").select("u", F.col("m").alias("v")))
-                            .distinct(), "cc-large")
-        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
+                            .unionByName(low.where("u <> m").select("u", F.col("m").alias("v"))), "cc-large", n)
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "cc-min", n)
         edges = materialize(large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                            .unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
+                            .unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc", n)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -257,19 +257,20 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
-def _open_buckets(entries: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """Entries (key, node, comp) of the buckets that hold several components."""
+def _open_buckets(entries: DataFrame, comps: DataFrame | None, rows: int | None = None) -> DataFrame:
+    """Entries (key, node, comp) of the buckets that hold several components;
+    ``rows``, where known, is the number of entries."""
     if comps is None:
         placed = entries.withColumn("comp", F.col("node"))
     else:
         placed = (entries.join(comps, "node", "left")
                   .select("key", "node", F.coalesce("comp", "node").alias("comp")))
     several = materialize(placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                          .where("lo <> hi").select("key"), "open-keys")
+                          .where("lo <> hi").select("key"), "open-keys", rows)
     return placed.join(several, "key")
 
 
-def _stars(entries: DataFrame, degree: DataFrame | None) -> DataFrame:
+def _stars(entries: DataFrame, degree: DataFrame | None, rows: int) -> DataFrame:
     """Pairs of each bucket's centre with its nodes of other components.  The
     centre is the node of most links; among equals a pseudo-random one."""
     if degree is None:
@@ -278,7 +279,7 @@ def _stars(entries: DataFrame, degree: DataFrame | None) -> DataFrame:
         weighed = entries.join(degree, "node", "left").withColumn("deg", F.coalesce("deg", F.lit(0)))
     centre = F.struct("deg", F.xxhash64("node", "key").alias("h"), "node", "comp")
     centres = materialize(weighed.groupBy("key").agg(F.max(centre).alias("c"))
-                          .select("key", F.col("c.node").alias("hub"), F.col("c.comp").alias("hub_comp")), "hubs")
+                          .select("key", F.col("c.node").alias("hub"), F.col("c.comp").alias("hub_comp")), "hubs", rows)
     return (entries.join(centres, "key").where("comp <> hub_comp")
             .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
 
@@ -314,13 +315,13 @@ def _by_cell(batches: Iterator[pa.RecordBatch], compare) -> Iterator[pa.RecordBa
         yield out()
 
 
-def _suspects(entries: DataFrame, sigs: DataFrame, p: Params) -> DataFrame:
+def _suspects(entries: DataFrame, sigs: DataFrame, p: Params, n: int) -> DataFrame:
     """A forest over all pairs across components within a bucket that pass the
     estimate: the nodes outside a bucket's largest component are compared with
     all its nodes, and each cell keeps only pairs that join two of its trees."""
     sizes = entries.groupBy("key", "comp").agg(F.count("*").alias("n"))
     most = materialize(sizes.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("top"),
-                                                F.sum("n").alias("all"), F.max("n").alias("n_top")), "rest-buckets")
+                                                F.sum("n").alias("all"), F.max("n").alias("n_top")), "rest-buckets", n)
     rows = (entries.join(most, "key").join(sigs, "node")
             .select("key", "node", "comp", "sig", (F.col("comp") == F.col("top")).alias("inner"),
                     F.ceil((F.col("all") - F.col("n_top")) / p.block).cast("int").alias("o"),
@@ -364,16 +365,16 @@ def _suspects(entries: DataFrame, sigs: DataFrame, p: Params) -> DataFrame:
     return cells.mapInArrow(run, "a long, b long").distinct()
 
 
-def _rest(entries: DataFrame, sigs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+def _rest(entries: DataFrame, sigs: DataFrame, sets: DataFrame, p: Params, n: int) -> DataFrame:
     """Confirmed links between the components that share a bucket.
 
     Nodes that pass the estimate with each other, directly or through others,
     form a cluster; inside it every pair across components that passes is
     confirmed on the full sets, block against block, and a cell gives only the
     links that join two of its components."""
-    clusters = materialize(components(materialize(_suspects(entries, sigs, p), "nd-suspects"))
-                           .withColumnRenamed("comp", "cluster"), "nd-clusters")
-    size = materialize(clusters.groupBy("cluster").agg(F.count("*").alias("n")), "nd-cluster-sizes")
+    clusters = materialize(components(materialize(_suspects(entries, sigs, p, n), "nd-suspects"))
+                           .withColumnRenamed("comp", "cluster"), "nd-clusters", n)
+    size = materialize(clusters.groupBy("cluster").agg(F.count("*").alias("n")), "nd-cluster-sizes", n)
     comp = entries.select("node", "comp").distinct()
     rows = (clusters.join(size, "cluster").join(comp, "node").join(sigs, "node").join(sets, "node"))
     cells = _cells(rows, "cluster", "n", ["node", "comp", "sig", "items"], p.set_block)
@@ -425,24 +426,25 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id
     sigs = nodes.select("node", "sig")
     entries = nodes.select("node", F.explode("bands").alias("key"))
     entries = materialize(_open_buckets(entries, None).select("key", "node"), "nd-entries")
+    n = entries.count()
     wanted = entries.select("node").distinct().join(nodes.select("node", "id"), "node")
     sets = materialize(node_sets(docs, materialize(wanted, "nd-wanted"), p, id_col, text_col), "nd-sets")
 
     links = comps = None
     for step in ("star", "hub", "rest"):
-        still = materialize(_open_buckets(entries, comps), "nd-open")
+        still = materialize(_open_buckets(entries, comps, n), "nd-open")
         if step == "rest":
-            found = _rest(still, sigs, sets, p)
+            found = _rest(still, sigs, sets, p, n)
         else:
             degree = None
             if links is not None:
                 degree = materialize(links.select(F.explode(F.array("a", "b")).alias("node"))
-                                     .groupBy("node").agg(F.count("*").alias("deg")), "nd-degree")
-            pairs = materialize(estimated(_stars(still, degree), sigs, p), "nd-pairs")
-            found = confirmed(pairs, sets, p)
+                                     .groupBy("node").agg(F.count("*").alias("deg")), "nd-degree", n)
+            pairs = materialize(estimated(_stars(still, degree, n), sigs, p), "nd-pairs")
+            found = confirmed(pairs, sets, p, n)
         found = materialize(found, "nd-links")
         links = found if links is None else links.unionByName(found)
-        comps = materialize(components(links), "nd-comps")
+        comps = materialize(components(links), "nd-comps", 2 * n)
 
     placed = nodes.select("node", "id").join(comps, "node", "left").select(
         "node", "id", F.coalesce("comp", "node").alias("comp"))
