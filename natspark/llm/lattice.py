@@ -160,7 +160,7 @@ def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for _, _, data, offs in text_chunks(b.column(0), 8 << 20):
+            for _, _, data, offs in text_chunks(b.column(0), 3 << 20):
                 data = _LOWER[data]
                 start, end, _ = word_bounds(data, offs)
                 h = span_hashes(data, start, end)
@@ -226,7 +226,7 @@ class WordTable:
     meets are scored once while they fit the bound."""
 
     def __init__(self, lattice: PieceLattice, logp: np.ndarray, head: tuple[np.ndarray, np.ndarray],
-                 max_words: int = 500_000):
+                 max_words: int = 300_000):
         self.lattice, self.logp, self.head, self.max_words = lattice, logp, head, max_words
         self.keys = np.empty(0, np.uint64)
         self.scores = np.empty(0)
@@ -281,10 +281,10 @@ def score(docs: DataFrame, learn, model: bytes, text_col: str = "text", smoothin
 
     A null or blank text is its end token alone.  Without training rows all
     pieces, the end among them, are equally likely and the base is over an
-    empty table.  Equal texts get equal scores.  The counts of the
-    ``head_words`` most frequent training words go along with the tasks (a
-    bound, whatever the corpus); all other words are looked up by a join, so
-    every count is exact.
+    empty table.  Equal texts get equal scores.  The counts of
+    frequent training words, ``head_words`` at most, go along with the tasks
+    (a bound, whatever the corpus); all other words are looked up by a join,
+    so every count is exact.
     """
     added = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     names = [c for c in docs.columns if c.lower() not in added and c != text_col]
@@ -302,7 +302,7 @@ def score(docs: DataFrame, learn, model: bytes, text_col: str = "text", smoothin
     # numbers of words seen once and twice.
     discount = min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.1
     to_pieces = discount * kinds / total if total else 1.0
-    head = _hashed(counts.orderBy(F.col("n").desc(), "word").limit(head_words).toPandas())
+    head = _hashed(_frequent(counts, head_words).toPandas())
     if ends:
         end_score = float(np.log10((ends - discount) / total))
     else:
@@ -365,6 +365,20 @@ def score(docs: DataFrame, learn, model: bytes, text_col: str = "text", smoothin
         (F.col("_score") + F.coalesce("_tail_score", zero)).alias("score"))
 
 
+def _frequent(counts: DataFrame, limit: int) -> DataFrame:
+    """The words that occur at least 2**b times, for the smallest b that
+    leaves at most ``limit`` of them."""
+    power = F.floor(F.log2("n")).cast("int")
+    sizes = sorted(((r["b"], r["k"]) for r in counts.groupBy(power.alias("b")).agg(F.count("*").alias("k")).collect()),
+                   reverse=True)
+    least, held = 63, 0
+    for b, k in sizes:
+        if held + k > limit:
+            break
+        least, held = b, held + k
+    return counts.where(F.col("n") >= F.lit(1 << least))
+
+
 def _hashed(head) -> tuple[np.ndarray, np.ndarray]:
     raw = [w.encode() for w in head["word"]]
     size = np.fromiter(map(len, raw), np.int64, len(raw))
