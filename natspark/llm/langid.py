@@ -137,9 +137,10 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
         for b in batches:
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 words = words_of(text)
-                if words:
-                    s, _ = _ngram_slots(words, orders, slots)
+                for i in range(0, len(words), 8192):
+                    s, _ = _ngram_slots(words[i:i + 8192], orders, slots)
                     grams[index[lang]] += np.bincount(s, minlength=slots)
+                if words:
                     scripts[index[lang]] += np.bincount(_word_scripts(words), minlength=n_scripts)
         for kind, counts in enumerate((grams, scripts)):
             lang, slot = np.nonzero(counts)
@@ -167,7 +168,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
 class WordScorer:
     """Scores of distinct words, kept between batches up to a bound."""
 
-    def __init__(self, model: LanguageModel, max_words: int = 300_000):
+    def __init__(self, model: LanguageModel, max_words: int = 200_000):
         self.model, self.max_words = model, max_words
         self._clear()
 
@@ -185,9 +186,10 @@ class WordScorer:
         new = [w for w in dict.fromkeys(words) if w not in row]
         if new:
             row.update(zip(new, range(len(row), len(row) + len(new))))
-            s, known = self._score(new)
-            self.scores = np.concatenate([self.scores, s])
-            self.known = np.concatenate([self.known, known])
+            # a few thousand words at a time: each has dozens of n-grams
+            parts = [self._score(new[i:i + 8192]) for i in range(0, len(new), 8192)]
+            self.scores = np.concatenate([self.scores, *(p[0] for p in parts)])
+            self.known = np.concatenate([self.known, *(p[1] for p in parts)])
         return np.fromiter(map(row.__getitem__, words), np.int64, len(words))
 
     def _score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -264,7 +266,7 @@ def _spans(text: str, labels: np.ndarray, languages: tuple[str, ...]) -> list[di
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text",
-             penalty: float = 4.0, with_spans: bool = True, max_chars: int = 4 << 20) -> DataFrame:
+             penalty: float = 4.0, with_spans: bool = True, max_chars: int = 2 << 20) -> DataFrame:
     """Add ``lang_pred``, ``score`` and ``spans`` to ``docs`` (replacing
     columns of these names).
 
