@@ -180,7 +180,8 @@ def inherit(scanned: DataFrame, path_col: str = "path") -> DataFrame:
     with a third of all files costs one row; files then fetch their
     directory's result.
     """
-    rows = scanned.withColumn("_dir", directory(F.col(path_col)))
+    # the scan has dropped the texts: written once, not run for each join below
+    rows = materialize(scanned.withColumn("_dir", directory(F.col(path_col))), "lic-scanned")
     best = F.min(F.struct((-F.col("similarity")).alias("s"), F.col("license").alias("l")))
     licensed = materialize(rows.where("is_license_file and _dir is not null")
                            .groupBy(F.col("_dir").alias("_up")).agg(best["l"].alias("_license")), "lic-dirs")
