@@ -63,7 +63,8 @@ def start_streams(spark: SparkSession, args) -> list:
                      f"{out}/dim_docs", f"{ckpt}/dim_docs", trigger),
         start_record_branch(_lines(spark, args), load_users,
                             {"user_log": f"{out}/username", "records": f"{out}/records",
-                             "index": f"{out}/index", "matched": f"{out}/matched_partials"},
+                             "index": f"{out}/index", "matched": f"{out}/matched_partials",
+                             "rejects": f"{out}/rejects"},
                             f"{ckpt}/records", trigger),
     ]
     return queries
@@ -117,7 +118,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         users = _users_loader(spark, args)()
         ranges = read_ip_ranges(spark, args.ranges, args.ranges_format)
         run_record_job(lines, users, args.out, args.batch_id)
-        run_dimension_job(lines, ranges, args.out)
+        run_dimension_job(lines, ranges, args.out, batch_id=args.batch_id)
         return 0
     queries = start_streams(spark, args)
     for q in queries:

@@ -130,11 +130,12 @@ def hourly_profile(df: DataFrame, key: str, hour: str = "hour", value: str = "by
                    order: str = "ord") -> DataFrame:
     """``key, profile``: 24 slots ``00=v,...,23=v``; a missing hour is 0, the
     last row (by ``order``) of a duplicated hour wins, other hour labels are
-    ignored.  At most 24 entries per key reach the second aggregation."""
-    valid = df.where(F.col(hour).rlike("^([01][0-9]|2[0-3])$"))
-    per_hour = valid.groupBy(key, hour).agg(F.max_by(value, order).alias("_v"))
-    per_key = per_hour.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(hour), F.col("_v")))).alias("_m"))
+    ignored; a key without any valid hour has 24 zeros.  At most 25 entries
+    per key reach the second aggregation."""
+    valid = F.when(F.col(hour).rlike("^([01][0-9]|2[0-3])$"), F.col(hour))
+    per_hour = df.groupBy(key, valid.alias("_h")).agg(F.max_by(value, order).alias("_v"))
+    entry = F.when(F.col("_h").isNotNull(), F.struct("_h", "_v"))      # nulls aren't collected
+    per_key = per_hour.groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias("_m"))
     slots = [F.concat(F.lit(f"{h:02d}="), F.coalesce(F.try_element_at(F.col("_m"), F.lit(f"{h:02d}")),
                                                       F.lit("0")))
              for h in range(24)]

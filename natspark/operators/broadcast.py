@@ -14,9 +14,9 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  The count stops
-    reading after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows: one count per task,
+    summed.  Meant for lookup tables, never for a plan that holds the logs."""
+    return df.count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

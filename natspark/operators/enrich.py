@@ -17,9 +17,11 @@ UNKNOWN_USER = "UnKnown"
 def latest_users(users: DataFrame, key: str = "framedip", value: str = "loginname",
                  order: str = "seen_at") -> DataFrame:
     """One login per address: the last one by ``order`` (the reference keeps
-    the last row it read).  Partial aggregation collapses a hot address on
-    each task before the shuffle."""
-    return users.groupBy(key).agg(F.max_by(value, order).alias(value))
+    the last row it read); a null or absent ``order`` comes before all others,
+    and among equals the largest login wins.  Partial aggregation collapses a
+    hot address on each task before the shuffle."""
+    last = F.struct(*([order] if order in users.columns else []), value)
+    return users.groupBy(key).agg(F.max_by(value, last).alias(value))
 
 
 def with_rowkey(df: DataFrame) -> DataFrame:
@@ -72,7 +74,8 @@ def index_lookup(index: DataFrame, records: DataFrame, time_from: int | None = N
                  time_to: int | None = None, **fields: str) -> DataFrame:
     """Records found through the index: filter the index by address/port
     equalities and an inclusive accesstime range (epoch ms), then fetch the
-    records whose row key was hit (a semi join, one record per hit)."""
+    records whose row key was hit: one per hit, that of the last ``batch_id``
+    where the records carry one."""
     cond = F.lit(True)
     for name, value in fields.items():
         cond = cond & (F.col(name) == F.lit(str(value)))
@@ -82,4 +85,9 @@ def index_lookup(index: DataFrame, records: DataFrame, time_from: int | None = N
     if time_to is not None:
         cond = cond & (at <= F.lit(time_to))
     hits = index.where(cond).select("rowkey")
-    return records.join(hits, "rowkey", "left_semi")
+    found = records.join(hits, "rowkey", "left_semi")
+    if "batch_id" not in records.columns:
+        return found.dropDuplicates(["rowkey"])
+    rest = [c for c in records.columns if c != "rowkey"]
+    last = F.max_by(F.struct(*rest), F.struct("batch_id", *[c for c in rest if c != "batch_id"]))
+    return found.groupBy("rowkey").agg(last.alias("_r")).select("rowkey", "_r.*").select(*records.columns)

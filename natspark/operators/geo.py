@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from natspark.functions.ipaddr import ip_to_long, ip_to_long_strict
 from natspark.functions.split import item, jsplit
-from natspark.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
+from natspark.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from natspark.operators.joins import lookup_join
-from natspark.operators.rangejoin import (DEFAULT_BUCKET_BITS, bucket_join, bucketed_ranges,
-                                          containing_ranges, disjoint_segments, sweep_lookup)
+from natspark.operators.rangejoin import (DEFAULT_BUCKET_BITS, bucket_join, containing_ranges,
+                                          disjoint_segments, sweep_lookup)
 
 # Fixed values from the reference: the unresolved sentinel (capital K), the
 # spelling its geo filter tests against (lower-case k), and the default
@@ -37,24 +37,46 @@ def parse_location(ranges: DataFrame, local: str = "local") -> DataFrame:
         F.when(usable, item(parts, LOCATION_INDEX[f])).alias(f) for f in GEO_FIELDS])
 
 
+def geo_segments(located: DataFrame, bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
+    """Disjoint ``[seg_lo, seg_hi]`` segments of located ranges, each with the
+    fields of the covering range of lowest ``endip`` (then of highest
+    ``startip``, then by the fields)."""
+    segs = disjoint_segments(located, "startip", "endip", bits)
+    covering = containing_ranges(segs, "_seg_lo", located, "startip", "endip")
+    first = F.min_by(F.struct(*GEO_FIELDS), F.struct("endip", -F.col("startip"), *GEO_FIELDS))
+    return covering.groupBy("_seg_lo", "_seg_hi").agg(first.alias("_g")).select(
+        "_seg_lo", "_seg_hi", *[F.col(f"_g.{f}").alias(f) for f in GEO_FIELDS])
+
+
+def _at_most_one(pts: DataFrame, ranges: DataFrame, segs: DataFrame, payload: list[str], bits: int,
+                 max_broadcast_rows: int) -> DataFrame:
+    """Left join of addresses ``_ip`` with disjoint segments.  The plan is
+    chosen from the number of ranges alone: n ranges make at most 2n + 1
+    segments, cut at the bucket borders."""
+    bound = 2 * ranges.count() + 1 + (1 << (32 - bits))
+    if bound <= max_broadcast_rows:
+        return bucket_join(pts, "_ip", segs, "_seg_lo", "_seg_hi", bits, "left", True)
+    if pts.isStreaming:      # no distinct and no unbounded window on a stream
+        return bucket_join(pts, "_ip", segs, "_seg_lo", "_seg_hi", bits, "left", False)
+    resolved = sweep_lookup(pts, "_ip", segs, "_seg_lo", "_seg_hi", payload, bits)
+    return lookup_join(pts, resolved, "_ip", "left")
+
+
 def resolve_geo(logs: DataFrame, ranges: DataFrame, ip_col: str = "targetIp",
                 bits: int = DEFAULT_BUCKET_BITS,
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``NAT_GEO``: logs plus operator, province and city of ``ip_col``,
     ``UnKnown`` when no range (inclusive ends) holds the address.
 
-    Ranges must not overlap.  Under the row bound the bucketed ranges are
-    broadcast and the logs are never shuffled; above it the distinct
-    addresses are resolved by ``sweep_lookup`` and joined back (broadcast
-    under the bound, else a salted shuffle join against a hot address)."""
+    Where ranges overlap, the one of lowest ``endip`` wins; overlaps are cut
+    once on the range table (``geo_segments``), so every plan gives one and
+    the same row per log.  Under the row bound the segments are broadcast and
+    the logs are never shuffled; above it the distinct addresses are resolved
+    by ``sweep_lookup`` and joined back by a salted shuffle join (a stream
+    joins on the bucket)."""
     located = parse_location(ranges)
     pts = logs.withColumn("_ip", ip_to_long_strict(F.col(ip_col)))
-    bucketed = bucketed_ranges(located, "startip", "endip", bits, "_rb")
-    if max_broadcast_rows > 0 and row_count_at_most(bucketed, max_broadcast_rows):
-        joined = bucket_join(pts, "_ip", located, "startip", "endip", bits, "left", True)
-    else:
-        resolved = sweep_lookup(pts, "_ip", located, "startip", "endip", list(GEO_FIELDS), bits)
-        joined = lookup_join(pts, resolved, "_ip", "left", max_broadcast_rows)
+    joined = _at_most_one(pts, ranges, geo_segments(located, bits), list(GEO_FIELDS), bits, max_broadcast_rows)
     return joined.select(*logs.columns,
                          *[F.coalesce(F.col(f), F.lit(UNRESOLVED)).alias(f)
                            for f in GEO_FIELDS])
@@ -100,10 +122,5 @@ def app_name(df: DataFrame, apps: DataFrame, ip_col: str = "targetIp", out: str
     distinct addresses are swept against the segments and joined back."""
     segs = app_segments(apps, bits).withColumnRenamed("app", "_app")
     pts = df.withColumn("_ip", ip_to_long(F.col(ip_col)))
-    bucketed = bucketed_ranges(segs, "_seg_lo", "_seg_hi", bits, "_rb")
-    if max_broadcast_rows > 0 and row_count_at_most(bucketed, max_broadcast_rows):
-        joined = bucket_join(pts, "_ip", segs, "_seg_lo", "_seg_hi", bits, "left", True)
-    else:
-        resolved = sweep_lookup(pts, "_ip", segs, "_seg_lo", "_seg_hi", ["_app"], bits)
-        joined = lookup_join(pts, resolved, "_ip", "left", max_broadcast_rows)
+    joined = _at_most_one(pts, apps, segs, ["_app"], bits, max_broadcast_rows)
     return joined.select(*df.columns, F.coalesce(F.col("_app"), F.lit(OTHER_APP)).alias(out))

@@ -13,10 +13,13 @@ DEFAULT_SALTS = 16
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
                 how: str = "inner", salts: int = DEFAULT_SALTS) -> DataFrame:
     """Shuffle join that spreads a hot key: each ``big`` row gets one of
-    ``salts`` sub-keys from a hash of the whole row (deterministic, so task
-    retries reproduce it) and ``small`` is replicated once per sub-key.  Both
-    sides are shuffled on (key, salt); AQE's skew split applies on top."""
-    salt = F.pmod(F.xxhash64(*[big[c] for c in big.columns]), F.lit(salts))
+    ``salts`` sub-keys from its row number, so equal rows are spread too, and
+    ``small`` is replicated once per sub-key.  Both sides are shuffled on
+    (key, salt); AQE's skew split applies on top.  A stream has no row
+    numbers: there the sub-key is a hash of the whole row."""
+    number = (F.xxhash64(*[big[c] for c in big.columns]) if big.isStreaming
+              else F.monotonically_increasing_id())
+    salt = F.pmod(number, F.lit(salts))
     b = big.withColumn("_salt", salt)
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                        F.lit(salts - 1).cast("bigint"))))

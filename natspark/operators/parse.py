@@ -79,12 +79,13 @@ def _fields(lines: DataFrame, value: str, grain_minutes: int, keep: list[str]) -
     return out.selectExpr(*k, "_line", "_arity_ok", *NAT_LOG_COLUMNS, f"{reason} AS reason")
 
 
-def _select_rows(df: DataFrame, keep_row: str, cols: list[str]) -> DataFrame:
-    """Rows where the SQL condition ``keep_row`` holds, projected to
-    ``cols``, without a Filter node (see the module note): ``inline`` of a
-    null array yields no row."""
+def _select_rows(df: DataFrame, keep_row: str, cols: list[str], keep=()) -> DataFrame:
+    """Rows where the SQL condition ``keep_row`` holds, projected to ``keep``
+    and ``cols``, without a Filter node (see the module note): ``inline`` of a
+    null array yields no row.  ``keep`` stays beside the generator, so a later
+    filter on a partition column still reaches the scan."""
     row = "struct(" + ", ".join(X.ident(c) for c in cols) + ")"
-    return df.selectExpr(f"inline(CASE WHEN {keep_row} THEN array({row}) END)")
+    return df.selectExpr(*[X.ident(c) for c in keep], f"inline(CASE WHEN {keep_row} THEN array({row}) END)")
 
 
 def parse_all(lines: DataFrame, value: str = "value", grain_minutes: int = 5,
@@ -104,14 +105,13 @@ def parse_nat_log(lines: DataFrame, value: str = "value", grain_minutes: int = 5
     reference does.  ``grain_minutes=1`` gives the unfloored variant.
     """
     parsed = parse_all(lines, value, grain_minutes, keep)
-    cols = [*keep, *NAT_LOG_COLUMNS]
     if mode == "fail":
         keep_row = ("CASE WHEN _arity_ok AND reason IS NOT NULL THEN raise_error(concat("
                     "'malformed NAT log (', reason, '): ', _line)) ELSE _arity_ok END")
-        return _select_rows(parsed, keep_row, cols)
+        return _select_rows(parsed, keep_row, NAT_LOG_COLUMNS, keep)
     if mode != "drop":
         raise ValueError("mode must be 'drop' or 'fail'")
-    return _select_rows(parsed, "_arity_ok AND reason IS NULL", cols)
+    return _select_rows(parsed, "_arity_ok AND reason IS NULL", NAT_LOG_COLUMNS, keep)
 
 
 def parse_rejects(lines: DataFrame, value: str = "value", grain_minutes: int = 5,
@@ -120,5 +120,5 @@ def parse_rejects(lines: DataFrame, value: str = "value", grain_minutes: int = 5
     ``keep`` columns, ``line`` and ``reason``."""
     parsed = parse_all(lines, value, grain_minutes, keep)
     rejected = _select_rows(parsed, "_arity_ok AND reason IS NOT NULL",
-                            [*keep, "_line", "reason"])
+                            ["_line", "reason"], keep)
     return rejected.withColumnRenamed("_line", "line")

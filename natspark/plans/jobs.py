@@ -49,12 +49,12 @@ def run_record_job(lines: DataFrame, users: DataFrame, out: str, batch_id: int =
 
 
 def run_dimension_job(lines: DataFrame, ranges: DataFrame, out: str,
-                      drop_unresolved: bool = False) -> None:
+                      drop_unresolved: bool = False, batch_id: int = 0) -> None:
     """Dimension branch: geo-resolve, filter, count by province, operator
     and city per 5 minutes in one aggregation, append the documents (K5)."""
     geo = geo_filter(resolve_geo(parse_nat_log(lines), ranges), drop_unresolved)
     counts = agg.dim_count_5min(agg.with_event_time(geo, delay=None))
-    append_dim_docs(agg.dim_count_docs(counts), f"{out}/dim_docs")
+    append_dim_docs(agg.dim_count_docs(counts), f"{out}/dim_docs", batch_id)
 
 
 def run_word_count_job(spark: SparkSession, in_path: str, out_path: str,

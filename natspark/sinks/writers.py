@@ -94,10 +94,10 @@ def read_keyed_store(spark: SparkSession, path: str, key: str = "rowkey") -> Dat
     return latest_by_key(spark.read.parquet(path), key)
 
 
-def append_dim_docs(docs: DataFrame, path: str) -> None:
-    """K5: append ``DIM_COUNT`` documents as JSON lines (no id: a replay
-    appends again, as in the reference)."""
-    docs.write.mode("append").json(path)
+def append_dim_docs(docs: DataFrame, path: str, batch_id: int = 0) -> None:
+    """K5: ``DIM_COUNT`` documents as JSON lines, as the batch's partition: a
+    replay replaces it, another batch adds to it."""
+    batch_partition_write(docs, path, batch_id, fmt="json")
 
 
 def write_text_overwrite(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -110,9 +110,13 @@ def write_text_overwrite(df: DataFrame, path: str, single_file: bool = False) ->
     out.write.mode("overwrite").text(path)
 
 
-def console(df: DataFrame, n: int = 20):
-    """K7: print a batch, or start a console sink for a stream."""
+def console(df: DataFrame, n: int | None = None):
+    """K7: print a batch, or start a console sink for a stream: every row, or
+    the first ``n`` (of each micro-batch)."""
+    most = n or 2**31 - 1
     if df.isStreaming:
-        return df.writeStream.format("console").outputMode("append").start()
-    df.show(n, truncate=False)
+        return (df.writeStream.format("console").option("numRows", most).option("truncate", False)
+                .outputMode("append").start())
+    for row in [df.columns, *(df if n is None else df.limit(n)).toLocalIterator(prefetchPartitions=False)]:
+        print("\t".join("null" if v is None else str(v) for v in row))
     return None

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from natspark.operators import aggregate as agg
 from natspark.operators.enrich import enrich_user
 from natspark.operators.geo import geo_filter, resolve_geo
-from natspark.operators.parse import parse_nat_log
+from natspark.operators.parse import parse_all, parse_nat_log
 from natspark.sinks import (batch_partition_write, upsert_index, upsert_records,
                             user_log_lines)
 
@@ -66,7 +66,7 @@ def read_matched_counts(spark, path: str) -> DataFrame:
 
 def record_batch_writer(users_loader: Callable[[], DataFrame], user_log_path: str,
                         records_path: str, index_path: str, order: str | None = None,
-                        matched_path: str | None = None):
+                        matched_path: str | None = None, rejects_path: str | None = None):
     """``foreachBatch`` function for the record branch (O7, O6, K2-K4).
 
     Each micro-batch: the users are loaded afresh (the reference re-reads
@@ -75,10 +75,18 @@ def record_batch_writer(users_loader: Callable[[], DataFrame], user_log_path: st
     write replaces the batch's own partition, so a replayed batch after a
     failure leaves no duplicate.  With ``matched_path`` the batch's matched
     counts per window are written too (A3 with users as fresh as the records;
-    read them with ``read_matched_counts``)."""
+    read them with ``read_matched_counts``).  A batch that still holds the
+    rejected lines (``parse_all``) has them written to ``rejects_path``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        records = enrich_user(batch, users_loader()).persist()
+        logs, parsed = batch, None
+        if "reason" in batch.columns:
+            parsed = batch.persist()
+            bad = parsed.where("_arity_ok AND reason IS NOT NULL")
+            batch_partition_write(bad.select(*([order] if order else []), F.col("_line").alias("line"), "reason"),
+                                  rejects_path, batch_id)
+            logs = parsed.where("_arity_ok AND reason IS NULL").drop("_line", "_arity_ok", "reason")
+        records = enrich_user(logs, users_loader()).persist()
         try:
             lines = user_log_lines(records).select(F.col("line").alias("value"), "dt")
             batch_partition_write(lines, user_log_path, batch_id, fmt="text",
@@ -89,6 +97,8 @@ def record_batch_writer(users_loader: Callable[[], DataFrame], user_log_path: st
                 batch_partition_write(matched_partials(records), matched_path, batch_id)
         finally:
             records.unpersist()
+            if parsed is not None:
+                parsed.unpersist()
 
     return write
 
@@ -96,10 +106,12 @@ def record_batch_writer(users_loader: Callable[[], DataFrame], user_log_path: st
 def start_record_branch(lines: DataFrame, users_loader: Callable[[], DataFrame],
                         paths: dict, checkpoint: str, trigger: dict | None = None,
                         order: str | None = None):
-    """Start the record branch: parse the stream, then ``foreachBatch``."""
-    logs = parse_nat_log(lines, keep=[order] if order else [])
+    """Start the record branch: parse the stream once, then ``foreachBatch``;
+    with a ``rejects`` path the rejected lines are kept too."""
+    parse = parse_all if paths.get("rejects") else parse_nat_log
+    logs = parse(lines, keep=[order] if order else [])
     writer = record_batch_writer(users_loader, paths["user_log"], paths["records"],
-                                 paths["index"], order, paths.get("matched"))
+                                 paths["index"], order, paths.get("matched"), paths.get("rejects"))
     q = logs.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     return q.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 

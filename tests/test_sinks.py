@@ -87,14 +87,15 @@ def test_text_overwrite(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(path).collect()) == ["a,2", "b,1"]
 
 
-def test_dim_docs_append_json(spark, tmp_path):
+def test_dim_docs_json_by_batch(spark, tmp_path):
     from natspark.sinks import append_dim_docs
     path = str(tmp_path / "docs")
     docs = spark.createDataFrame([("city", "C1", "3", "1704067200")], "types string, data string, count string, accesstime string")
-    append_dim_docs(docs, path)
-    append_dim_docs(docs, path)          # no id: a replay appends again, as in the reference
+    append_dim_docs(docs, path, 0)
+    append_dim_docs(docs, path, 0)       # a replay replaces the batch
+    append_dim_docs(docs, path, 1)
     back = spark.read.json(path)
-    assert back.count() == 2 and set(back.columns) == {"types", "data", "count", "accesstime"}
+    assert back.count() == 2 and set(back.columns) == {"types", "data", "count", "accesstime", "batch_id"}
 
 
 def test_dimension_loaders(spark, tmp_path):
