@@ -461,10 +461,15 @@ def one_of_each(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id",
     """``docs`` without the near-duplicates: of each group the document with
     the smallest id stays.  Rows without an id stay; of rows repeated with
     equal id and text one stays."""
-    kept = (near_duplicates(docs, p, id_col, text_col).where("kept and id is not null")
-            .groupBy(F.col("id").alias("_kept_id")).agg(F.count("*").alias("_rows")))
-    kept = materialize(kept, "nd-kept")
-    out = docs.join(kept, docs[id_col].cast("long") == kept["_kept_id"], "left_semi")
-    if kept.where("_rows > 1").limit(1).count():
-        out = out.dropDuplicates([id_col, text_col])
-    return out.unionByName(docs.where(F.col(id_col).isNull()))
+    ids = (near_duplicates(docs, p, id_col, text_col).where("id is not null")
+           .groupBy(F.col("id").alias("_id")).agg(F.max("kept").alias("_kept"), F.count("*").alias("_rows")))
+    # what goes or repeats is far less than what stays
+    marked = materialize(ids.where("not _kept or _rows > 1"), "nd-marked")
+    gone = marked.where("not _kept").select("_id")
+    if gone.count() <= p.broadcast_nodes:      # 8 bytes each; beyond the bound a shuffle join
+        gone = F.broadcast(gone)
+    out = docs.join(gone, docs[id_col].cast("long") == gone["_id"], "left_anti")
+    if marked.where("_kept").limit(1).count():
+        named = out.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, text_col])
+        out = named.unionByName(out.where(F.col(id_col).isNull()))
+    return out
