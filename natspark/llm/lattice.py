@@ -371,7 +371,7 @@ def _frequent(counts: DataFrame, limit: int) -> DataFrame:
     power = F.floor(F.log2("n")).cast("int")
     sizes = sorted(((r["b"], r["k"]) for r in counts.groupBy(power.alias("b")).agg(F.count("*").alias("k")).collect()),
                    reverse=True)
-    least, held = 63, 0
+    least, held = 62, 0
     for b, k in sizes:
         if held + k > limit:
             break
