@@ -15,7 +15,9 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.rotate(table(spark, sf_dir, "conversations")).withColumnRenamed("conv", "conv_id")
+    spans = F.transform("mask", lambda s: F.concat_ws("-", s["start"], s["end"]))
+    return (chat.rotate(table(spark, sf_dir, "conversations")).withColumnRenamed("conv", "conv_id")
+            .withColumn("mask", F.array_join(spans, ";")))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,8 +140,8 @@ y AS (SELECT *, row_number() OVER o AS n,
       FROM x WINDOW o AS (PARTITION BY conv_id, speaker, part ORDER BY turn NULLS LAST, who, body))
 SELECT conv_id, speaker, part, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
        string_agg(head || body || '<|im_end|>' || chr(10), '' ORDER BY n) AS rendered,
-       coalesce(list({'start': CAST(pos AS BIGINT), 'end': CAST(pos + length(body) + 10 AS BIGINT)} ORDER BY n)
-                FILTER (own), []) AS mask
+       coalesce(string_agg(CAST(pos AS BIGINT) || '-' || CAST(pos + length(body) + 10 AS BIGINT), ';' ORDER BY n)
+                FILTER (own), '') AS mask
 FROM y GROUP BY conv_id, speaker, part
 """
 
