@@ -22,18 +22,18 @@ def ip_to_long(col) -> Column:
 
 
 def ip_to_long_strict(col) -> Column:
-    """Value of a well-formed address (four parts, each 0..255 written in
-    canonical decimal: no sign, space or leading zero), else null.  Used
-    for range lookups, where a malformed address resolves to nothing.
+    """Value of a well-formed address (four parts of decimal digits, each
+    0..255; leading zeros are read as numbers), else null.  Used for range
+    lookups, where a malformed address resolves to nothing.
 
     The validity test is the CASE's first condition, which Spark always
     evaluates, so the split and the four casts are shared with the value
     instead of being recomputed; no regex runs per row."""
     parts = F.split(_c(col), "\\.")
     octets = [item(parts, i).try_cast("int") for i in range(4)]
-    ok = F.size(parts) == 4
-    for i, o in enumerate(octets):
-        ok = ok & o.between(0, 255) & (o.cast("string") == item(parts, i))
+    ok = (F.size(parts) == 4) & (F.translate(_c(col), "0123456789.", "") == F.lit(""))
+    for o in octets:
+        ok = ok & o.between(0, 255)
     val = (F.shiftleft(octets[0].cast("bigint"), 24) + F.shiftleft(octets[1].cast("bigint"), 16)
            + F.shiftleft(octets[2].cast("bigint"), 8) + octets[3].cast("bigint"))
     return F.when(ok, val)

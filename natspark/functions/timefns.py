@@ -45,26 +45,21 @@ def msg_time(col) -> Column:
     return F.floor(floor_minutes_ms(col, 5) / 1000).cast("bigint")
 
 
-def _wall(ts: Column, fmt_out: str, suffix: Column, fmt_in: str) -> Column:
-    return F.unix_timestamp(F.to_timestamp(F.concat(F.date_format(ts, fmt_out), suffix),
-                                           fmt_in))
-
-
 def _task_struct(ts: Column) -> Column:
-    hour = F.hour(ts)
-    minute = F.minute(ts)
-    h1 = _wall(ts, "yyyy-MM-dd HH", F.lit(""), "yyyy-MM-dd HH")
-    h6 = _wall(ts, "yyyy-MM-dd ", F.lpad((hour - hour % 6).cast("string"), 2, "0"),
-               "yyyy-MM-dd HH")
-    day = _wall(ts, "yyyy-MM-dd", F.lit(""), "yyyy-MM-dd")
-    m5 = _wall(ts, "yyyy-MM-dd HH:", F.lpad((minute - minute % 5).cast("string"), 2, "0"),
-               "yyyy-MM-dd HH:mm")
-
-    def pair(cur, step):
-        return F.struct(cur.alias("current"), (cur - F.lit(step)).alias("previous"))
-
-    return F.struct(pair(h1, 3600).alias("hour"), pair(h6, 21600).alias("six_hour"),
-                    pair(day, 86400).alias("day"), pair(m5, 300).alias("minute5"))
+    """Slots on the local clock: the instant is truncated, the rest of the
+    step is taken off the zoneless time, and the zone is applied again."""
+    def slot(unit: str, seconds: int, back: Column | None = None) -> Column:
+        local = F.date_trunc(unit, ts).cast("timestamp_ntz")
+        if back is not None:
+            local = local - back
+        cur = F.unix_seconds(local.cast("timestamp"))
+        return F.struct(cur.alias("current"), (cur - F.lit(seconds)).alias("previous"))
+
+    return F.struct(
+        slot("hour", 3600).alias("hour"),
+        slot("hour", 21600, F.make_dt_interval(hours=F.hour(ts) % 6)).alias("six_hour"),
+        slot("day", 86400).alias("day"),
+        slot("minute", 300, F.make_dt_interval(mins=F.minute(ts) % 5)).alias("minute5"))
 
 
 def task_time(epoch_seconds) -> Column:

@@ -9,6 +9,7 @@ from natspark.functions.hashing import rowkey
 from natspark.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
 from natspark.operators.joins import DEFAULT_SALTS, salted_join
 from natspark.schemas import INDEX_DOC_COLUMNS
+from natspark.sinks import in_days
 
 # Fixed value: the reference's sentinel for a source address with no login.
 UNKNOWN_USER = "UnKnown"
@@ -59,10 +60,6 @@ def enrich_user(logs: DataFrame, users: DataFrame, keep_unknown: bool = False,
     return with_rowkey(out)
 
 
-def drop_unknown_users(df: DataFrame, col: str = "username") -> DataFrame:
-    return df.where(F.col(col) != F.lit(UNKNOWN_USER))
-
-
 def index_docs(records: DataFrame) -> DataFrame:
     """``INDEX_DOC``: the searchable address fields, accesstime and row key,
     all strings, one per row key."""
@@ -73,19 +70,20 @@ def index_docs(records: DataFrame) -> DataFrame:
 def index_lookup(index: DataFrame, records: DataFrame, time_from: int | None = None,
                  time_to: int | None = None, **fields: str) -> DataFrame:
     """Records found through the index: filter the index by address/port
-    equalities and an inclusive accesstime range (epoch ms), then fetch the
+    equalities and an inclusive accesstime range (epoch ms; tables with a
+    ``day`` read only its days, on both sides), then fetch the
     records whose row key was hit: one per hit, that of the last ``batch_id``
     where the records carry one."""
     cond = F.lit(True)
     for name, value in fields.items():
         cond = cond & (F.col(name) == F.lit(str(value)))
-    at = F.col("accesstime").cast("bigint")
+    at = F.col("access_ms" if "access_ms" in index.columns else "accesstime").cast("bigint")
     if time_from is not None:
         cond = cond & (at >= F.lit(time_from))
     if time_to is not None:
         cond = cond & (at <= F.lit(time_to))
-    hits = index.where(cond).select("rowkey")
-    found = records.join(hits, "rowkey", "left_semi")
+    hits = in_days(index, time_from, time_to).where(cond).select("rowkey")
+    found = in_days(records, time_from, time_to).join(hits, "rowkey", "left_semi")
     if "batch_id" not in records.columns:
         return found.dropDuplicates(["rowkey"])
     rest = [c for c in records.columns if c != "rowkey"]

@@ -1,7 +1,8 @@
 """Batch plans over the driver's tables: one function per query key.
 
-Each takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the whole
-tables (no sampling, no row caps).  Inputs the reference gets from Kafka,
+Each takes ``(spark, sf_dir)`` and returns a DataFrame over the whole tables
+(no sampling, no row caps).  Building one counts the lookup tables and, for
+the sink and store keys, writes the sink before it is read back.  Inputs the reference gets from Kafka,
 MySQL and a geo-IP file are derived from ``events``, ``customer`` and
 ``nation`` by ``natspark.sources.fixtures``.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from natspark.functions.docs import to_json_doc
 from natspark.functions.hashing import md5_hex
 from natspark.functions.ipaddr import ip_to_long
 from natspark.functions.split import text_lines
@@ -20,11 +22,14 @@ from natspark.operators.enrich import enrich_user, index_docs, index_lookup as l
 from natspark.operators.geo import app_name as resolve_app, geo_filter as gfilter, resolve_geo as rgeo
 from natspark.operators.parse import parse_nat_log as parse, parse_rejects as rejects
 from natspark.operators.partitioning import ensure_parallelism
-from natspark.schemas import ADDRESS_FIELDS, NAT_LOG_COLUMNS, NAT_RECORD_COLUMNS
+from natspark.schemas import (ADDRESS_FIELDS, COUNT_5MIN, DIM_COUNT, INDEX_DOC_COLUMNS, NAT_LOG_COLUMNS,
+                              NAT_RECORD_COLUMNS)
 from natspark.session import scratch_path
-from natspark.sinks import latest_by_key, record_rows, user_log_lines
-from natspark.sources.fixtures import (app_ranges, ip_ranges, online_users, read_table,
-                                       syslog_lines)
+from natspark.sinks import (append_dim_docs, day_of, latest_by_key, read_keyed_store, record_rows, upsert_index,
+                            upsert_records, user_log_lines, write_counts, write_text_overwrite, write_user_log)
+from natspark.sources.fixtures import (app_ranges, edge_addresses, ip_ranges, online_users, overlapping_ranges,
+                                       read_table, syslog_lines)
+from natspark.sources.streams import read_ip_ranges, read_online_users, read_text_lines, register_view
 
 # Fixed parameters of the registered queries.
 INDEX_QUERY = {"targetPort": "443", "time_from": 1704153600000,   # 2024-01-02 00:00 UTC
@@ -100,13 +105,14 @@ def record_store(spark, sf):
 
 def index_lookup(spark, sf):
     """Search as the reference's readers would: records and index are
-    written once as tables in the shared checkpoint folder (which also cuts
-    the lineage), then the index is filtered (the equalities reach the
-    parquet scan as pushed filters) and the hits fetch their records."""
+    written once by day as tables in the shared checkpoint folder (which also
+    cuts the lineage), then the index is filtered (days prune, equalities and
+    times reach the parquet scan as pushed filters) and the hits fetch their
+    records from the same days."""
     rec_path, idx_path = scratch_path(spark, "records"), scratch_path(spark, "index")
-    records(spark, sf, keep=()).write.parquet(rec_path)
+    records(spark, sf, keep=()).select("*", day_of()).write.partitionBy("day").parquet(rec_path)
     rec = spark.read.parquet(rec_path)
-    index_docs(rec).write.parquet(idx_path)
+    upsert_index(rec, idx_path, 0)
     q = dict(INDEX_QUERY)
     hits = lookup(spark.read.parquet(idx_path), rec, q.pop("time_from"), q.pop("time_to"), **q)
     return hits.select(*NAT_RECORD_COLUMNS)
@@ -153,7 +159,7 @@ def _province_flow(spark, sf) -> DataFrame:
 
 
 def count_by_province(spark, sf):
-    _province_flow(spark, sf).createOrReplaceTempView("nat_flow")
+    register_view(_province_flow(spark, sf), "nat_flow")
     return agg.count_by_province(spark, "nat_flow")
 
 
@@ -211,6 +217,80 @@ def md5_hex_q(spark, sf):
     return lg.select("seq", md5_hex(F.concat(*ADDRESS_FIELDS)).alias("md5"))
 
 
+# --- sinks and readers: written (a batch replayed), then read back ----------
+
+def upsert_records_q(spark, sf):
+    """``record_store`` through the sink: batch 0 has every record, batch 1
+    the replayed ones and is itself delivered twice."""
+    path, rec = scratch_path(spark, "record_store"), records(spark, sf)
+    again = rec.where(F.col("seq") % REPLAY_EVERY == 0)
+    for batch_id, batch in ((0, rec), (1, again), (1, again)):
+        upsert_records(batch, path, batch_id, order="seq")
+    return read_keyed_store(spark, path).drop("day")
+
+
+def upsert_index_q(spark, sf):
+    path, rec = scratch_path(spark, "index_store"), records(spark, sf, keep=())
+    for batch_id in (0, 1, 1):
+        upsert_index(rec, path, batch_id)
+    return read_keyed_store(spark, path).select(*INDEX_DOC_COLUMNS)
+
+
+def write_counts_q(spark, sf):
+    path, counts = scratch_path(spark, "counts"), log_count_5min(spark, sf)
+    for _ in range(2):
+        write_counts(counts, path, 0)
+    return spark.read.parquet(path).select(*COUNT_5MIN.fieldNames())
+
+
+def write_user_log_q(spark, sf):
+    path = scratch_path(spark, "user_log")
+    write_user_log(records(spark, sf, keep=()), path)
+    return spark.read.text(path).select(F.col("value").alias("line"), F.col("dt").cast("string").alias("dt"))
+
+
+def dim_docs_sink(spark, sf):
+    path, docs = scratch_path(spark, "dim_docs"), dim_count_docs(spark, sf)
+    for _ in range(2):
+        append_dim_docs(docs, path, 0)
+    return spark.read.schema(DIM_COUNT).json(path).select(*DIM_COUNT.fieldNames())
+
+
+def json_docs(spark, sf):
+    return dim_count_docs(spark, sf).select(to_json_doc(DIM_COUNT.fieldNames()).alias("doc"))
+
+
+def text_overwrite(spark, sf):
+    path, counts = scratch_path(spark, "word_count"), word_count_windowed(spark, sf)
+    for _ in range(2):
+        write_text_overwrite(counts, path)
+    return read_text_lines(spark, path).withColumnRenamed("value", "line")
+
+
+def online_users_q(spark, sf):
+    path = scratch_path(spark, "users")
+    online_users(read_table(spark, sf, "customer")).write.parquet(path)
+    return read_online_users(spark, path)
+
+
+def ip_ranges_q(spark, sf):
+    path = scratch_path(spark, "ranges")
+    ip_ranges(read_table(spark, sf, "nation")).write.csv(path)
+    return read_ip_ranges(spark, path, fmt="csv")
+
+
+# --- lookups at overlaps and range ends --------------------------------------
+
+def resolve_geo_overlap(spark, sf):
+    return rgeo(logs(spark, sf, keep=()), overlapping_ranges(read_table(spark, sf, "nation")))
+
+
+def geo_edges(spark, sf):
+    nation = read_table(spark, sf, "nation")
+    found = rgeo(edge_addresses(ip_ranges(nation)), overlapping_ranges(nation))
+    return found.withColumn("ip_long", ip_to_long(F.col("targetIp")))
+
+
 BATCH_QUERIES = {
     "parse_nat_log": parse_nat_log,
     "parse_rejects": parse_rejects,
@@ -238,4 +318,15 @@ BATCH_QUERIES = {
     "task_time": task_time_q,
     "msg_time": msg_time_q,
     "md5_hex": md5_hex_q,
+    "upsert_records": upsert_records_q,
+    "upsert_index": upsert_index_q,
+    "write_counts": write_counts_q,
+    "write_user_log": write_user_log_q,
+    "dim_docs_sink": dim_docs_sink,
+    "json_docs": json_docs,
+    "text_overwrite": text_overwrite,
+    "online_users": online_users_q,
+    "ip_ranges": ip_ranges_q,
+    "resolve_geo_overlap": resolve_geo_overlap,
+    "geo_edges": geo_edges,
 }

@@ -213,5 +213,53 @@ _TAILS["word_count"] = ("SELECT word, count(*) AS count FROM "
                         "(SELECT unnest(ws) AS word FROM doc_words) t GROUP BY word")
 
 
+# Sinks read back: the rows of the query that is written.
+for _key, _same in {"upsert_records": "record_store", "upsert_index": "secondary_index",
+                    "write_counts": "log_count_5min", "dim_docs_sink": "dim_count_docs"}.items():
+    _TAILS[_key] = _TAILS[_same]
+_TAILS["write_user_log"] = f"SELECT line, dt FROM ({_TAILS['user_activity']}) u"
+_TAILS["json_docs"] = (
+    "SELECT '{\"types\":\"' || types || '\",\"data\":\"' || data || '\",\"count\":\"' || count || "
+    "'\",\"accesstime\":\"' || accesstime || '\"}' AS doc FROM (" + _TAILS["dim_count_docs"] + ") j")
+_TAILS["text_overwrite"] = (
+    "SELECT CAST(window_start AS VARCHAR) || ',' || word || ',' || CAST(count AS VARCHAR) AS line FROM ("
+    + _TAILS["word_count_windowed"] + ") t")
+_TAILS["online_users"] = "SELECT framedip, loginname, CAST(seen_at AS BIGINT) AS seen_at FROM users"
+_TAILS["ip_ranges"] = "SELECT startip, endip, local FROM ranges"
+
+# Every address against every range: the covering range of lowest end wins.
+_OVERLAP = f""",
+extra(tag, skip, blocks) AS (VALUES ('IN', 2, 1), ('LATE', 5, 2)),
+overlapping AS (
+  SELECT startip, endip, local FROM ranges
+  UNION ALL
+  SELECT startip + skip * {_T24}, startip + (skip + blocks) * {_T24} - 1,
+         'AS|CC|' || tag || '_' || CAST((startip // {_T24} - 20) // 8 AS VARCHAR) || '|' || tag
+         || '|D|ISP_' || tag || '|1|E|X|1|2' FROM ranges, extra),
+fields AS (
+  SELECT startip, endip,
+    CASE WHEN len(string_split(regexp_replace(local, '\\|+$', ''), '|')) >= 11 THEN string_split(local, '|')
+         ELSE ['', '', 'UnKnown', 'UnKnown', '', 'UnKnown'] END AS f FROM overlapping)
+"""
+_NUMBER = " + ".join(f"CAST(split_part(targetIp, '.', {i + 1}) AS BIGINT) * {256 ** (3 - i)}" for i in range(4))
+_EXTRA["resolve_geo_overlap"] = (
+    _OVERLAP + f", targets AS (SELECT DISTINCT targetIp, {_NUMBER} AS v FROM parsed), "
+    "hit AS (SELECT targetIp, arg_min(f, endip) AS f FROM targets JOIN fields "
+    "ON v BETWEEN startip AND endip GROUP BY targetIp)\n")
+_PLACE = ("coalesce(f[6], 'UnKnown') AS operator, coalesce(f[3], 'UnKnown') AS province, "
+          "coalesce(f[4], 'UnKnown') AS city")
+_TAILS["resolve_geo_overlap"] = f"SELECT parsed.*, {_PLACE} FROM parsed LEFT JOIN hit USING (targetIp)".replace(
+    "parsed.*", ", ".join(f"parsed.{c.strip()}" for c in _LOG_COLS.split(",")))
+_EXTRA["geo_edges"] = (
+    _OVERLAP + ", ends AS (SELECT unnest([startip, endip, endip + 1, startip - 1]) AS v FROM ranges), "
+    "dotted AS (SELECT v, concat_ws('.', v // 16777216, v // 65536 % 256, v // 256 % 256, v % 256) AS ip FROM ends), "
+    "addresses AS (SELECT ip AS targetIp, v, v AS ip_long FROM dotted UNION ALL SELECT '0' || ip, v, v FROM dotted "
+    "UNION ALL SELECT split_part(ip, '.', 1) || '.' || split_part(ip, '.', 2) || '.' || split_part(ip, '.', 3), "
+    "NULL, 0 FROM dotted), "
+    "hit AS (SELECT v, arg_min(f, endip) AS f FROM (SELECT DISTINCT v FROM addresses) a JOIN fields "
+    "ON v BETWEEN startip AND endip GROUP BY v)\n")
+_TAILS["geo_edges"] = (f"SELECT targetIp, ip_long, {_PLACE} FROM addresses LEFT JOIN hit USING (v)")
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: BASE + _EXTRA.get(k, "") + tail for k, tail in _TAILS.items()}

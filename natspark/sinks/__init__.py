@@ -7,13 +7,13 @@ keyed stores (records, index) are read back as "latest row per key" across
 batches, the role a wide-column table's put plays in the reference.
 """
 
-from natspark.sinks.writers import (append_dim_docs, batch_partition_write, console,
+from natspark.sinks.writers import (append_dim_docs, batch_partition_write, console, day_of, in_days,
                                     latest_by_key, read_keyed_store, record_rows,
                                     upsert_index, upsert_records, user_log_lines,
                                     write_counts, write_counts_jdbc, write_text_overwrite,
                                     write_user_log)
 
-__all__ = ["append_dim_docs", "batch_partition_write", "console", "latest_by_key",
+__all__ = ["append_dim_docs", "batch_partition_write", "console", "day_of", "in_days", "latest_by_key",
            "read_keyed_store", "record_rows", "upsert_index", "upsert_records",
            "user_log_lines", "write_counts", "write_counts_jdbc", "write_text_overwrite",
            "write_user_log"]

@@ -5,9 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from natspark.functions.docs import to_json_doc
 from natspark.schemas import INDEX_DOC_COLUMNS, NAT_LOG_COLUMNS
 
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss"
+DAY_MS = 86_400_000
+
+
+def day_of(ms="accesstime"):
+    """Partition column of the keyed stores: days since the epoch of an
+    epoch-millisecond time.  A row key ends in its accesstime, so all puts
+    of one key fall on one day."""
+    return F.expr(f"{ms} div {DAY_MS}").alias("day")
+
+
+def in_days(df: DataFrame, time_from: int | None, time_to: int | None) -> DataFrame:
+    """Rows whose ``day`` can hold a time of the inclusive range (a partition
+    filter on a store; a table without ``day`` stays whole)."""
+    if "day" not in df.columns:
+        return df
+    if time_from is not None:
+        df = df.where(F.col("day") >= F.lit(time_from // DAY_MS))
+    if time_to is not None:
+        df = df.where(F.col("day") <= F.lit(time_to // DAY_MS))
+    return df
 
 
 def batch_partition_write(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
@@ -57,28 +78,31 @@ def record_rows(records: DataFrame, extra: tuple = ()) -> DataFrame:
 
 
 def _dedupe_in_batch(df: DataFrame, key: str, order: str | None) -> DataFrame:
-    if order is None:
-        return df.dropDuplicates([key])
     cols = [c for c in df.columns if c != key]
-    best = F.max_by(F.struct(*cols), F.col(order))
+    last = F.struct(*([order] if order else []), *[c for c in cols if c != order])
+    best = F.max_by(F.struct(*cols), last)
     return df.groupBy(key).agg(best.alias("_r")).select(key, "_r.*")
 
 
 def upsert_records(records: DataFrame, path: str, batch_id: int,
                    order: str | None = None) -> None:
     """K3: one row per row key in the batch (the last by ``order`` when
-    given), written to the batch's partition."""
-    rows = record_rows(records, (order,) if order else ())
+    given, the largest among equals, so that a replay writes the same),
+    written to the batch's partition, by day."""
+    rows = record_rows(records, (*((order,) if order else ()), day_of()))
     rows = _dedupe_in_batch(rows, "rowkey", order)
     if order is not None:
         rows = rows.drop(order)
-    batch_partition_write(rows, path, batch_id)
+    batch_partition_write(rows, path, batch_id, partition_cols=("day",))
 
 
 def upsert_index(records: DataFrame, path: str, batch_id: int) -> None:
-    """K4: ``INDEX_DOC`` rows keyed by row key."""
-    docs = records.select(*[F.col(c).cast("string").alias(c) for c in INDEX_DOC_COLUMNS])
-    batch_partition_write(docs.dropDuplicates(["rowkey"]), path, batch_id)
+    """K4: ``INDEX_DOC`` rows keyed by row key, by day, with the time also
+    as a number (``access_ms``) for pushed range filters.  All index fields
+    follow from the key, so any of its rows is the same document."""
+    docs = records.select(*[F.col(c).cast("string").alias(c) for c in INDEX_DOC_COLUMNS],
+                          F.col("accesstime").cast("bigint").alias("access_ms"), day_of())
+    batch_partition_write(docs.dropDuplicates(["rowkey"]), path, batch_id, partition_cols=("day",))
 
 
 def latest_by_key(df: DataFrame, key: str = "rowkey", order: str = "batch_id") -> DataFrame:
@@ -90,14 +114,16 @@ def latest_by_key(df: DataFrame, key: str = "rowkey", order: str = "batch_id") -
             .select(key, "_r.*"))
 
 
-def read_keyed_store(spark: SparkSession, path: str, key: str = "rowkey") -> DataFrame:
-    return latest_by_key(spark.read.parquet(path), key)
+def read_keyed_store(spark: SparkSession, path: str, key: str = "rowkey",
+                     time_from: int | None = None, time_to: int | None = None) -> DataFrame:
+    """Last row of every key; a time range prunes to its days first."""
+    return latest_by_key(in_days(spark.read.parquet(path), time_from, time_to), key)
 
 
 def append_dim_docs(docs: DataFrame, path: str, batch_id: int = 0) -> None:
     """K5: ``DIM_COUNT`` documents as JSON lines, as the batch's partition: a
     replay replaces it, another batch adds to it."""
-    batch_partition_write(docs, path, batch_id, fmt="json")
+    batch_partition_write(docs.select(to_json_doc(docs.columns).alias("value")), path, batch_id, fmt="text")
 
 
 def write_text_overwrite(df: DataFrame, path: str, single_file: bool = False) -> None:

@@ -87,6 +87,29 @@ def ip_ranges(nation: DataFrame) -> DataFrame:
                          local.alias("local"))
 
 
+def overlapping_ranges(nation: DataFrame) -> DataFrame:
+    """``ip_ranges`` and, per nation, a range nested in its third block and
+    one that starts in its last block and ends a block behind it."""
+    base = ip_ranges(nation)
+    n = _s(F.expr(f"(startip div {TWO24} - 20) div 8"))
+
+    def extra(tag: str, first: int, blocks: int) -> DataFrame:
+        local = F.concat(F.lit(f"AS|CC|{tag}_"), n, F.lit(f"|{tag}|D|ISP_{tag}|1|E|X|1|2"))
+        start = F.col("startip") + first * TWO24
+        return base.select(start.alias("startip"), (start + blocks * TWO24 - 1).alias("endip"), local.alias("local"))
+
+    return base.unionByName(extra("IN", 2, 1)).unionByName(extra("LATE", 5, 2))
+
+
+def edge_addresses(ranges: DataFrame) -> DataFrame:
+    """``targetIp`` texts at and just outside the ends of every range, each
+    also with a leading zero and without its last part."""
+    v = ranges.select(F.explode(F.array("startip", "endip", F.col("endip") + 1, F.col("startip") - 1)).alias("v"))
+    ip = v.selectExpr(f"concat_ws('.', v div {TWO24}, v div 65536 % 256, v div 256 % 256, v % 256) AS ip")
+    return ip.select(F.explode(F.array("ip", F.concat(F.lit("0"), "ip"), F.substring_index("ip", ".", 3)))
+                     .alias("targetIp"))
+
+
 def app_ranges(nation: DataFrame) -> DataFrame:
     """``APP_RANGE`` rows: half-open ``[start, end)`` over the same blocks as
     ``ip_ranges``, ``APP_<n % 6>``, ord = n; nation 0 also adds an overlapping
