@@ -20,6 +20,7 @@ if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from natspark.operators.aggregate import dim_count_docs  # noqa: E402
 from natspark.plans.jobs import run_dimension_job, run_record_job, run_word_count_job  # noqa: E402
@@ -41,11 +42,18 @@ def _users_loader(spark: SparkSession, args) -> callable:
     return load
 
 
+def with_arrival(lines: DataFrame) -> DataFrame:
+    """Kafka lines with ``arrival``, which orders lines across partitions:
+    the broker's time, then partition and offset."""
+    return lines.withColumn("arrival", F.struct("kafka_ts", "partition", "seq"))
+
+
 def _lines(spark: SparkSession, args) -> DataFrame:
     if args.kafka_servers:
-        return read_syslog_kafka(spark, args.kafka_servers, args.topic, args.starting_offsets,
-                                 min_partitions=args.kafka_min_partitions,
-                                 max_offsets_per_trigger=args.max_offsets_per_trigger)
+        lines = read_syslog_kafka(spark, args.kafka_servers, args.topic, args.starting_offsets,
+                                  min_partitions=args.kafka_min_partitions,
+                                  max_offsets_per_trigger=args.max_offsets_per_trigger)
+        return with_arrival(lines)
     return read_text_stream(spark, args.text_dir, args.max_files_per_trigger)
 
 
@@ -65,7 +73,8 @@ def start_streams(spark: SparkSession, args) -> list:
                             {"user_log": f"{out}/username", "records": f"{out}/records",
                              "index": f"{out}/index", "matched": f"{out}/matched_partials",
                              "rejects": f"{out}/rejects"},
-                            f"{ckpt}/records", trigger),
+                            f"{ckpt}/records", trigger,
+                            order="arrival" if args.kafka_servers else None),
     ]
     return queries
 

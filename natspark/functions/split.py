@@ -47,12 +47,6 @@ def item(arr: Column, index: int) -> Column:
     return F.get(arr, index)
 
 
-def split_words(col, sep: str = " ") -> Column:
-    """Words of a line split on one space: inner empties kept, trailing ones
-    dropped; an empty line gives one empty word, a blank line none."""
-    return F.explode(jsplit(col, sep))
-
-
 def text_lines(col) -> Column:
     """Lines of a text as a text-file reader sees them: split on ``\\n`` or
     ``\\r\\n``, no extra empty line after a final newline, no line at all

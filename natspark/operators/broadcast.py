@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Default bound on rows shipped to every executor: at the 60-100 bytes per
 # row of the lookup tables here (an address, a login or three short
@@ -17,11 +16,3 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows: one count per task,
     summed.  Meant for lookup tables, never for a plan that holds the logs."""
     return df.count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is within ``max_rows``, else
-    ``df`` unchanged (the planner then shuffles both sides)."""
-    if max_rows > 0 and row_count_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
