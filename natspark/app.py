@@ -23,12 +23,14 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from natspark.operators.aggregate import dim_count_docs  # noqa: E402
-from natspark.plans.jobs import run_dimension_job, run_record_job, run_word_count_job  # noqa: E402
+from natspark.operators.parse import accepted  # noqa: E402
+from natspark.plans.jobs import (parsed_slice, run_dimension_job, run_record_job,  # noqa: E402
+                                 run_word_count_job)
 from natspark.session import cluster_session  # noqa: E402
 from natspark.sources.streams import (read_ip_ranges, read_online_users,  # noqa: E402
                                       read_syslog_kafka, read_text_lines, read_text_stream)
-from natspark.streaming.pipelines import (dim_count_stream, log_count_stream,  # noqa: E402
-                                          start_counts, start_record_branch)
+from natspark.streaming.pipelines import (dim_counts, log_counts, start_counts,  # noqa: E402
+                                          start_parse, start_records)
 
 
 def _users_loader(spark: SparkSession, args) -> callable:
@@ -58,25 +60,29 @@ def _lines(spark: SparkSession, args) -> DataFrame:
 
 
 def start_streams(spark: SparkSession, args) -> list:
-    """Start every streaming branch; returns the StreamingQuery handles."""
+    """Start every streaming branch; returns the StreamingQuery handles.  One
+    query parses the lines into a table; the branches read that table."""
     trigger = ({"availableNow": True} if args.available_now
                else {"processingTime": f"{args.trigger_seconds} seconds"})
     out, ckpt = args.out.rstrip("/"), args.checkpoint.rstrip("/")
     load_users = _users_loader(spark, args)
     ranges = read_ip_ranges(spark, args.ranges, args.ranges_format)
-    queries = [
-        start_counts(log_count_stream(_lines(spark, args), args.delay), f"{out}/log_count",
+    order = "arrival" if args.kafka_servers else None
+    parse, parsed = start_parse(_lines(spark, args), f"{out}/parsed", f"{ckpt}/parsed", trigger, order)
+    if args.available_now:      # the branches take what is there when they start
+        parse.awaitTermination()
+    return [
+        parse,
+        start_counts(log_counts(accepted(parsed()), args.delay), f"{out}/log_count",
                      f"{ckpt}/log_count", trigger),
-        start_counts(dim_count_docs(dim_count_stream(_lines(spark, args), ranges, args.delay)),
+        start_counts(dim_count_docs(dim_counts(accepted(parsed()), ranges, args.delay)),
                      f"{out}/dim_docs", f"{ckpt}/dim_docs", trigger),
-        start_record_branch(_lines(spark, args), load_users,
-                            {"user_log": f"{out}/username", "records": f"{out}/records",
-                             "index": f"{out}/index", "matched": f"{out}/matched_partials",
-                             "rejects": f"{out}/rejects"},
-                            f"{ckpt}/records", trigger,
-                            order="arrival" if args.kafka_servers else None),
+        start_records(parsed(), load_users,
+                      {"user_log": f"{out}/username", "records": f"{out}/records",
+                       "index": f"{out}/index", "matched": f"{out}/matched_partials",
+                       "rejects": f"{out}/rejects"},
+                      f"{ckpt}/records", trigger, order=order),
     ]
-    return queries
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -126,8 +132,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         lines = read_text_lines(spark, args.lines)
         users = _users_loader(spark, args)()
         ranges = read_ip_ranges(spark, args.ranges, args.ranges_format)
-        run_record_job(lines, users, args.out, args.batch_id)
-        run_dimension_job(lines, ranges, args.out, batch_id=args.batch_id)
+        parsed = parsed_slice(lines, args.out, args.batch_id)
+        run_record_job(lines, users, args.out, args.batch_id, parsed=parsed)
+        run_dimension_job(lines, ranges, args.out, batch_id=args.batch_id, parsed=parsed)
         return 0
     queries = start_streams(spark, args)
     for q in queries:

@@ -96,6 +96,27 @@ def parse_all(lines: DataFrame, value: str = "value", grain_minutes: int = 5,
     return _fields(lines, value, grain_minutes, list(keep))
 
 
+def parse_table(lines: DataFrame, value: str = "value", grain_minutes: int = 5,
+                keep: list[str] | tuple = ()) -> DataFrame:
+    """Accepted and rejected rows of one parse, to be written once and read
+    by every branch: ``keep`` and ``NAT_LOG`` columns, ``reason`` (null when
+    accepted) and ``line`` (the raw line of a rejected row, else null)."""
+    parsed = parse_all(lines, value, grain_minutes, keep)
+    cols = [*keep, *NAT_LOG_COLUMNS, "reason"]
+    rows = _select_rows(parsed, "_arity_ok", [*NAT_LOG_COLUMNS, "reason", "_line"], keep)
+    return rows.selectExpr(*[X.ident(c) for c in cols], "CASE WHEN reason IS NOT NULL THEN _line END AS line")
+
+
+def accepted(table: DataFrame) -> DataFrame:
+    """The parsed logs of a ``parse_table``."""
+    return table.where("reason IS NULL").drop("reason", "line")
+
+
+def rejected(table: DataFrame, keep: list[str] | tuple = ()) -> DataFrame:
+    """The rejected lines of a ``parse_table``, as ``parse_rejects`` gives them."""
+    return table.where("reason IS NOT NULL").select(*keep, "line", "reason")
+
+
 def parse_nat_log(lines: DataFrame, value: str = "value", grain_minutes: int = 5,
                   keep: list[str] | tuple = (), mode: str = "drop") -> DataFrame:
     """Parsed NAT logs (``NAT_LOG`` columns plus ``keep``).

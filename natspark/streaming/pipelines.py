@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from natspark.operators import aggregate as agg
 from natspark.operators.enrich import enrich_user
 from natspark.operators.geo import geo_filter, resolve_geo
-from natspark.operators.parse import parse_all, parse_nat_log
+from natspark.operators.parse import accepted, parse_nat_log, parse_table, rejected
 from natspark.sinks import (batch_partition_write, upsert_index, upsert_records,
                             user_log_lines)
 
@@ -27,15 +27,25 @@ PARITY_DELAY = "0 seconds"
 
 def log_count_stream(lines: DataFrame, delay: str = PARITY_DELAY) -> DataFrame:
     """A2 on a stream of lines: ``COUNT_5MIN`` rows, append mode."""
-    logs = agg.with_event_time(parse_nat_log(lines), delay=delay)
-    return agg.log_count_5min(logs)
+    return log_counts(parse_nat_log(lines), delay)
+
+
+def log_counts(logs: DataFrame, delay: str = PARITY_DELAY) -> DataFrame:
+    """A2 on a stream of parsed logs."""
+    return agg.log_count_5min(agg.with_event_time(logs, delay=delay))
 
 
 def dim_count_stream(lines: DataFrame, ranges: DataFrame, delay: str = PARITY_DELAY,
                      drop_unresolved: bool = False) -> DataFrame:
     """A4 on a stream: geo-resolve (stream-static join against the range
     table), filter, then one windowed count over the exploded dimensions."""
-    geo = geo_filter(resolve_geo(parse_nat_log(lines), ranges), drop_unresolved)
+    return dim_counts(parse_nat_log(lines), ranges, delay, drop_unresolved)
+
+
+def dim_counts(logs: DataFrame, ranges: DataFrame, delay: str = PARITY_DELAY,
+               drop_unresolved: bool = False) -> DataFrame:
+    """A4 on a stream of parsed logs."""
+    geo = geo_filter(resolve_geo(logs, ranges), drop_unresolved)
     return agg.dim_count_5min(agg.with_event_time(geo, delay=delay))
 
 
@@ -76,16 +86,14 @@ def record_batch_writer(users_loader: Callable[[], DataFrame], user_log_path: st
     failure leaves no duplicate.  With ``matched_path`` the batch's matched
     counts per window are written too (A3 with users as fresh as the records;
     read them with ``read_matched_counts``).  A batch that still holds the
-    rejected lines (``parse_all``) has them written to ``rejects_path``."""
+    rejected lines (``parse_table``) has them written to ``rejects_path``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         logs, parsed = batch, None
         if "reason" in batch.columns:
             parsed = batch.persist()
-            bad = parsed.where("_arity_ok AND reason IS NOT NULL")
-            batch_partition_write(bad.select(*([order] if order else []), F.col("_line").alias("line"), "reason"),
-                                  rejects_path, batch_id)
-            logs = parsed.where("_arity_ok AND reason IS NULL").drop("_line", "_arity_ok", "reason")
+            batch_partition_write(rejected(parsed, [order] if order else []), rejects_path, batch_id)
+            logs = accepted(parsed)
         records = enrich_user(logs, users_loader()).persist()
         try:
             lines = user_log_lines(records).select(F.col("line").alias("value"), "dt")
@@ -108,14 +116,38 @@ def start_record_branch(lines: DataFrame, users_loader: Callable[[], DataFrame],
                         order: str | None = None):
     """Start the record branch: parse the stream once, then ``foreachBatch``;
     with a ``rejects`` path the rejected lines are kept too."""
-    parse = parse_all if paths.get("rejects") else parse_nat_log
-    logs = parse(lines, keep=[order] if order else [])
+    parse = parse_table if paths.get("rejects") else parse_nat_log
+    return start_records(parse(lines, keep=[order] if order else []), users_loader, paths,
+                         checkpoint, trigger, order)
+
+
+def start_records(logs: DataFrame, users_loader: Callable[[], DataFrame], paths: dict,
+                  checkpoint: str, trigger: dict | None = None, order: str | None = None):
+    """The record branch on a stream of parsed logs, or of a ``parse_table``
+    (with a ``rejects`` path)."""
     writer = record_batch_writer(users_loader, paths["user_log"], paths["records"],
                                  paths["index"], order, paths.get("matched"), paths.get("rejects"))
     q = logs.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     return q.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
+def start_parse(lines: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                order: str | None = None):
+    """Parse a stream of lines once into a table that the branches read as
+    a stream each.  Spark's file sink lists every batch's files once, so a
+    restart neither loses nor repeats rows for the readers.  Returns the query
+    and a function that opens such a stream."""
+    table = parse_table(lines, keep=[order] if order else [])
+    spark = lines.sparkSession
+    # The readers may start before the first batch is written.
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    query = (table.writeStream.outputMode("append").format("parquet")
+             .option("path", path).option("checkpointLocation", checkpoint)
+             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+    return query, lambda: spark.readStream.schema(table.schema).parquet(path)
+
+
 def start_counts(counts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
     """Start an append-mode windowed count into parquet files (exactly-once
     file sink with its own metadata log)."""

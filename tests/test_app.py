@@ -45,6 +45,30 @@ def test_stream_command_available_now(spark, tmp_path):
         assert os.path.isdir(f"{out}/{sub}")
 
 
+def test_stream_command_parses_once_and_a_rerun_adds_nothing(spark, tmp_path):
+    lines_dir, users, ranges = _inputs(spark, tmp_path)
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    args = ["stream", "--text-dir", lines_dir, "--users", users, "--ranges", ranges,
+            "--out", out, "--checkpoint", ckpt, "--available-now"]
+
+    def kept():
+        parsed = spark.read.parquet(f"{out}/parsed")
+        return {"accepted": parsed.where("reason IS NULL").count(),
+                "rejected": parsed.where("reason IS NOT NULL").count(),
+                **{d: spark.read.parquet(f"{out}/{d}").count()
+                   for d in ("log_count", "dim_docs", "records", "rejects")}}
+
+    assert app.main(args, spark) == 0
+    first = kept()
+    assert first["accepted"] == batch.parse_nat_log(spark, SF).count()
+    assert first["rejected"] == first["rejects"] == batch.parse_rejects(spark, SF).count() > 0
+    assert app.main(args, spark) == 0         # nothing new to read
+    assert kept() == first
+    (tmp_path / "lines" / "more.txt").write_text("one, malformed line\n")
+    assert app.main(args, spark) == 0
+    assert kept() == {**first, "rejected": first["rejected"] + 1, "rejects": first["rejects"] + 1}
+
+
 def test_wordcount_command(spark, tmp_path):
     src = tmp_path / "t.txt"
     src.write_text("x y x\n")
