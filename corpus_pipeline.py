@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from natspark.llm import langid, mixing, neardup, sentencepiece
-from natspark.llm.common import id_remainder, materialize, table
+from natspark.llm.common import bounded_batches, id_remainder, materialize, table
 from natspark.llm.queries import tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no language is found for (or only for a small part of
     their letters) go; clean ones stay as they are."""
+    bounded_batches(spark)
     model = langid.fit(docs.where(id_remainder(F.col("doc_id"), 5) != 0))
     seen = langid.identify(docs, model, with_spans=False)
     return seen.where(langid.accepted(F.col("lang_pred"), F.col("score"))).select(*docs.columns)
@@ -26,6 +27,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five-word shingles, similarity 0.8)
     the document with the smallest id stays."""
+    bounded_batches(spark)
     return neardup.one_of_each(docs)
 
 
@@ -37,6 +39,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every row of the mix."""
+    bounded_batches(spark)
     ids = sentencepiece.encode(docs.select("doc_id", "source", "lang", "text"),
                                sentencepiece.read_model(tokenizer_path()), outputs=("n_tokens", "ids"))
     return ids.drop("text")

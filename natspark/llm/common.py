@@ -32,6 +32,15 @@ def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, max_bytes: int = 8 << 20) -> None:
+    """Cut Arrow batches of whole texts at about ``max_bytes`` (a batch is in
+    memory several times, in the JVM and in Python).  Only the size of the
+    batches changes, no row; a limit that the session already has stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext.getConf().get(key) is None:
+        spark.conf.set(key, str(max_bytes))
+
+
 def id_remainder(col: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; null for a null id."""
     return F.crc32(col.cast("string").cast("binary")) % mod
@@ -47,7 +56,7 @@ def free_name(df: DataFrame, base: str) -> str:
 
 # ------------------------------------------------------------------ Arrow text
 
-def text_chunks(col: pa.Array, max_bytes: int = 2 << 20
+def text_chunks(col: pa.Array, max_bytes: int = 1 << 20
                 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a string column into runs of whole texts of about ``max_bytes``.
 
@@ -113,7 +122,7 @@ class _Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 4 << 20)
+            size = max(n, (1 << 20) + 1, 2 * len(self.up))
             for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
                 p = np.full(size, base, np.uint64)
                 p[0] = 1
