@@ -1,9 +1,12 @@
 """License scans: TF-IDF cosine to templates, then directory inheritance.
 
-Every line (header) of a text that names a license, and the whole text, is
-compared with each template by the cosine of sparse TF-IDF vectors; the
-inverse document frequencies count all texts.  A file whose text is little
-else than a license is a license file and covers its directory.  A file
+Headers are windows of lines around each line that names a license, before and
+after it, up to the length of the longest short template.  They, the whole
+text and, in longer texts, windows as long as each licence body are compared
+with the templates (notices, standard file headers, licence bodies) by the
+cosine of sparse TF-IDF vectors; the inverse document frequencies count all
+texts.  An SPDX tag names its license itself.  A file whose whole text is a
+license, or little else, is a license file and covers its directory.  A file
 without a license of its own inherits that of the nearest ancestor directory
 that has one, found by joins of directory paths.
 """
@@ -14,7 +17,9 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Mapping
+from importlib import resources
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,6 +46,59 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC0-1.0": "Released into the public domain under CC0 1.0.",
 }
+
+
+def _gnu(work: str, name: str, version: str, more: str) -> str:
+    return (f"This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} "
+            f"as published by the Free Software Foundation, either version {version} of the License, or (at your "
+            f"option) any later version. This {work} is distributed in the hope that it will be useful, but WITHOUT "
+            "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. "
+            f"See the GNU {name} for more details. You should have received a copy of the GNU {name} along with this "
+            f"{work}. If not, {more}.")
+
+
+_WEB, _MAIL = "see https://www.gnu.org/licenses/", ("write to the Free Software Foundation, Inc., 51 Franklin Street, "
+                                                    "Fifth Floor, Boston, MA 02110-1301 USA")
+# The standard headers of source files.
+HEADERS = {
+    "Apache-2.0 (header)": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
+                           "except in compliance with the License. You may obtain a copy of the License at "
+                           "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to "
+                           "in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+                           "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License "
+                           "for the specific language governing permissions and limitations under the License.",
+    "GPL-3.0 (header)": _gnu("program", "General Public License", "3", _WEB),
+    "GPL-2.0 (header)": _gnu("program", "General Public License", "2", _MAIL),
+    "LGPL-3.0 (header)": _gnu("library", "Lesser General Public License", "3", _WEB),
+    "LGPL-2.1 (header)": _gnu("library", "Lesser General Public License", "2.1", _MAIL),
+    "AGPL-3.0 (header)": _gnu("program", "Affero General Public License", "3", _WEB),
+    "MPL-2.0 (header)": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy "
+                        "of the MPL was not distributed with this file, You can obtain one at "
+                        "https://mozilla.org/MPL/2.0/.",
+    "BSD-3-Clause (header)": "Use of this source code is governed by a BSD-style license that can be found in the "
+                             "LICENSE file.",
+}
+
+
+def licence_bodies() -> dict[str, str]:
+    """The licence texts beside this module, by file name.  That of the AGPL
+    is made from the GPL's: its name throughout, and its section 13."""
+    texts = resources.files(__package__).joinpath("license_texts").iterdir()
+    out = {f"{f.name.removesuffix('.txt')} (text)": f.read_text() for f in sorted(texts, key=lambda f: f.name)}
+    gpl = re.sub(r"(?i)\bGNU\s+General\s+Public", "GNU Affero General Public", out["GPL-3.0 (text)"])
+    out["AGPL-3.0 (text)"] = gpl + (
+        "Remote Network Interaction. Notwithstanding any other provision of this License, if you modify the Program, your "
+        "modified version must prominently offer all users interacting with it remotely through a computer network (if "
+        "your version supports such interaction) an opportunity to receive the Corresponding Source of your version by "
+        "providing access to the Corresponding Source from a network server at no charge, through some standard or "
+        "customary means of facilitating copying of software.")
+    return out
+
+
+ALL_TEMPLATES = TEMPLATES | HEADERS | licence_bodies()
+# Fixed value: templates of at most so many terms are looked for in windows of lines.
+SHORT_TERMS = 400
+TAG = re.compile(r"SPDX-License-Identifier:\s*([^\r\n]+)", re.I)
 # Fixed value: a header must hold one of these to be compared.
 CUE = re.compile(r"licen[cs]e|copyright|permission is|redistribution|public domain|spdx|creative commons", re.I)
 _TERM = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
@@ -62,6 +120,10 @@ class Matcher:
     def __init__(self, templates: Mapping[str, str], idf: Mapping[str, float], rare: float):
         self.idf, self.rare = dict(idf), rare
         self.templates = [(name, self._unit(terms(text))) for name, text in sorted(templates.items())]
+        size = {name: sum(terms(text).values()) for name, text in templates.items()}
+        self.short = [t for t in self.templates if size[t[0]] <= SHORT_TERMS]
+        self.long = [(t, size[t[0]]) for t in self.templates if size[t[0]] > SHORT_TERMS]
+        self.reach = 1.25 * max((size[n] for n, _ in self.short), default=0)
 
     def _unit(self, tf: Counter) -> dict[str, float]:
         v = {t: (1 + math.log(n)) * self.idf.get(t, self.rare) for t, n in tf.items()}
@@ -78,6 +140,80 @@ class Matcher:
                 name, top = n, s
         return name, min(top, 1.0)
 
+    def _cosines(self, counts: np.ndarray, words: list[str], templates: list[tuple[str, dict[str, float]]]) -> np.ndarray:
+        """Cosines of rows of term counts (columns ``words``) to templates."""
+        idf = np.array([self.idf.get(t, self.rare) for t in words])
+        v = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0) * idf
+        norm = np.sqrt((v * v).sum(1))
+        m = np.array([[t.get(w, 0.0) for _, t in templates] for w in words])
+        return (v @ m) / np.where(norm > 0, norm, 1.0)[:, None]
+
+    def best_window(self, lines: list[list[str]], cues: list[int]) -> tuple[str | None, float, int, int]:
+        """(template, cosine, first line, line after the last) of the best
+        window of lines that holds a cue; ``lines`` are lists of terms.
+
+        A window has at most a quarter more terms than the longest short
+        template; each cue line also stands alone and with the next.  Every
+        window is compared once, at its first cue; among equals the first cue,
+        then the fewest lines before it and after it, then the name count."""
+        found: tuple[str | None, float, int, int] = (None, 0.0, 0, 0)
+        if not self.short:
+            return found
+        size = np.concatenate([[0], np.cumsum([len(x) for x in lines])])
+        before = -1
+        for c in cues:
+            low = c
+            while low - 1 > before and size[c + 1] - size[low - 1] <= self.reach:
+                low -= 1
+            high = min(c + 2, len(lines))
+            while high < len(lines) and size[high + 1] - size[c] <= self.reach:
+                high += 1
+            before = c
+            words = list(dict.fromkeys(t for x in lines[low:high] for t in x))
+            at = {t: i for i, t in enumerate(words)}
+            total = np.zeros((high - low + 1, len(words)))
+            for i, x in enumerate(lines[low:high]):
+                for t in x:
+                    total[i + 1, at[t]] += 1
+            total = total.cumsum(0)
+            for s in range(c, low - 1, -1):
+                ends = [e for e in range(c + 1, high + 1)
+                        if e == c + 1 or size[e] - size[s] <= self.reach or (s, e) == (c, c + 2)]
+                cos = self._cosines(total[[e - low for e in ends]] - total[s - low], words, self.short)
+                if cos.max() > found[1] + 1e-12:
+                    k, n = divmod(int(np.argmax(cos >= cos.max() - 1e-12)), cos.shape[1])
+                    found = (self.short[n][0], float(cos[k, n]), s, ends[k])
+        return found
+
+    def best_body(self, words: list[str]) -> tuple[str | None, float, int, int]:
+        """(template, cosine, first term, number of terms) of the best window
+        as long as a licence body, in a text that is longer than the body."""
+        found: tuple[str | None, float, int, int] = (None, 0.0, 0, 0)
+        known: dict[str, int] = {}
+        ids = np.array([known.setdefault(t, len(known)) for t in words], np.int64)
+        names = list(known)
+        for template, n in self.long:
+            for first in (range(0, len(ids) - n + max(1, n // 8), max(1, n // 8)) if len(ids) > n else ()):
+                used, count = np.unique(ids[first:first + n], return_counts=True)
+                s = float(self._cosines(count[None, :], [names[i] for i in used], [template])[0, 0])
+                if s > found[1] + 1e-12:
+                    found = (template[0], s, first, n)
+        return found
+
+
+def tagged(line: str) -> str | None:
+    """The license that an SPDX tag in the line names, if it is one of the
+    templates'; of an expression the first such."""
+    tag = TAG.search(line)
+    for word in re.findall(r"[A-Za-z0-9.+-]+", tag[1]) if tag else ():
+        name = _KNOWN.get(re.sub(r"(-only|-or-later|\+)$", "", word, flags=re.I).lower())
+        if name:
+            return name
+    return None
+
+
+_KNOWN = {spdx(name).lower(): spdx(name) for name in ALL_TEMPLATES}
+
 
 def document_frequencies(files: DataFrame, text_col: str, templates: Mapping[str, str]) -> tuple[dict[str, int], int]:
     """In how many of all texts each template term occurs, and their number.
@@ -104,17 +240,21 @@ SCAN = "license string, similarity double, header string, is_license_file boolea
 
 
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
-         templates: Mapping[str, str] = TEMPLATES, threshold: float = 0.7, file_share: float = 0.5,
+         templates: Mapping[str, str] = ALL_TEMPLATES, threshold: float = 0.7, file_share: float = 0.5,
          name_rule: str = r"(?i)^(licen[cs]e|copying|notice|unlicense)([._-].*)?$") -> DataFrame:
     """Add to ``files`` (all columns but the text): ``license`` (identifier or
-    null), ``similarity``, ``header`` (the matching line) and
-    ``is_license_file``: a license was found, and the file is named like one
-    or at least ``file_share`` of its terms stand in that match.
-
-    Headers are all lines with a cue word, each also together with the next
-    (a notice may be broken in two).  The best match above ``threshold`` wins;
-    among equals the earlier line.  Columns of the four names are replaced.  A
-    null or empty text has no license.  An empty table gives no rows.
+    null), ``similarity``, ``header`` (the matching lines; the first line of
+    a matching whole text or body) and ``is_license_file``: a license was
+    found, and the file is named like one, or its whole text matches above
+    ``threshold``, or at least ``file_share`` of its terms stand in the match.
+
+    Compared are the windows of lines around each line with a cue word, the
+    whole text, and windows as long as each licence body; a known SPDX tag
+    has similarity 1.  Only texts with a cue word are compared.  The best match above
+    ``threshold`` wins; among equals a tag, then the window of lines, the
+    earlier line first, then the whole text.  Columns of the four names are
+    replaced.  A null or empty text has no license.  An empty table gives no
+    rows.
     """
     df, total = document_frequencies(files, text_col, templates)
     rare = math.log(1 + total)
@@ -123,34 +263,39 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
     names = [c for c in files.columns if c.lower() not in added and c != text_col]
     src = files.select(*[F.col(f"`{c}`") for c in names], F.col(path_col).alias("_p"), F.col(text_col).alias("_t"))
     rule = re.compile(name_rule)
+    ids = {spdx(name) for name in templates}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(templates, idf, rare + 1)
-        known: dict[str, tuple[str | None, float]] = {}
-
-        def best(header: str) -> tuple[str | None, float]:
-            if len(known) > 100_000:
-                known.clear()
-            if header not in known:
-                known[header] = matcher.best(header)
-            return known[header]
 
         def one(path: str | None, text: str | None) -> tuple:
             if not text or not CUE.search(text):
                 return None, 0.0, None, False
             lines = [x.strip() for x in text.split("\n")]
-            name, top, header = None, 0.0, None
-            for i, line in enumerate(lines):
-                if CUE.search(line):
-                    for h in (line, " ".join(lines[i:i + 2])):
-                        n, s = best(h)
-                        if s > top + 1e-12:
-                            name, top, header = n, s, h
+            lines = [(x, t) for x in lines if (t := _TERM.findall(x.lower()))]
+            all_terms = [t for _, x in lines for t in x]
+            cues = [i for i, (x, _) in enumerate(lines) if CUE.search(x)]
+            n, s, i, j = matcher.best_window([t for _, t in lines], cues)
+            best = (n, s, " ".join(x for x, _ in lines[i:j]), sum(len(t) for _, t in lines[i:j]))
+            for i in cues:
+                if (n := tagged(lines[i][0])) and n in ids:
+                    best = (n, 1.0, lines[i][0], len(lines[i][1]))
+                    break
+            whole = matcher.best(text)
+            body = matcher.best_body(all_terms)
+            for n, s, first, size in ((*whole, 0, len(all_terms)), body):
+                if s > best[1] + 1e-12:
+                    begin, k = 0, 0
+                    while k + 1 < len(lines) and begin + len(lines[k][1]) <= first:
+                        begin, k = begin + len(lines[k][1]), k + 1
+                    best = (n, s, lines[k][0] if lines else text, size)
+            name, top, header, size = best
+            top = min(round(top, 12), 1.0)
             if top < threshold:
                 return None, top, None, False
-            share = sum(terms(header).values()) / max(1, sum(terms(text).values()))
             named = bool(rule.match((path or "").rpartition("/")[2]))
-            return spdx(name), top, header, named or share >= file_share
+            return (spdx(name), top, header,
+                    named or whole[1] >= threshold or size / max(1, len(all_terms)) >= file_share)
 
         for b in batches:
             found = [one(p, t) for p, t in zip(b.column(len(names)).to_pylist(), b.column(len(names) + 1).to_pylist())]

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -239,6 +240,26 @@ def test_licenses_are_found_and_inherited(spark):
     assert licenses.inherit(licenses.scan(files.limit(0))).count() == 0
 
 
+def test_licenses_of_wrapped_headers_whole_texts_and_tags(spark):
+    def wrapped(text, mark="# "):
+        return "\n".join(mark + x for x in textwrap.wrap(text, 72))
+
+    body = licenses.licence_bodies()
+    code = "\n".join(f"x{i} = call{i}(a{i}, b{i})" for i in range(300))
+    rows = [("gpl.py", "# tool\n" + wrapped(licenses.HEADERS["GPL-3.0 (header)"]) + "\n\n" + code, "GPL-3.0", False),
+            ("mpl.c", wrapped(licenses.HEADERS["MPL-2.0 (header)"], " * ") + "\n" + code, "MPL-2.0", False),
+            ("mit.c", wrapped(body["MIT (text)"], " * ") + "\n" + code, "MIT", False),
+            ("tag.c", "// SPDX-License-Identifier: GPL-2.0-or-later\n" + code, "GPL-2.0", False),
+            ("other.c", "// SPDX-License-Identifier: Foo-9\n" + code, None, False),
+            ("long.txt", code + "\n" + body["MPL-2.0 (text)"], "MPL-2.0", True),
+            ("plain.c", code, None, False)]
+    rows += [(f"texts/{n.partition(' ')[0]}.txt", body[n], n.partition(" ")[0], True) for n in body]
+    files = spark.createDataFrame([r[:2] for r in rows] + [(f"f{i}", f"some word{i} and the license of") for i in range(300)],
+                                  "path string, text string")
+    got = {r.path: (r.license, r.is_license_file) for r in licenses.scan(files).collect()}
+    assert {r[0]: got[r[0]] for r in rows} == {r[0]: r[2:] for r in rows}
+
+
 def test_warc_round_trip_and_random_access(spark, tmp_path):
     pages = spark.createDataFrame([(3, "u3", "same", 1), (1, "u\n1%", "same", 1), (2, "u2", None, 1), (5, None, "", 1),
                                    (7, "u7", "é" * 3_000_000, 1), (None, "u", "same", 1), (9, "u9", "alone", 1)],
