@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from natspark.operators.broadcast import row_count_at_most
+from natspark.session import scratch_path
 
 DEFAULT_SALTS = 16
 
@@ -15,12 +16,19 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     """Shuffle join that spreads a hot key: each ``big`` row gets one of
     ``salts`` sub-keys from its row number, so equal rows are spread too, and
     ``small`` is replicated once per sub-key.  Both sides are shuffled on
-    (key, salt); AQE's skew split applies on top.  A stream has no row
-    numbers: there the sub-key is a hash of the whole row."""
-    number = (F.xxhash64(*[big[c] for c in big.columns]) if big.isStreaming
-              else F.monotonically_increasing_id())
-    salt = F.pmod(number, F.lit(salts))
-    b = big.withColumn("_salt", salt)
+    (key, salt); AQE's skew split applies on top.
+
+    A row number depends on the order in which rows arrive, so the numbered
+    rows are written once below ``spark.checkpoint.dir`` and joined from there:
+    a task that runs again reads the same salts.  A stream has no row numbers:
+    there the sub-key is a hash of the whole row."""
+    if big.isStreaming:
+        b = big.withColumn("_salt", F.pmod(F.xxhash64(*[big[c] for c in big.columns]), F.lit(salts)))
+    else:
+        spark, path = big.sparkSession, scratch_path(big.sparkSession, "salted")
+        numbered = big.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+        numbered.write.parquet(path)
+        b = spark.read.schema(numbered.schema).parquet(path)
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                        F.lit(salts - 1).cast("bigint"))))
     cond = (b[big_key] == s[small_key]) & (b["_salt"] == s["_salt"])

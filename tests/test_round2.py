@@ -57,6 +57,15 @@ def test_salt_splits_equal_rows(spark):
     assert salts == 16
 
 
+def test_salts_are_written_once_before_the_shuffle(spark):
+    big = spark.range(3000).repartition(5, "id").select(F.lit("k").alias("key"), "id")
+    small = spark.createDataFrame([("k", "s")], "sk string, w string")
+    out = salted_join(big, small, "key", "sk")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically_increasing_id" not in plan
+    assert len({r.id for r in out.collect()}) == out.count() == 3000
+
+
 def test_keep_columns_still_prune_partitions(spark, tmp_path):
     path = str(tmp_path / "lines")
     spark.createDataFrame([("x,y", "d1"), ("x,y", "d2")], "value string, dt string").write.partitionBy("dt").parquet(path)
