@@ -178,25 +178,18 @@ def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(size), pa.py_buffer(offs), pa.py_buffer(data[gather_spans(start, size)]))
 
 
-def fit(counts: DataFrame, lattice: PieceLattice, warm_words: int = 50_000, warm_rounds: int = 10,
-        rounds: int = 1, prior: float = 0.02) -> np.ndarray:
+def fit(counts: DataFrame, lattice: PieceLattice, rounds: int = 11, prior: float = 0.02) -> np.ndarray:
     """Log probabilities of the pieces by EM over the distinct words, each
     counted once (what the pieces must explain is words not seen before).
 
-    Starts from equal probabilities.  ``warm_rounds`` rounds over about
-    ``warm_words`` words of smallest hash give the start of ``rounds`` rounds
-    over all words; a round adds up the expected uses of each piece, plus
-    ``prior``.
+    Starts from equal probabilities.  Every one of the ``rounds`` rounds adds
+    up the expected uses of each piece over all words, plus ``prior``.
     """
-    distinct = counts.count()
-    share = min(1.0, warm_words / max(distinct, 1))
-    warm = counts.where(F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    if warm_rounds and distinct:
-        warm = materialize(warm, "lm-warm")
     logp = np.full(lattice.size, -np.log(lattice.size))
-    for words in [warm] * warm_rounds + [counts] * rounds:
+    words = counts.select("word")
+    for _ in range(rounds):
         total = np.full(lattice.size, prior)
-        for r in _expected(words.select("word"), lattice, logp).collect():
+        for r in _expected(words, lattice, logp).collect():
             total[r["piece"]] += r["n"]
         logp = np.log(total / total.sum())
     return logp

@@ -225,6 +225,42 @@ def test_lattice_sums_all_segmentations(docs, model):
     assert all(math.isfinite(r.score) and r.train_tokens == 0 for r in nothing)
 
 
+def test_every_em_round_sees_every_word(spark):
+    small = lattice.lattice_of([b"zq", b" zq", b"ab"])
+    vocab = {bytes([b]): b for b in range(256)} | {p: 256 + i for i, p in enumerate(sorted([b"zq", b" zq", b"ab"]))}
+    # more distinct words than the 50,000 that a sample once held; two letters apart from all others
+    words = [f"{i:05d}" for i in range(55_000)] + ["zqab", "abzq"]
+    counts = spark.createDataFrame([(w, 1) for w in words], "word string, n long")
+    got = lattice.fit(counts, small, rounds=3)
+
+    def uses(word, logp):
+        paths = []
+
+        def walk(rest, made, value):
+            if not rest:
+                paths.append((made, value))
+            for p, k in vocab.items():
+                if rest.startswith(p):
+                    walk(rest[len(p):], [*made, k], value * math.exp(logp[k]))
+        walk(word, [], 1.0)
+        norm = sum(v for _, v in paths)
+        return [(k, v / norm) for made, v in paths for k in made]
+
+    logp = np.full(small.size, -np.log(small.size))
+    digits = np.zeros(small.size)
+    for w in words[:-2]:
+        for c in w.encode():
+            digits[c] += 1
+    digits[0x20] = 55_000
+    for _ in range(3):
+        total = digits + 0.02
+        for w in words[-2:]:
+            for k, v in uses(b" " + w.encode(), logp):
+                total[k] += v
+        logp = np.log(total / total.sum())
+    assert np.allclose(got, logp, atol=1e-6)
+
+
 def test_licenses_are_found_and_inherited(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     files = spark.createDataFrame([
