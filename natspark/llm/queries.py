@@ -17,7 +17,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.transform("mask", lambda s: F.concat_ws("-", s["start"], s["end"]))
     return (chat.rotate(table(spark, sf_dir, "conversations")).withColumnRenamed("conv", "conv_id")
-            .withColumn("mask", F.array_join(spans, ";")))
+            .drop("piece").withColumn("mask", F.array_join(spans, ";")))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

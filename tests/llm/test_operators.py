@@ -73,6 +73,22 @@ def test_chat_rotates_every_participant(spark):
     assert chat.rotate(t.limit(0)).count() == 0
 
 
+def test_chat_pieces_hold_a_bounded_number_of_rows(spark):
+    rows = [(1, None, "ann", f"late {i % 40:02d}") for i in range(95)] + [(1, 3, "bob", "again")] * 33
+    rows += [(None, 0, f"p{i % 3}", f"lost {i:03d}") for i in range(41)] + [(2, i, "ann", f"t{i}") for i in range(25)]
+    t = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(7)
+    got = chat.rotate(t, part_turns=10).collect()
+    assert max(r.n_turns for r in got) == 10
+    for conv, who in ((1, "ann"), (1, "bob"), (None, "p0"), (None, "p2"), (2, "ann")):
+        mine = sorted((r for r in got if r.conv == conv and r.speaker == who), key=lambda r: (r.part, r.piece))
+        want = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is None, r[1] or 0, r[2], r[3]))
+        assert re.findall(r"\n([^\n]*)<\|im_end\|>", "".join(r.rendered for r in mine)) == [r[3] for r in want]
+        for r in mine:
+            assert [r.rendered[s:e].removesuffix("<|im_end|>") for s, e in r["mask"]] == re.findall(
+                r"<\|im_start\|>assistant\n([^\n]*)<\|im_end\|>", r.rendered)
+    assert {r.piece for r in got if r.conv == 2} == {0}
+
+
 def test_language_spans_and_undetermined(docs):
     m = langid.fit(docs)
     got = {r.doc_id: r for r in langid.identify(docs, m).collect()}
