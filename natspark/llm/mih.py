@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -96,12 +97,16 @@ class SubstringIndexes:
         return hit
 
 
+def _whole_words(codes: np.ndarray) -> np.ndarray:
+    """Codes as words of 8 bytes, zero bytes added at the end."""
+    return np.ascontiguousarray(np.pad(codes, ((0, 0), (0, -codes.shape[1] % 8)))).view(np.uint64)
+
+
 def search_block(model: CodeModel, ids: np.ndarray, x: np.ndarray, codes: np.ndarray, qids: np.ndarray,
                  q: np.ndarray, qcodes: np.ndarray, k: int, radius: int) -> tuple[np.ndarray, ...]:
     """(query id, row id, score) of the best k rows of a block per query
     within ``radius``; a query is not its own neighbour."""
-    words = np.ascontiguousarray(codes).view(np.uint64)
-    qwords = np.ascontiguousarray(qcodes).view(np.uint64)
+    words, qwords = _whole_words(codes), _whole_words(qcodes)
     index = SubstringIndexes(codes, radius)
     out: list[tuple[np.ndarray, ...]] = []
     step = max(1, (1 << 20) // max(1, len(ids)))
@@ -181,28 +186,35 @@ def nearest(rows: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vect
     among those within the Hamming radius.
 
     Ties go to the smaller id.  Rows without an id, and vectors that are null,
-    empty, zero or hold null or non-finite components, take no part; nor do
-    vectors of another dimension than most of the sample.  Of repeated ids
-    each row is a candidate of its own, and they are not each other's.  A
-    query that finds fewer than k rows (and fewer than there are) searches
-    again at full radius, that is all rows.  The codes are learned from about
-    ``sample_rows`` rows of smallest id hash; every row is indexed.
+    empty, zero or hold null or non-finite components, take no part.  Vectors
+    of each dimension are an index of their own, with codes of their own.  Of
+    repeated ids each row is a candidate of its own, and they are not each
+    other's.  A query that finds fewer than k rows (and fewer than there are)
+    searches again at full radius, that is all rows.  The codes are learned
+    from ``sample_rows`` rows at most, by hash of id and vector; every row is
+    indexed.
     """
-    spark = rows.sparkSession
     index = materialize(usable(rows, id_col, vector_col), "ann-rows")
-    total = index.count()
-    share = min(1.0, sample_rows / max(total, 1))
-    sample = index.where(F.pmod(F.xxhash64("id", F.lit(29)), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
-    taken = sample.orderBy(F.xxhash64("id", F.lit(31)), "id").toPandas()
-    if not len(taken):
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    size = taken.v.map(len)
-    d = int(size.mode()[0])
-    model = fit(np.stack(taken.v[size == d].to_numpy()).astype(float), k)
-    index = index.where(F.size("v") == d)
+    sizes = sorted((r["d"], r["n"]) for r in index.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect())
+    found = [_nearest_of(index.where(F.size("v") == d), n, is_query, k, sample_rows, block_rows, block_queries)
+             for d, n in sizes]
+    if not found:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest_of(index: DataFrame, total: int, is_query, k: int, sample_rows: int, block_rows: int,
+                block_queries: int) -> DataFrame:
+    """``nearest`` among the ``total`` rows (id, v) of one dimension."""
+    share = min(1.0, sample_rows / total)
+    sample = index.where(F.pmod(F.xxhash64("id", "v", F.lit(29)), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    taken = sample.orderBy(F.xxhash64("id", "v", F.lit(31)), "id").limit(sample_rows).toPandas()
+    if not len(taken):       # a few repeated rows, none of them drawn
+        taken = index.limit(sample_rows).toPandas()
+    model = fit(np.stack(taken.v.to_numpy()).astype(float), k)
     queries = index.where(is_query)
     found = materialize(_best(_grid(index, queries, model, k, model.radius, block_rows, block_queries), k), "ann-first")
-    others = index.agg(F.count("*")).first()[0] - 1
+    others = total - 1
     done = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= min(k, others))
     short = materialize(queries.join(done, queries["id"] == done["query_id"], "left_anti"), "ann-short")
     if short.limit(1).count():

@@ -198,6 +198,21 @@ def test_nearest_neighbours_and_odd_vectors(spark):
     assert [(r.query_id, r.vec_id) for r in two] == [(0, 1)]
 
 
+def test_nearest_neighbours_of_every_dimension(spark):
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=(60, 20)), rng.normal(size=(30, 3))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(100 + i, v.tolist()) for i, v in enumerate(y)]
+    rows += [(7, x[0].tolist())] * 200                   # one id holds most rows
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = mih.nearest(df, F.col("id") % 20 == 0, k=3, sample_rows=50, block_rows=16, block_queries=2).collect()
+    assert {r.query_id for r in got} == {0, 20, 40, 100, 120}
+    for r in got:
+        a, b = (x, 0) if r.query_id < 100 else (y, 100)
+        assert (r.vec_id >= 100) == (r.query_id >= 100)
+        row = [a[r.vec_id - b]] + ([x[0]] if r.vec_id == 7 else [])
+        assert any(abs(r.score - a[r.query_id - b] @ v) < 1e-9 for v in row)
+
+
 def test_fingerprints_and_their_neighbours(docs):
     rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     got = ctph.neighbours(docs, chunk_chars=500).collect()
