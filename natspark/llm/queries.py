@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natspark.llm import chat, ctph, langid, lattice, licenses, mih, mixing, neardup, sentencepiece, warc
-from natspark.llm.common import id_remainder, table
+from natspark.llm import (chat, ctph, langid, lattice, licenses, mih, mixing, neardup, runs, sentencepiece, tokenbin,
+                          trie, warc)
+from natspark.llm.common import bounded_batches, id_remainder, materialize, table
+from natspark.session import scratch_path
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +82,64 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.inherit(licenses.scan(files)).drop("header")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of rebuilt conversations: each takes its first turns from the
+    one whose id ends in 0 or 5."""
+    turns = materialize(trie.number_turns(table(spark, sf_dir, "conversations")), "op11-turns")
+    conv = F.col("conv")
+    rebuilt = trie.with_borrowed_heads(turns, conv - conv % 5, id_remainder(conv, 9), most=8)
+    return trie.prefix_trie(rebuilt).select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"),
+        F.col("n").alias("n_convs"), F.col("kids").alias("n_children"), F.col("leaves").alias("n_leaves"),
+        F.col("saved").alias("saved_tokens"), F.col("ends").alias("ends_sha256"))
+
+
+def tiled_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of documents whose crc32(doc_id) ends in 0, the words
+    from some place on are replaced by repetitions of the first few of them;
+    the others stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    rows = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    rows = rows.withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    rows = rows.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    tiled = F.expr("array_join(concat(slice(words, 1, a), slice(flatten(array_repeat(slice(words, a + 1, p), "
+                   "cast(ceil((n - a) / p) as int))), 1, n - a)), ' ')")
+    return rows.select("doc_id", F.when(F.col("n") > 0, tiled).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    found = runs.periodic_runs(tiled_texts(table(spark, sf_dir, "documents")))
+    line = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]),
+                                                               F.lit("\n"))), "")
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    return (found.withColumn("best", best)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+                    F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+                    F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+                    F.sha2(line, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
+def binary_tokenizer() -> str:
+    """The content of the public tokenizer file of the binary token files."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    folder = scratch_path(spark, "token-files")
+    index = tokenbin.write_ids(table(spark, sf_dir, "documents"), binary_tokenizer(), folder)
+    return tokenbin.read_documents(index, folder).select(
+        F.col("id").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), "ids_crc32")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_chat_perspectives": op2_chat_perspectives,
@@ -91,6 +151,9 @@ QUERIES = {
     "op8_lattice_score": op8_lattice_score,
     "op9_license_scan": op9_license_scan,
     "op10_warc": op10_warc,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_files": op13_token_files,
 }
 
 # The same mix from the definition: limits by water level, then one running
@@ -145,7 +208,55 @@ SELECT conv_id, speaker, part, count(*) AS n_turns, count(*) FILTER (own) AS n_o
 FROM y GROUP BY conv_id, speaker, part
 """
 
+# The trie from the definition: a node is a depth and the turns so far; what a
+# subtree holds is summed over its nodes' smallest members.  crc32 is a fold
+# over the bits of the decimal id.
+_OP11 = r"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS who, coalesce(text, '') AS body,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+bits AS (
+  SELECT c, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+           lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+         lambda x, e: CASE WHEN e >= 0 THEN xor(x, e) WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS x
+  FROM (SELECT DISTINCT c FROM t)),
+k AS (SELECT c, c - c % 5 AS base, xor(x, 4294967295) % 9 AS head FROM bits),
+got AS (SELECT k.c, k.head, count(t.c) AS got FROM k LEFT JOIN t ON t.c = k.base AND t.pos < k.head GROUP BY ALL),
+r AS (
+  SELECT k.c, t.pos + 1 AS depth, t.who, t.body FROM k JOIN t ON t.c = k.base AND t.pos < k.head
+  UNION ALL
+  SELECT t.c, t.pos - head + got + 1, who, body FROM t JOIN got USING (c) WHERE t.pos >= head
+  UNION ALL
+  SELECT c, 0, '', '' FROM k),
+p AS (
+  SELECT c, depth, CASE WHEN depth = 0 THEN 0 ELSE strlen(body) END AS bytes,
+         md5(string_agg(CASE WHEN depth = 0 THEN '' ELSE md5(who || chr(0) || body) END, '') OVER w) AS path,
+         max(depth) OVER (PARTITION BY c) AS size
+  FROM r WINDOW w AS (PARTITION BY c ORDER BY depth)),
+n AS (
+  SELECT depth, path, min(c) AS c, count(*) AS n, max(bytes) AS bytes,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (size = depth), '')) AS ends
+  FROM p GROUP BY depth, path),
+up AS (
+  SELECT n.*, u.path AS parent_path, u.depth AS parent_depth
+  FROM n LEFT JOIN p u ON u.c = n.c AND u.depth = n.depth - 1),
+kids AS (SELECT parent_depth AS depth, parent_path AS path, count(*) AS kids FROM up WHERE parent_depth IS NOT NULL GROUP BY ALL),
+full_nodes AS (
+  SELECT up.*, coalesce(kids, 0) AS kids, parent.c AS parent_conv
+  FROM up LEFT JOIN kids USING (depth, path)
+  LEFT JOIN n parent ON parent.depth = up.parent_depth AND parent.path = up.parent_path),
+sums AS (
+  SELECT p.depth, p.path, sum(CAST(f.kids = 0 AS BIGINT)) AS leaves, sum((f.n - 1) * f.bytes) AS saved
+  FROM p JOIN full_nodes f ON f.c = p.c AND f.depth >= p.depth GROUP BY ALL)
+SELECT f.c AS conv_id, CAST(f.depth AS BIGINT) AS depth, parent_conv AS parent_conv_id, n AS n_convs,
+       CAST(kids AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+       ends AS ends_sha256
+FROM full_nodes f JOIN sums USING (depth, path)
+"""
+
 ORACLE_SQL = {
+    "op11_prefix_trie": _OP11,
     "op2_chat_perspectives": _OP2,
     "op1_mix_sources": _OP1,
 }
