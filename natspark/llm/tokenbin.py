@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import string
 import struct
 import sys
 import types
@@ -248,6 +247,9 @@ def _table(members: list[tuple[int, int]]) -> np.ndarray:
 # or ends with (before it).
 _AFTER = _table([(0x21, 0x7E), (0xC3, 0xE0), (0xE4, 0xF4)])
 _BEFORE = _table([(0x21, 0x7E), (0x8B, 0x9E), (0xA1, 0xA7), (0xAA, 0xAE), (0xB0, 0xBF)])
+_LETTER = _table([(0x41, 0x5A), (0x61, 0x7A)])
+_LATIN = _table([(0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF)])      # second bytes of the letters of U+00C0-00FF
+_PUNCTUATION = _table([(0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E)])
 
 
 class UnitEncoder:
@@ -256,10 +258,10 @@ class UnitEncoder:
     Its pre-tokenizer always cuts before a single space between two other
     characters, so a text's ids are those of its units between such spaces,
     end to end.  The library encodes each distinct unit once; a bounded table
-    keeps the units seen first for later texts.  A unit of ASCII letters, with
-    or without punctuation at its end, goes to the library's model directly:
-    the pre-tokenizer cuts it between the two and nowhere else.  With a
-    tokenizer that cuts otherwise, every text is one unit.
+    keeps the units seen first for later texts.  It also cuts between a letter
+    and punctuation (where no special token could hold the two), and never
+    inside a word of Latin letters: such a unit goes to the library's model
+    directly.  With a tokenizer that cuts otherwise, every text is one unit.
     """
 
     def __init__(self, tokenizer: str, keep: int = 400_000):
@@ -276,29 +278,39 @@ class UnitEncoder:
                         and not pre.get("add_prefix_space", True)
                         and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"].split() != [t["content"]]
                                     for t in spec.get("added_tokens", [])))
+        self.special = [t["content"].encode() for t in spec.get("added_tokens", [])]
+        # the library's printable stand-ins of bytes that aren't printable
+        same = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        self.shown = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in same)}
         self.known: dict[str, bytes] = {}
         self.keep = keep
 
     def _units(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         begins = np.zeros(len(data) + 1, bool)
         if self.by_unit and len(data) > 2:
-            begins[1:-2] = (data[1:-1] == 0x20) & _BEFORE[data[:-2]] & _AFTER[data[2:]]
+            before = _BEFORE[data[:-2]]
+            before[1:] |= data[:-3] == 0xC3               # U+00C0-00FF, none of them a space
+            alone = before & _AFTER[data[2:]]
+            line = (data[1:-1] == 0x0A) & alone           # a line end by itself is a unit
+            begins[1:-2] = (data[1:-1] == 0x20) & alone | line
+            begins[2:-1] |= line
+            raw = data.tobytes()
+            if not any(t in raw for t in self.special):
+                begins[1:-1] |= _PUNCTUATION[data[1:]] & _LETTER[data[:-1]]
+                begins[2:-1] |= _PUNCTUATION[data[2:]] & _LATIN[data[1:-1]] & (data[:-2] == 0xC3)
         begins[offs] = True
         # a space that opens or closes a text is no cut of its own
         return np.flatnonzero(begins[:-1])
 
-    def _piece(self, piece: str) -> list[int]:
-        return [t.id for t in self.library.model.tokenize(piece)]
-
     def _encode_units(self, units: list[str]) -> list[bytes]:
         out: list = [None] * len(units)
         rest = []
+        model, shown = self.library.model, self.shown
         for i, u in enumerate(units):
-            word = u.rstrip(string.punctuation)
-            if self.by_unit and word and u.isascii() and (word.isalpha() or word[0] == " " and word[1:].isalpha()):
-                ids = self._piece(word.replace(" ", "\u0120"))
-                if len(word) < len(u):
-                    ids += self._piece(u[len(word):])
+            word = u[1:] if u[0] == " " else u
+            if self.by_unit and word.isalpha() and max(word) < "\u0250":
+                u = u.replace(" ", shown[0x20]) if u.isascii() else u.encode().decode("latin-1").translate(shown)
+                ids = [t.id for t in model.tokenize(u)]
                 out[i] = struct.pack(f"<{len(ids)}I", *ids)
             else:
                 rest.append(i)
@@ -317,7 +329,7 @@ class UnitEncoder:
         units = pa.Array.from_buffers(pa.large_string(), len(starts), [None, bounds, pa.py_buffer(data)])
         coded = units.dictionary_encode()
         which = coded.indices.to_numpy().astype(np.int64)
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         ids = [self.known.get(u) for u in distinct]
         new = [i for i, x in enumerate(ids) if x is None]
         for i, x in zip(new, self._encode_units([distinct[i] for i in new])):
