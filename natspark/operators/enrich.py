@@ -9,7 +9,7 @@ from natspark.functions.hashing import rowkey
 from natspark.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
 from natspark.operators.joins import DEFAULT_SALTS, salted_join
 from natspark.schemas import INDEX_DOC_COLUMNS
-from natspark.sinks import in_days
+from natspark.sinks import DAY_MS, Store, in_days
 
 # Fixed value: the reference's sentinel for a source address with no login.
 UNKNOWN_USER = "UnKnown"
@@ -67,6 +67,24 @@ def index_docs(records: DataFrame) -> DataFrame:
     return docs.dropDuplicates(["rowkey"])
 
 
+def store_lookup(index: Store, records: Store, time_from: int | None = None, time_to: int | None = None,
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, **fields: str) -> DataFrame:
+    """``index_lookup`` over two stores: the search reads the days of the range
+    and, by sort order and Bloom filters, the row groups that can hold the
+    fields; the hits' days and key buckets prune the scan of the records.  The
+    hits are broadcast within the row bound (their count is known by then)."""
+    days = [None if t is None else t // DAY_MS for t in (time_from, time_to)]
+    cond = F.lit(True)
+    for name, value in fields.items():
+        cond = cond & (F.col(name) == F.lit(str(value)))
+    if time_from is not None:
+        cond = cond & (F.col("access_ms") >= F.lit(time_from))
+    if time_to is not None:
+        cond = cond & (F.col("access_ms") <= F.lit(time_to))
+    hits = index.read(*days).where(cond).select("rowkey", "day")
+    return records.fetch(hits, *days, small=row_count_at_most(hits, max_broadcast_rows))
+
+
 def index_lookup(index: DataFrame, records: DataFrame, time_from: int | None = None,
                  time_to: int | None = None, **fields: str) -> DataFrame:
     """Records found through the index: filter the index by address/port

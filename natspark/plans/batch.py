@@ -9,6 +9,8 @@ MySQL and a geo-IP file are derived from ``events``, ``customer`` and
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,14 +20,14 @@ from natspark.functions.ipaddr import ip_to_long
 from natspark.functions.split import text_lines
 from natspark.functions.timefns import msg_time, task_time
 from natspark.operators import aggregate as agg
-from natspark.operators.enrich import enrich_user, index_docs, index_lookup as lookup
+from natspark.operators.enrich import enrich_user, index_docs, store_lookup
 from natspark.operators.geo import app_name as resolve_app, geo_filter as gfilter, resolve_geo as rgeo
 from natspark.operators.parse import parse_nat_log as parse, parse_rejects as rejects
 from natspark.operators.partitioning import ensure_parallelism
 from natspark.schemas import (ADDRESS_FIELDS, COUNT_5MIN, DIM_COUNT, INDEX_DOC_COLUMNS, NAT_LOG_COLUMNS,
                               NAT_RECORD_COLUMNS)
 from natspark.session import scratch_path
-from natspark.sinks import (append_dim_docs, day_of, latest_by_key, read_keyed_store, record_rows, upsert_index,
+from natspark.sinks import (DAY_MS, INDEX, RECORDS, USER_LOG, Store, append_dim_docs, bucket_digits, day_of, index_rows, latest_by_key, read_keyed_store, record_rows, upsert_index,
                             upsert_records, user_log_lines, write_counts, write_text_overwrite, write_user_log)
 from natspark.sources.fixtures import (app_ranges, edge_addresses, ip_ranges, online_users, overlapping_ranges,
                                        read_table, syslog_lines)
@@ -35,6 +37,7 @@ from natspark.sources.streams import read_ip_ranges, read_online_users, read_tex
 INDEX_QUERY = {"targetPort": "443", "time_from": 1704153600000,   # 2024-01-02 00:00 UTC
                "time_to": 1704758400000}                          # 2024-01-09 00:00 UTC
 REPLAY_EVERY = 50          # record_store: rows with seq % 50 = 0 are written again
+LATE_EVERY = 7             # compact_store: rows with seq % 7 = 0 come once more in batch 2
 HOT_GRAIN, HOT_MIN = "1 day", 1
 
 
@@ -57,6 +60,13 @@ def geo(spark: SparkSession, sf: str, keep=("seq",)) -> DataFrame:
     return rgeo(logs(spark, sf, keep), ip_ranges(read_table(spark, sf, "nation")))
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df``, computed once into a table below the shared checkpoint folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _timed(df: DataFrame) -> DataFrame:
     return agg.with_event_time(df, delay=None)
 
@@ -104,18 +114,21 @@ def record_store(spark, sf):
 
 
 def index_lookup(spark, sf):
-    """Search as the reference's readers would: records and index are
-    written once by day as tables in the shared checkpoint folder (which also
-    cuts the lineage), then the index is filtered (days prune, equalities and
-    times reach the parquet scan as pushed filters) and the hits fetch their
-    records from the same days."""
-    rec_path, idx_path = scratch_path(spark, "records"), scratch_path(spark, "index")
-    records(spark, sf, keep=()).select("*", day_of()).write.partitionBy("day").parquet(rec_path)
-    rec = spark.read.parquet(rec_path)
-    upsert_index(rec, idx_path, 0)
-    q = dict(INDEX_QUERY)
-    hits = lookup(spark.read.parquet(idx_path), rec, q.pop("time_from"), q.pop("time_to"), **q)
-    return hits.select(*NAT_RECORD_COLUMNS)
+    """Search as the reference's readers would: the records are written once
+    below the shared checkpoint folder (which also cuts the lineage) and loaded
+    into two stores, the records by key bucket, the index by address and port.
+    The search prunes days and row groups of the index, its hits prune days and
+    buckets of the records."""
+    raw = scratch_path(spark, "records")
+    records(spark, sf, keep=()).select("*", day_of()).write.parquet(raw)
+    rec = spark.read.parquet(raw)
+    size, days = rec.agg(F.count("*"), F.count_distinct("day")).first()
+    tasks = spark.sparkContext.defaultParallelism if size < 1 << 24 else None
+    stored = Store(spark, scratch_path(spark, "record-store"), replace(RECORDS, digits=bucket_digits(size, days)))
+    stored.load(rec, tasks)
+    index = Store(spark, scratch_path(spark, "index-store"), INDEX)
+    index.load(index_rows(rec), tasks)
+    return store_lookup(index, stored, **INDEX_QUERY).select(*NAT_RECORD_COLUMNS)
 
 
 def resolve_geo(spark, sf):
@@ -222,7 +235,7 @@ def md5_hex_q(spark, sf):
 def upsert_records_q(spark, sf):
     """``record_store`` through the sink: batch 0 has every record, batch 1
     the replayed ones and is itself delivered twice."""
-    path, rec = scratch_path(spark, "record_store"), records(spark, sf)
+    path, rec = scratch_path(spark, "record_store"), _stored(records(spark, sf), "puts")
     again = rec.where(F.col("seq") % REPLAY_EVERY == 0)
     for batch_id, batch in ((0, rec), (1, again), (1, again)):
         upsert_records(batch, path, batch_id, order="seq")
@@ -230,27 +243,63 @@ def upsert_records_q(spark, sf):
 
 
 def upsert_index_q(spark, sf):
-    path, rec = scratch_path(spark, "index_store"), records(spark, sf, keep=())
+    path, rec = scratch_path(spark, "index_store"), _stored(records(spark, sf, keep=()), "puts")
     for batch_id in (0, 1, 1):
         upsert_index(rec, path, batch_id)
     return read_keyed_store(spark, path).select(*INDEX_DOC_COLUMNS)
 
 
 def write_counts_q(spark, sf):
-    path, counts = scratch_path(spark, "counts"), log_count_5min(spark, sf)
+    path, counts = scratch_path(spark, "counts"), _stored(log_count_5min(spark, sf), "fired")
     for _ in range(2):
         write_counts(counts, path, 0)
     return spark.read.parquet(path).select(*COUNT_5MIN.fieldNames())
 
 
 def write_user_log_q(spark, sf):
-    path = scratch_path(spark, "user_log")
-    write_user_log(records(spark, sf, keep=()), path)
+    """The user log, its batch delivered twice."""
+    path, rec = scratch_path(spark, "user_log"), _stored(records(spark, sf, keep=()), "log-records")
+    for _ in range(2):
+        write_user_log(rec, path, 0)
     return spark.read.text(path).select(F.col("value").alias("line"), F.col("dt").cast("string").alias("dt"))
 
 
+def _three_batches(spark, path, write, rec):
+    """Every record in batch 0, some again in batches 1 and 2; 1 comes twice."""
+    again = rec.where(F.col("seq") % REPLAY_EVERY == 0)
+    late = rec.where(F.col("seq") % LATE_EVERY == 0)
+    for batch_id, batch in ((0, rec), (1, again), (2, late), (1, again)):
+        write(batch, path, batch_id)
+    return again
+
+
+def compact_store(spark, sf):
+    """Three batches of record puts with a replay; the closed days are merged,
+    a batch is replayed late, and the store is read back: batches, merged files
+    and the late replay together."""
+    path, rec = scratch_path(spark, "compacted"), _stored(records(spark, sf), "store-records")
+    again = _three_batches(spark, path, lambda b, p, i: upsert_records(b, p, i, order="seq"), rec)
+    store = Store(spark, path, replace(RECORDS, digits=0))
+    newest = rec.agg(F.max("accesstime")).first()[0] // DAY_MS
+    store.compact(before_day=newest)
+    store.vacuum()
+    upsert_records(again, path, 1, order="seq")
+    return store.read().drop("day", "bucket")
+
+
+def compact_user_log(spark, sf):
+    """The user log in three batches, merged, one of them replayed late."""
+    path, rec = scratch_path(spark, "compacted-log"), _stored(records(spark, sf), "log-records")
+    again = _three_batches(spark, path, write_user_log, rec)
+    store = Store(spark, path, USER_LOG)
+    store.compact()
+    store.vacuum()
+    write_user_log(again, path, 1)
+    return store.read().select(F.col("value").alias("line"), F.col("dt").cast("string").alias("dt"), "batch_id")
+
+
 def dim_docs_sink(spark, sf):
-    path, docs = scratch_path(spark, "dim_docs"), dim_count_docs(spark, sf)
+    path, docs = scratch_path(spark, "dim_docs"), _stored(dim_count_docs(spark, sf), "docs")
     for _ in range(2):
         append_dim_docs(docs, path, 0)
     return spark.read.schema(DIM_COUNT).json(path).select(*DIM_COUNT.fieldNames())
@@ -320,6 +369,8 @@ BATCH_QUERIES = {
     "md5_hex": md5_hex_q,
     "upsert_records": upsert_records_q,
     "upsert_index": upsert_index_q,
+    "compact_store": compact_store,
+    "compact_user_log": compact_user_log,
     "write_counts": write_counts_q,
     "write_user_log": write_user_log_q,
     "dim_docs_sink": dim_docs_sink,

@@ -217,6 +217,14 @@ _TAILS["word_count"] = ("SELECT word, count(*) AS count FROM "
 for _key, _same in {"upsert_records": "record_store", "upsert_index": "secondary_index",
                     "write_counts": "log_count_5min", "dim_docs_sink": "dim_count_docs"}.items():
     _TAILS[_key] = _TAILS[_same]
+# Three batches: everything, every 50th record, every 7th; the last put of a key stays.
+_TAILS["compact_store"] = _TAILS["record_store"].replace(
+    "CASE WHEN seq % 50 = 0 THEN 1 ELSE 0 END", "CASE WHEN seq % 7 = 0 THEN 2 WHEN seq % 50 = 0 THEN 1 ELSE 0 END")
+_TAILS["compact_user_log"] = (
+    "SELECT '(' || username || ',' || CAST(accesstime AS VARCHAR) || ')' AS line, "
+    "strftime(epoch_ms(accesstime), '%Y%m%d') AS dt, b.batch_id "
+    "FROM records JOIN (VALUES (0::BIGINT, 1), (1::BIGINT, 50), (2::BIGINT, 7)) b(batch_id, every) "
+    "ON seq % b.every = 0")
 _TAILS["write_user_log"] = f"SELECT line, dt FROM ({_TAILS['user_activity']}) u"
 _TAILS["json_docs"] = (
     "SELECT '{\"types\":\"' || types || '\",\"data\":\"' || data || '\",\"count\":\"' || count || "

@@ -61,10 +61,11 @@ def user_log_lines(records: DataFrame) -> DataFrame:
                  F.col("accesstime").cast("string"), F.lit(")")).alias("line"))
 
 
-def write_user_log(records: DataFrame, path: str) -> None:
-    """K2: append the lines as text under ``<path>/dt=<yyyyMMdd>/``."""
-    (user_log_lines(records).select(F.col("line").alias("value"), "dt")
-     .write.mode("append").partitionBy("dt").text(path))
+def write_user_log(records: DataFrame, path: str, batch_id: int = 0) -> None:
+    """K2: the batch's lines as text under ``<path>/batch_id=<n>/dt=<yyyyMMdd>/``;
+    a replay replaces them, another batch adds to them."""
+    lines = user_log_lines(records).select(F.col("line").alias("value"), "dt")
+    batch_partition_write(lines, path, batch_id, fmt="text", partition_cols=("dt",))
 
 
 def record_rows(records: DataFrame, extra: tuple = ()) -> DataFrame:
@@ -96,12 +97,17 @@ def upsert_records(records: DataFrame, path: str, batch_id: int,
     batch_partition_write(rows, path, batch_id, partition_cols=("day",))
 
 
+def index_rows(records: DataFrame) -> DataFrame:
+    """``INDEX_DOC`` rows with their day, and the time also as a number
+    (``access_ms``) for pushed range filters."""
+    return records.select(*[F.col(c).cast("string").alias(c) for c in INDEX_DOC_COLUMNS],
+                          F.col("accesstime").cast("bigint").alias("access_ms"), day_of())
+
+
 def upsert_index(records: DataFrame, path: str, batch_id: int) -> None:
-    """K4: ``INDEX_DOC`` rows keyed by row key, by day, with the time also
-    as a number (``access_ms``) for pushed range filters.  All index fields
+    """K4: ``INDEX_DOC`` rows keyed by row key, by day.  All index fields
     follow from the key, so any of its rows is the same document."""
-    docs = records.select(*[F.col(c).cast("string").alias(c) for c in INDEX_DOC_COLUMNS],
-                          F.col("accesstime").cast("bigint").alias("access_ms"), day_of())
+    docs = index_rows(records)
     batch_partition_write(docs.dropDuplicates(["rowkey"]), path, batch_id, partition_cols=("day",))
 
 

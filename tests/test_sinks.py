@@ -41,8 +41,11 @@ def test_user_log_lines_and_folders(spark, tmp_path):
     assert set(r.dt for r in lines.collect()) == {"20240101"}
     path = str(tmp_path / "userlog")
     write_user_log(rec, path)
-    assert os.path.isdir(os.path.join(path, "dt=20240101"))
+    write_user_log(rec, path)            # replay of batch 0
+    assert os.path.isdir(os.path.join(path, "batch_id=0", "dt=20240101"))
     assert spark.read.text(path).count() == 4
+    write_user_log(rec, path, 1)
+    assert spark.read.text(path).count() == 8
 
 
 def test_record_branch_replay_and_last_wins(spark, tmp_path):
