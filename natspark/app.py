@@ -5,6 +5,8 @@
                counts with ``read_matched_counts``) and dimension documents,
                from Kafka or from a folder of text files.
 ``batch``      the record and dimension branches over a batch of lines.
+``compact``    merges the closed days of the stores below an output root and
+               deletes what the merge replaced.
 ``wordcount``  word count of a text file or folder.
 
 Endpoints, paths and credentials are arguments; nothing is embedded.
@@ -15,6 +17,7 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+from datetime import date
 
 if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -27,6 +30,7 @@ from natspark.operators.parse import accepted  # noqa: E402
 from natspark.plans.jobs import (parsed_slice, run_dimension_job, run_record_job,  # noqa: E402
                                  run_word_count_job)
 from natspark.session import cluster_session  # noqa: E402
+from natspark.sinks import INDEX, RECORDS, USER_LOG, Store  # noqa: E402
 from natspark.sources.streams import (read_ip_ranges, read_online_users,  # noqa: E402
                                       read_syslog_kafka, read_text_lines, read_text_stream)
 from natspark.streaming.pipelines import (dim_counts, log_counts, start_counts,  # noqa: E402
@@ -68,7 +72,8 @@ def start_streams(spark: SparkSession, args) -> list:
     load_users = _users_loader(spark, args)
     ranges = read_ip_ranges(spark, args.ranges, args.ranges_format)
     order = "arrival" if args.kafka_servers else None
-    parse, parsed = start_parse(_lines(spark, args), f"{out}/parsed", f"{ckpt}/parsed", trigger, order)
+    parse, parsed = start_parse(_lines(spark, args), f"{out}/parsed", f"{ckpt}/parsed", trigger, order,
+                                observe="parse")
     if args.available_now:      # the branches take what is there when they start
         parse.awaitTermination()
     return [
@@ -80,11 +85,21 @@ def start_streams(spark: SparkSession, args) -> list:
         start_records(parsed(), load_users,
                       {"user_log": f"{out}/username", "records": f"{out}/records",
                        "index": f"{out}/index", "matched": f"{out}/matched_partials",
-                       "rejects": f"{out}/rejects"},
+                       "rejects": f"{out}/rejects", "users": f"{out}/users_by_batch"},
                       f"{ckpt}/records", trigger, order=order),
     ]
 
 
+def compact_stores(spark: SparkSession, out: str, before: date, vacuum: bool = False) -> None:
+    """Merge the days before ``before`` of the records, the index and the user log."""
+    epoch_day, dt = (before - date(1970, 1, 1)).days, int(before.strftime("%Y%m%d"))
+    for name, layout, day in (("records", RECORDS, epoch_day), ("index", INDEX, epoch_day), ("username", USER_LOG, dt)):
+        store = Store(spark, f"{out}/{name}", layout)
+        store.compact(before_day=day)
+        if vacuum:
+            store.vacuum()
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     """Run one command; ``spark`` defaults to ``cluster_session()``."""
     p = argparse.ArgumentParser(prog="natspark")
@@ -119,6 +134,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     b.add_argument("--lines", required=True, help="text file or folder of syslog lines")
     b.add_argument("--batch-id", type=int, default=0)
 
+    c = sub.add_parser("compact")
+    c.add_argument("--out", required=True, help="output root of a stream or batch job")
+    c.add_argument("--before", required=True, help="merge the days before this one (yyyy-MM-dd)")
+    c.add_argument("--vacuum", action="store_true", help="delete replaced files (no reader may still use them)")
+
     w = sub.add_parser("wordcount")
     w.add_argument("--input", required=True)
     w.add_argument("--output", required=True)
@@ -128,6 +148,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.command == "wordcount":
         run_word_count_job(spark, args.input, args.output)
         return 0
+    if args.command == "compact":
+        compact_stores(spark, args.out.rstrip("/"), date.fromisoformat(args.before), args.vacuum)
+        return 0
     if args.command == "batch":
         lines = read_text_lines(spark, args.lines)
         users = _users_loader(spark, args)()

@@ -18,7 +18,8 @@ keeps each split computed once per line.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from natspark.functions import sqlexpr as X
 from natspark.schemas import NAT_LOG_COLUMNS
@@ -96,12 +97,26 @@ def parse_all(lines: DataFrame, value: str = "value", grain_minutes: int = 5,
     return _fields(lines, value, grain_minutes, list(keep))
 
 
+def _observed(parsed: DataFrame, observe: str | Observation) -> DataFrame:
+    """``parsed`` with the figures of ``natspark.streaming.accounting``,
+    counted as its rows pass."""
+    ok = F.col("_arity_ok")
+    return parsed.observe(observe, F.count(F.lit(1)).alias("lines"),
+                          F.count_if(ok & F.col("reason").isNull()).alias("accepted"),
+                          F.count_if(ok & F.col("reason").isNotNull()).alias("rejected"),
+                          F.count_if(~ok).alias("without_arity"))
+
+
 def parse_table(lines: DataFrame, value: str = "value", grain_minutes: int = 5,
-                keep: list[str] | tuple = ()) -> DataFrame:
+                keep: list[str] | tuple = (), observe: str | Observation | None = None) -> DataFrame:
     """Accepted and rejected rows of one parse, to be written once and read
     by every branch: ``keep`` and ``NAT_LOG`` columns, ``reason`` (null when
-    accepted) and ``line`` (the raw line of a rejected row, else null)."""
+    accepted) and ``line`` (the raw line of a rejected row, else null).  With
+    ``observe`` (a name, or an ``Observation`` of a batch) the lines are
+    counted by what became of them."""
     parsed = parse_all(lines, value, grain_minutes, keep)
+    if observe is not None:
+        parsed = _observed(parsed, observe)
     cols = [*keep, *NAT_LOG_COLUMNS, "reason"]
     rows = _select_rows(parsed, "_arity_ok", [*NAT_LOG_COLUMNS, "reason", "_line"], keep)
     return rows.selectExpr(*[X.ident(c) for c in cols], "CASE WHEN reason IS NOT NULL THEN _line END AS line")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from natspark.functions.docs import to_json_doc
@@ -22,7 +22,7 @@ from natspark.functions.timefns import msg_time, task_time
 from natspark.operators import aggregate as agg
 from natspark.operators.enrich import enrich_user, index_docs, store_lookup
 from natspark.operators.geo import app_name as resolve_app, geo_filter as gfilter, resolve_geo as rgeo
-from natspark.operators.parse import parse_nat_log as parse, parse_rejects as rejects
+from natspark.operators.parse import parse_nat_log as parse, parse_rejects as rejects, parse_table
 from natspark.operators.partitioning import ensure_parallelism
 from natspark.schemas import (ADDRESS_FIELDS, COUNT_5MIN, DIM_COUNT, INDEX_DOC_COLUMNS, NAT_LOG_COLUMNS,
                               NAT_RECORD_COLUMNS)
@@ -31,6 +31,7 @@ from natspark.sinks import (DAY_MS, INDEX, RECORDS, USER_LOG, Store, append_dim_
                             upsert_records, user_log_lines, write_counts, write_text_overwrite, write_user_log)
 from natspark.sources.fixtures import (app_ranges, edge_addresses, ip_ranges, online_users, overlapping_ranges,
                                        read_table, syslog_lines)
+from natspark.streaming.accounting import FIGURES
 from natspark.sources.streams import read_ip_ranges, read_online_users, read_text_lines, register_view
 
 # Fixed parameters of the registered queries.
@@ -81,6 +82,13 @@ def parse_rejects(spark, sf):
     return rejects(lines(spark, sf), keep=["seq"])
 
 
+def parse_accounting(spark, sf):
+    """What became of the lines, observed while the parsed table is written."""
+    seen = Observation("parse")
+    parse_table(lines(spark, sf), keep=["seq"], observe=seen).write.parquet(scratch_path(spark, "parsed"))
+    return spark.createDataFrame([(f, seen.get[f]) for f in FIGURES], "figure string, rows long")
+
+
 def log_count_5min(spark, sf):
     return agg.log_count_5min(_timed(logs(spark, sf, keep=())))
 
@@ -343,6 +351,7 @@ def geo_edges(spark, sf):
 BATCH_QUERIES = {
     "parse_nat_log": parse_nat_log,
     "parse_rejects": parse_rejects,
+    "parse_accounting": parse_accounting,
     "log_count_5min": log_count_5min,
     "nat_records": nat_records,
     "user_activity": user_activity,

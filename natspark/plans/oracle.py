@@ -206,6 +206,21 @@ _TAILS["stream_log_count_5min"] = (
     _count5("parsed") + " HAVING accesstime < (SELECT max(accesstime) FROM parsed)")
 _TAILS["stream_matched_count_5min"] = (
     _count5("records") + " HAVING accesstime < (SELECT max(accesstime) FROM records)")
+# The chained form also counts the users of a window.
+_TAILS["stream_matched_chained"] = (
+    "SELECT count(*) AS count_5min, count(*) // 300 AS count_sec, "
+    "strftime(epoch_ms(accesstime), '%Y-%m-%d %H:%M:%S') AS update_time, count(DISTINCT username) AS users "
+    "FROM records GROUP BY accesstime HAVING accesstime < (SELECT max(accesstime) FROM records)")
+_TAILS["stream_province_changes"] = _TAILS["province_running_max"]
+# Windows that the slowest host has passed.
+_TAILS["stream_source_watermark"] = (
+    _count5("parsed") + " HAVING accesstime + 300000 <= (SELECT min(m) FROM "
+    "(SELECT max(accesstime) AS m FROM parsed GROUP BY hostIP) h)")
+_TAILS["parse_accounting"] = (
+    "SELECT figure, count(*) FILTER (figure = 'lines' OR figure = kind) AS rows FROM "
+    "(SELECT CASE WHEN event_id % 97 = 0 OR event_id % 101 = 0 THEN 'without_arity' "
+    "WHEN event_id % 103 = 0 THEN 'rejected' ELSE 'accepted' END AS kind FROM events) e, "
+    "(VALUES ('lines'), ('accepted'), ('rejected'), ('without_arity')) f(figure) GROUP BY figure")
 _TAILS["stream_dim_count_5min"] = (
     "SELECT * FROM (" + " UNION ALL ".join(_dim(d) for d in ("province", "operator", "city"))
     + ") d WHERE accesstime < (SELECT max(accesstime) // 1000 FROM gf)")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from natspark.functions.docs import to_json_doc
 from natspark.schemas import INDEX_DOC_COLUMNS, NAT_LOG_COLUMNS
+from natspark.sinks.folders import Folder
 
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss"
 DAY_MS = 86_400_000
@@ -34,10 +35,17 @@ def in_days(df: DataFrame, time_from: int | None, time_to: int | None) -> DataFr
 def batch_partition_write(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
                           partition_cols: tuple = ()) -> None:
     """Write ``df`` as partition ``batch_id=<batch_id>`` of ``path``,
-    replacing that partition only (safe to replay)."""
+    replacing that partition only (safe to replay).  Sub-partitions that an
+    earlier run of the batch filled and this one doesn't are removed."""
+    spark = df.sparkSession
+    batch = Folder(spark, f"{path}/batch_id={int(batch_id)}")
+    before = {d: set(batch.names(d)) for d in batch.names() if "=" in d} if partition_cols else {}
     (df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id", *partition_cols).format(fmt).save(path))
+    for d, names in before.items():
+        if names & set(batch.names(d)):     # new files have new names
+            batch.delete(d)
 
 
 def write_counts(df: DataFrame, path: str, batch_id: int) -> None:

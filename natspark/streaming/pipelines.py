@@ -21,6 +21,7 @@ from natspark.operators.geo import geo_filter, resolve_geo
 from natspark.operators.parse import accepted, parse_nat_log, parse_table, rejected
 from natspark.sinks import (batch_partition_write, upsert_index, upsert_records,
                             user_log_lines)
+from natspark.streaming.snapshots import Snapshots
 
 PARITY_DELAY = "0 seconds"
 
@@ -57,6 +58,20 @@ def matched_count_stream(lines: DataFrame, users: DataFrame,
     return agg.log_count_5min(agg.with_event_time(records, delay=delay))
 
 
+def matched_count_chained(lines: DataFrame, users: DataFrame, delay: str = PARITY_DELAY) -> DataFrame:
+    """A3 as two windows, the second keyed on the first as in the reference:
+    matched logs per user and window, then per window over the users.  Both
+    keep state in one append query; the second takes the first one's
+    ``window_time``, so it closes a window once that has been emitted."""
+    records = agg.with_event_time(enrich_user(parse_nat_log(lines), users), delay=delay)
+    each = records.groupBy(F.window("ts", agg.WINDOW_5MIN).alias("w"), "username").agg(F.count(F.lit(1)).alias("n"))
+    timed = each.select(F.window_time("w").alias("ts"), "n")
+    both = timed.groupBy(F.window("ts", agg.WINDOW_5MIN).alias("w")).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("users"))
+    return both.select(F.col("n").alias("count_5min"), F.floor(F.col("n") / 300).cast("bigint").alias("count_sec"),
+                       F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("update_time"), "users")
+
+
 def matched_partials(records: DataFrame) -> DataFrame:
     """Per-batch partial counts of records per 5-minute window."""
     w = F.window(F.timestamp_millis("accesstime"), agg.WINDOW_5MIN)
@@ -74,13 +89,14 @@ def read_matched_counts(spark, path: str) -> DataFrame:
                                       "yyyy-MM-dd HH:mm:ss").alias("update_time"))
 
 
-def record_batch_writer(users_loader: Callable[[], DataFrame], user_log_path: str,
+def record_batch_writer(users_loader: Callable[[], DataFrame] | Snapshots, user_log_path: str,
                         records_path: str, index_path: str, order: str | None = None,
                         matched_path: str | None = None, rejects_path: str | None = None):
     """``foreachBatch`` function for the record branch (O7, O6, K2-K4).
 
     Each micro-batch: the users are loaded afresh (the reference re-reads
-    them at every window firing), the batch is enriched once and persisted,
+    them at every window firing; with ``Snapshots`` a replayed batch sees those
+    of its first run), the batch is enriched once and persisted,
     then written to the user log, the record store and the index.  Every
     write replaces the batch's own partition, so a replayed batch after a
     failure leaves no duplicate.  With ``matched_path`` the batch's matched
@@ -94,7 +110,8 @@ def record_batch_writer(users_loader: Callable[[], DataFrame], user_log_path: st
             parsed = batch.persist()
             batch_partition_write(rejected(parsed, [order] if order else []), rejects_path, batch_id)
             logs = accepted(parsed)
-        records = enrich_user(logs, users_loader()).persist()
+        users = users_loader.of(batch_id) if isinstance(users_loader, Snapshots) else users_loader()
+        records = enrich_user(logs, users).persist()
         try:
             lines = user_log_lines(records).select(F.col("line").alias("value"), "dt")
             batch_partition_write(lines, user_log_path, batch_id, fmt="text",
@@ -121,10 +138,13 @@ def start_record_branch(lines: DataFrame, users_loader: Callable[[], DataFrame],
                          checkpoint, trigger, order)
 
 
-def start_records(logs: DataFrame, users_loader: Callable[[], DataFrame], paths: dict,
+def start_records(logs: DataFrame, users_loader: Callable[[], DataFrame] | Snapshots, paths: dict,
                   checkpoint: str, trigger: dict | None = None, order: str | None = None):
     """The record branch on a stream of parsed logs, or of a ``parse_table``
-    (with a ``rejects`` path)."""
+    (with a ``rejects`` path).  With a ``users`` path every batch's users are
+    kept there for its replay."""
+    if paths.get("users"):
+        users_loader = Snapshots(logs.sparkSession, paths["users"], users_loader)
     writer = record_batch_writer(users_loader, paths["user_log"], paths["records"],
                                  paths["index"], order, paths.get("matched"), paths.get("rejects"))
     q = logs.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
@@ -132,12 +152,12 @@ def start_records(logs: DataFrame, users_loader: Callable[[], DataFrame], paths:
 
 
 def start_parse(lines: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-                order: str | None = None):
+                order: str | None = None, observe: str | None = None):
     """Parse a stream of lines once into a table that the branches read as
-    a stream each.  Spark's file sink lists every batch's files once, so a
+    a stream each.  With ``observe`` its figures reach ``ParseAccounting``.  Spark's file sink lists every batch's files once, so a
     restart neither loses nor repeats rows for the readers.  Returns the query
     and a function that opens such a stream."""
-    table = parse_table(lines, keep=[order] if order else [])
+    table = parse_table(lines, keep=[order] if order else [], observe=observe)
     spark = lines.sparkSession
     # The readers may start before the first batch is written.
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -161,7 +181,8 @@ def start_province_updates(flow: DataFrame, path: str, checkpoint: str,
     """A7 + A8 on a stream: the province counts in ``update`` mode, with
     each trigger's changed rows written under its batch id.  With a
     ``slice_seconds`` processing-time trigger the per-batch rows are the
-    running maxima of each slice."""
+    running maxima of each slice (``ledger.changelog`` has slices that don't
+    follow the trigger, and retractions)."""
     counts = flow.groupBy("province").agg(F.count(F.lit(1)).alias("resolver"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
