@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from natspark.functions.hashing import rowkey
 from natspark.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
-from natspark.operators.joins import DEFAULT_SALTS, salted_join
+from natspark.operators.joins import DEFAULT_SALTS, large_join
 from natspark.schemas import INDEX_DOC_COLUMNS
 from natspark.sinks import DAY_MS, Store, in_days
 
@@ -39,9 +39,9 @@ def enrich_user(logs: DataFrame, users: DataFrame, keep_unknown: bool = False,
     with any login literally named ``UnKnown``.  Without ``keep_unknown`` the
     lookup is an inner join, so the sentinel filter lands on the user side
     before the join.  The user side is broadcast when it has at most
-    ``max_broadcast_rows`` rows (no shuffle of the logs); otherwise the join
-    is a salted shuffle join, so one hot source address does not end up in
-    a single task."""
+    ``max_broadcast_rows`` rows (no shuffle of the logs); otherwise hot source
+    addresses, found by a frequent-items sketch, are joined by a broadcast of
+    their users and the others by a shuffle (``skew_join``; a stream salts)."""
     dim = latest_users(users).select(F.col("framedip").alias("_ip"),
                                      F.col("loginname").alias("_login"))
     how = "left" if keep_unknown else "inner"
@@ -52,7 +52,7 @@ def enrich_user(logs: DataFrame, users: DataFrame, keep_unknown: bool = False,
     if small:
         joined = logs.join(F.broadcast(dim), logs["sourceIp"] == dim["_ip"], how)
     else:
-        joined = salted_join(logs, dim, "sourceIp", "_ip", how, salts)
+        joined = large_join(logs, dim, "sourceIp", "_ip", how, salts)
     username = F.coalesce(F.col("_login"), F.lit(UNKNOWN_USER))
     out = joined.select(*[F.col(c) for c in logs.columns], username.alias("username"))
     if not keep_unknown:

@@ -9,8 +9,9 @@ from natspark.functions.ipaddr import ip_to_long, ip_to_long_strict
 from natspark.functions.split import item, jsplit
 from natspark.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from natspark.operators.joins import lookup_join
-from natspark.operators.rangejoin import (DEFAULT_BUCKET_BITS, bucket_join, containing_ranges,
-                                          disjoint_segments, sweep_lookup)
+from natspark.operators.rangejoin import (DEFAULT_BUCKET_BITS, bits_for, bucket_join, containing_ranges,
+                                          disjoint_segments, shard_bounds, sharded_join, sweep_lookup)
+from natspark.session import scratch_path
 
 # Fixed values from the reference: the unresolved sentinel (capital K), the
 # spelling its geo filter tests against (lower-case k), and the default
@@ -37,25 +38,43 @@ def parse_location(ranges: DataFrame, local: str = "local") -> DataFrame:
         F.when(usable, item(parts, LOCATION_INDEX[f])).alias(f) for f in GEO_FIELDS])
 
 
-def geo_segments(located: DataFrame, bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
+# Segment broadcasts that one plan may hold beside each other.
+MAX_SHARDS = 64
+
+
+def geo_segments(located: DataFrame, n_ranges: int | None = None) -> DataFrame:
     """Disjoint ``[seg_lo, seg_hi]`` segments of located ranges, each with the
     fields of the covering range of lowest ``endip`` (then of highest
     ``startip``, then by the fields)."""
-    segs = disjoint_segments(located, "startip", "endip", bits)
+    segs = disjoint_segments(located, "startip", "endip", n_ranges)
     covering = containing_ranges(segs, "_seg_lo", located, "startip", "endip")
     first = F.min_by(F.struct(*GEO_FIELDS), F.struct("endip", -F.col("startip"), *GEO_FIELDS))
     return covering.groupBy("_seg_lo", "_seg_hi").agg(first.alias("_g")).select(
         "_seg_lo", "_seg_hi", *[F.col(f"_g.{f}").alias(f) for f in GEO_FIELDS])
 
 
-def _at_most_one(pts: DataFrame, ranges: DataFrame, segs: DataFrame, payload: list[str], bits: int,
+def _at_most_one(pts: DataFrame, n_ranges: int, segs: DataFrame, payload: list[str], bits: int,
                  max_broadcast_rows: int) -> DataFrame:
     """Left join of addresses ``_ip`` with disjoint segments.  The plan is
-    chosen from the number of ranges alone: n ranges make at most 2n + 1
-    segments, cut at the bucket borders."""
-    bound = 2 * ranges.count() + 1 + (1 << (32 - bits))
-    if bound <= max_broadcast_rows:
-        return bucket_join(pts, "_ip", segs, "_seg_lo", "_seg_hi", bits, "left", True)
+    chosen from the number of ranges alone: n ranges make at most 2n segments,
+    listed under at most as many buckets again.
+
+    Within the bound the segments are one broadcast.  Above it they are written
+    once and cut into address shards within the bound, each a broadcast: the
+    logs are not shuffled, in a batch or a stream.  Where that would take more
+    than ``MAX_SHARDS``, or no broadcast is allowed, a batch resolves the
+    distinct addresses by ``sweep_lookup`` and a stream joins on the bucket."""
+    own = bits_for(2 * n_ranges)
+    rows = 2 * (2 * n_ranges + 1)
+    if rows <= max_broadcast_rows:
+        return bucket_join(pts, "_ip", segs, "_seg_lo", "_seg_hi", own, "left", True)
+    shards = -(-5 * rows // (4 * max_broadcast_rows)) if max_broadcast_rows > 0 else None
+    if shards is not None and shards <= MAX_SHARDS:
+        path = scratch_path(segs.sparkSession, "segments")
+        segs.write.parquet(path)
+        stored = segs.sparkSession.read.schema(segs.schema).parquet(path)
+        bounds = shard_bounds(stored, "_seg_lo", shards)
+        return sharded_join(pts, "_ip", stored, "_seg_lo", "_seg_hi", payload, own, bounds)
     if pts.isStreaming:      # no distinct and no unbounded window on a stream
         return bucket_join(pts, "_ip", segs, "_seg_lo", "_seg_hi", bits, "left", False)
     resolved = sweep_lookup(pts, "_ip", segs, "_seg_lo", "_seg_hi", payload, bits)
@@ -69,14 +88,13 @@ def resolve_geo(logs: DataFrame, ranges: DataFrame, ip_col: str = "targetIp",
     ``UnKnown`` when no range (inclusive ends) holds the address.
 
     Where ranges overlap, the one of lowest ``endip`` wins; overlaps are cut
-    once on the range table (``geo_segments``), so every plan gives one and
-    the same row per log.  Under the row bound the segments are broadcast and
-    the logs are never shuffled; above it the distinct addresses are resolved
-    by ``sweep_lookup`` and joined back by a salted shuffle join (a stream
-    joins on the bucket)."""
-    located = parse_location(ranges)
+    once on the range table (``geo_segments``), so every plan of
+    ``_at_most_one`` gives one and the same row per log; the segments are
+    broadcast, in shards where they exceed the row bound, and the logs are not
+    shuffled."""
+    located, n = parse_location(ranges), ranges.count()
     pts = logs.withColumn("_ip", ip_to_long_strict(F.col(ip_col)))
-    joined = _at_most_one(pts, ranges, geo_segments(located, bits), list(GEO_FIELDS), bits, max_broadcast_rows)
+    joined = _at_most_one(pts, n, geo_segments(located, n), list(GEO_FIELDS), bits, max_broadcast_rows)
     return joined.select(*logs.columns,
                          *[F.coalesce(F.col(f), F.lit(UNRESOLVED)).alias(f)
                            for f in GEO_FIELDS])
@@ -98,13 +116,13 @@ def geo_filter(df: DataFrame, drop_unresolved: bool = False) -> DataFrame:
     return df.where(c1 & c2)
 
 
-def app_segments(apps: DataFrame, bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
+def app_segments(apps: DataFrame, n_ranges: int | None = None) -> DataFrame:
     """Disjoint ``[seg_lo, seg_hi]`` segments of the application ranges,
     each with the winning app (largest ``ord`` among the half-open ranges
-    covering it).  Computed on the range table alone: segments come from a
-    per-bucket window, winners from an exact dyadic-block equi-join."""
+    covering it).  Computed on the range table alone: segments come from the
+    2n boundaries, winners from an exact dyadic-block equi-join."""
     ranges = apps.select("start", (F.col("end") - 1).alias("_last"), "app", "ord")
-    segs = disjoint_segments(ranges, "start", "_last", bits)
+    segs = disjoint_segments(ranges, "start", "_last", n_ranges)
     covering = containing_ranges(segs, "_seg_lo", ranges, "start", "_last")
     return covering.groupBy("_seg_lo", "_seg_hi").agg(F.max_by("app", "ord").alias("app"))
 
@@ -117,10 +135,10 @@ def app_name(df: DataFrame, apps: DataFrame, ip_col: str = "targetIp", out: str
     keeps the last match in list order), ``其他`` when none holds it.
 
     Overlaps are resolved once on the range table (``app_segments``), so
-    each address matches at most one segment: under the row bound the
-    segments are broadcast and the rows are never shuffled; above it the
-    distinct addresses are swept against the segments and joined back."""
-    segs = app_segments(apps, bits).withColumnRenamed("app", "_app")
+    each address matches at most one segment; see ``_at_most_one`` for the
+    plans."""
+    n = apps.count()
+    segs = app_segments(apps, n).withColumnRenamed("app", "_app")
     pts = df.withColumn("_ip", ip_to_long(F.col(ip_col)))
-    joined = _at_most_one(pts, apps, segs, ["_app"], bits, max_broadcast_rows)
+    joined = _at_most_one(pts, n, segs, ["_app"], bits, max_broadcast_rows)
     return joined.select(*df.columns, F.coalesce(F.col("_app"), F.lit(OTHER_APP)).alias(out))

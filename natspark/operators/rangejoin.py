@@ -99,19 +99,57 @@ def containing_ranges(points: DataFrame, point: str, ranges: DataFrame, lo: str,
     return anc.join(dyadic_blocks(ranges, lo, hi), ["_level", "_block"]).drop("_level", "_block")
 
 
-def disjoint_segments(ranges: DataFrame, lo: str, hi: str, bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
-    """Cut the (possibly overlapping) inclusive ranges at every range start,
-    every range end + 1 and every bucket start they touch: ``_seg_lo`` /
-    ``_seg_hi`` segments, none crossing a bucket, over which the set of
-    covering ranges is constant.  The neighbour lookup is a window per
-    bucket, so no window partition exceeds one bucket's boundaries."""
-    starts = ranges.select(F.col(lo).alias("_p"))
-    ends = ranges.select((F.col(hi) + 1).alias("_p"))
-    buckets = bucketed_ranges(ranges, lo, hi, bits, "_b").select(
-        F.shiftleft(F.col("_b"), bits).alias("_p"))
-    points = starts.unionByName(ends).unionByName(buckets).distinct()
-    points = points.withColumn("_b", F.shiftright("_p", bits))
-    w = Window.partitionBy("_b").orderBy("_p")
-    bucket_end = F.shiftleft(F.col("_b") + 1, bits) - 1
-    return points.select(F.col("_p").alias("_seg_lo"),
-                         F.coalesce(F.lead("_p").over(w) - 1, bucket_end).alias("_seg_hi"))
+def disjoint_segments(ranges: DataFrame, lo: str, hi: str, n_ranges: int | None = None,
+                      single_window_rows: int = 500_000) -> DataFrame:
+    """Cut the (possibly overlapping) inclusive ranges at every range start
+    and every range end + 1: at most 2n ``_seg_lo`` / ``_seg_hi`` segments over
+    which the set of covering ranges is constant (gaps are among them).
+
+    The next boundary comes from one window over the 2n boundaries while
+    ``n_ranges`` is known to be small; otherwise from a window per /16, and for
+    the last boundary of each from the first one of the next /16 that has any
+    (a row per /16, at most 65537)."""
+    starts = ranges.where(F.col(lo) <= F.col(hi)).select(F.col(lo).alias("_p"))
+    ends = ranges.where(F.col(lo) <= F.col(hi)).select((F.col(hi) + 1).alias("_p"))
+    points = starts.unionByName(ends).distinct()
+    if n_ranges is not None and 2 * n_ranges <= single_window_rows:
+        follow = points.select("_p", F.lead("_p").over(Window.orderBy("_p")).alias("_n"))
+    else:
+        points = points.withColumn("_b", F.shiftright("_p", DEFAULT_BUCKET_BITS))
+        inner = points.withColumn("_in", F.lead("_p").over(Window.partitionBy("_b").orderBy("_p")))
+        firsts = points.groupBy("_b").agg(F.min("_p").alias("_f"))
+        after = firsts.select("_b", F.lead("_f").over(Window.orderBy("_b")).alias("_out"))
+        follow = inner.join(F.broadcast(after), "_b").select("_p", F.coalesce("_in", "_out").alias("_n"))
+    return follow.where("_n IS NOT NULL").select(F.col("_p").alias("_seg_lo"), (F.col("_n") - 1).alias("_seg_hi"))
+
+
+def bits_for(n_segments: int) -> int:
+    """Address bits of a bucket: about as many buckets as segments, so that the
+    bucketed table has at most twice the segments and a bucket lists few."""
+    return max(8, min(24, 32 - max(0, (max(n_segments, 1) - 1).bit_length())))
+
+
+def shard_bounds(segs: DataFrame, lo: str, shards: int) -> list[int]:
+    """Addresses that cut the segments into ``shards`` parts of nearly equal
+    numbers of rows."""
+    at = segs.approxQuantile(lo, [i / shards for i in range(1, shards)], 0.1 / shards)
+    return sorted({int(x) for x in at})
+
+
+def sharded_join(points: DataFrame, point: str, segs: DataFrame, lo: str, hi: str, payload: list[str],
+                 bits: int, bounds: list[int]) -> DataFrame:
+    """Left join with disjoint segments, shard by shard: each address part of
+    the segments is broadcast for itself and fills the payload of the points in
+    it.  The points are never shuffled, so this runs on a stream too."""
+    out = points
+    edges = [None, *bounds, None]
+    for k, (a, b) in enumerate(zip(edges, edges[1:])):
+        part = segs
+        if a is not None:
+            part = part.where(F.col(lo) >= a)
+        if b is not None:
+            part = part.where(F.col(lo) < b)
+        part = part.select(F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), F.struct(*payload).alias(f"_s{k}"))
+        out = bucket_join(out, point, part, "_lo", "_hi", bits, "left", True).drop("_lo", "_hi")
+    hit = F.coalesce(*[F.col(f"_s{k}") for k in range(len(edges) - 1)])
+    return out.select(*points.columns, *[hit[p].alias(p) for p in payload])

@@ -8,7 +8,6 @@ from natspark.functions import ip_to_long_strict, task_time
 from natspark.operators import aggregate as agg
 from natspark.operators.enrich import index_lookup, latest_users
 from natspark.operators.geo import resolve_geo
-from natspark.operators.joins import salted_join
 from natspark.operators.parse import parse_nat_log, parse_rejects
 from natspark.sinks import append_dim_docs, console, day_of, read_keyed_store, upsert_index, upsert_records
 from tests.conftest import rows
@@ -48,24 +47,6 @@ def test_latest_users_with_null_or_absent_order(spark):
     assert rows(latest_users(df.drop("seen_at"))) == [("a", "y"), ("b", "x")]
 
 
-def test_salt_splits_equal_rows(spark):
-    big = spark.createDataFrame([("k", 1)], "key string, v int").crossJoin(spark.range(3000)).drop("id")
-    small = spark.createDataFrame([("k", "s")], "sk string, w string")
-    out = salted_join(big, small, "key", "sk")
-    assert out.count() == 3000
-    salts = big.select(F.pmod(F.monotonically_increasing_id(), F.lit(16)).alias("s")).distinct().count()
-    assert salts == 16
-
-
-def test_salts_are_written_once_before_the_shuffle(spark):
-    big = spark.range(3000).repartition(5, "id").select(F.lit("k").alias("key"), "id")
-    small = spark.createDataFrame([("k", "s")], "sk string, w string")
-    out = salted_join(big, small, "key", "sk")
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "monotonically_increasing_id" not in plan
-    assert len({r.id for r in out.collect()}) == out.count() == 3000
-
-
 def test_keep_columns_still_prune_partitions(spark, tmp_path):
     path = str(tmp_path / "lines")
     spark.createDataFrame([("x,y", "d1"), ("x,y", "d2")], "value string, dt string").write.partitionBy("dt").parquet(path)
