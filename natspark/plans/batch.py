@@ -24,6 +24,7 @@ from natspark.operators.enrich import enrich_user, index_docs, store_lookup
 from natspark.operators.geo import app_name as resolve_app, geo_filter as gfilter, resolve_geo as rgeo
 from natspark.operators.parse import parse_nat_log as parse, parse_rejects as rejects, parse_table
 from natspark.operators.partitioning import ensure_parallelism
+from natspark.operators.rangejoin import containing_ranges
 from natspark.schemas import (ADDRESS_FIELDS, COUNT_5MIN, DIM_COUNT, INDEX_DOC_COLUMNS, NAT_LOG_COLUMNS,
                               NAT_RECORD_COLUMNS)
 from natspark.session import scratch_path
@@ -130,7 +131,8 @@ def index_lookup(spark, sf):
     raw = scratch_path(spark, "records")
     records(spark, sf, keep=()).select("*", day_of()).write.parquet(raw)
     rec = spark.read.parquet(raw)
-    size, days = rec.agg(F.count("*"), F.count_distinct("day")).first()
+    size, first, last = rec.agg(F.count("*"), F.min("day"), F.max("day")).first()
+    days = last - first + 1 if size else 1
     tasks = spark.sparkContext.defaultParallelism if size < 1 << 24 else None
     stored = Store(spark, scratch_path(spark, "record-store"), replace(RECORDS, digits=bucket_digits(size, days)))
     stored.load(rec, tasks)
@@ -331,9 +333,15 @@ def online_users_q(spark, sf):
 
 
 def ip_ranges_q(spark, sf):
+    """The range table, written and read back, with the logs to each range."""
     path = scratch_path(spark, "ranges")
     ip_ranges(read_table(spark, sf, "nation")).write.csv(path)
-    return read_ip_ranges(spark, path, fmt="csv")
+    ranges = read_ip_ranges(spark, path, fmt="csv")
+    targets = (logs(spark, sf, keep=()).groupBy("targetIp").agg(F.count("*").alias("n"))
+               .withColumn("_ip", ip_to_long(F.col("targetIp"))))
+    hits = containing_ranges(targets, "_ip", ranges, "startip", "endip").groupBy("startip", "endip", "local").agg(
+        F.sum("n").alias("n_logs"))
+    return ranges.join(hits, ["startip", "endip", "local"], "left").fillna(0, ["n_logs"])
 
 
 # --- lookups at overlaps and range ends --------------------------------------
@@ -344,7 +352,7 @@ def resolve_geo_overlap(spark, sf):
 
 def geo_edges(spark, sf):
     nation = read_table(spark, sf, "nation")
-    found = rgeo(edge_addresses(ip_ranges(nation)), overlapping_ranges(nation))
+    found = rgeo(edge_addresses(read_table(spark, sf, "events")), overlapping_ranges(nation))
     return found.withColumn("ip_long", ip_to_long(F.col("targetIp")))
 
 

@@ -248,7 +248,9 @@ _TAILS["text_overwrite"] = (
     "SELECT CAST(window_start AS VARCHAR) || ',' || word || ',' || CAST(count AS VARCHAR) AS line FROM ("
     + _TAILS["word_count_windowed"] + ") t")
 _TAILS["online_users"] = "SELECT framedip, loginname, CAST(seen_at AS BIGINT) AS seen_at FROM users"
-_TAILS["ip_ranges"] = "SELECT startip, endip, local FROM ranges"
+_TAILS["ip_ranges"] = (
+    "SELECT startip, endip, local, (SELECT count(*) FROM parsed p WHERE CAST(split_part(p.targetIp, '.', 1) AS BIGINT) "
+    "* 16777216 + 8 BETWEEN startip AND endip) AS n_logs FROM ranges")
 
 # Every address against every range: the covering range of lowest end wins.
 _OVERLAP = f""",
@@ -274,14 +276,15 @@ _PLACE = ("coalesce(f[6], 'UnKnown') AS operator, coalesce(f[3], 'UnKnown') AS p
 _TAILS["resolve_geo_overlap"] = f"SELECT parsed.*, {_PLACE} FROM parsed LEFT JOIN hit USING (targetIp)".replace(
     "parsed.*", ", ".join(f"parsed.{c.strip()}" for c in _LOG_COLS.split(",")))
 _EXTRA["geo_edges"] = (
-    _OVERLAP + ", ends AS (SELECT unnest([startip, endip, endip + 1, startip - 1]) AS v FROM ranges), "
-    "dotted AS (SELECT v, concat_ws('.', v // 16777216, v // 65536 % 256, v // 256 % 256, v % 256) AS ip FROM ends), "
-    "addresses AS (SELECT ip AS targetIp, v, v AS ip_long FROM dotted UNION ALL SELECT '0' || ip, v, v FROM dotted "
-    "UNION ALL SELECT split_part(ip, '.', 1) || '.' || split_part(ip, '.', 2) || '.' || split_part(ip, '.', 3), "
-    "NULL, 0 FROM dotted), "
+    _OVERLAP + f", ends AS (SELECT event_id, (20 + 8 * (event_id % 25)) * {_T24} + CASE event_id % 4 WHEN 0 THEN 0 "
+    f"WHEN 1 THEN 6 * {_T24} - 1 WHEN 2 THEN 6 * {_T24} ELSE -1 END AS v FROM events), "
+    "dotted AS (SELECT *, concat_ws('.', v // 16777216, v // 65536 % 256, v // 256 % 256, v % 256) AS ip FROM ends), "
+    "addresses AS (SELECT event_id, CASE WHEN event_id % 3 = 2 THEN NULL ELSE v END AS v, CASE event_id % 3 "
+    "WHEN 0 THEN ip WHEN 1 THEN '0' || ip ELSE split_part(ip, '.', 1) || '.' || split_part(ip, '.', 2) || '.' "
+    "|| split_part(ip, '.', 3) END AS targetIp FROM dotted), "
     "hit AS (SELECT v, arg_min(f, endip) AS f FROM (SELECT DISTINCT v FROM addresses) a JOIN fields "
     "ON v BETWEEN startip AND endip GROUP BY v)\n")
-_TAILS["geo_edges"] = (f"SELECT targetIp, ip_long, {_PLACE} FROM addresses LEFT JOIN hit USING (v)")
+_TAILS["geo_edges"] = (f"SELECT event_id, targetIp, coalesce(v, 0) AS ip_long, {_PLACE} FROM addresses LEFT JOIN hit USING (v)")
 
 
 def oracle_sql() -> dict[str, str]:

@@ -213,9 +213,21 @@ class Store:
         (day, bucket, order, key), so that a task writes few files and no day
         or address is a single task's.  Rows of one key lie together after that
         one shuffle, and the newest of them stays."""
+        self._sorted(rows, tasks).write.partitionBy(self.layout.day, "bucket").mode("overwrite").options(
+            **self._filters()).parquet(f"{self.path}/_compacted/v={version}")
+
+    def _filters(self) -> dict[str, str]:
+        """Bloom filters as large as the values of a row group need."""
+        return {"parquet.bloom.filter.adaptive.enabled": "true",
+                **{f"parquet.bloom.filter.enabled#{c}": "true" for c in self.layout.bloom}}
+
+    def _sorted(self, rows: DataFrame, tasks: int | None) -> DataFrame:
         day, key = self.layout.day, self.layout.key
-        rows = self._with_bucket(rows)
-        names = list(dict.fromkeys([day, "bucket", *self.layout.sort_by, *([key] if key else [])]))
+        # a bucket that is the same for all is added at the end: as a constant
+        # it would hide from Spark that rows of one key lie together
+        buckets = ["bucket"] if self.layout.digits else []
+        rows = self._with_bucket(rows) if buckets else rows
+        names = list(dict.fromkeys([day, *buckets, *self.layout.sort_by, *([key] if key else [])]))
         order = [F.col(c) for c in names]
         ranged = rows.repartitionByRange(tasks, *order) if tasks else rows.repartitionByRange(*order)
         if key is not None:
@@ -224,10 +236,7 @@ class Store:
                               *[c for c in rest if c != "batch_id"])
             ranged = (ranged.groupBy(*names).agg(F.max_by(F.struct(*rest), newest).alias("_r"))
                       .select(*names, "_r.*"))
-        out = ranged.sortWithinPartitions(*order).write.partitionBy(day, "bucket").mode("overwrite")
-        for c in self.layout.bloom:
-            out = out.option(f"parquet.bloom.filter.enabled#{c}", "true")
-        out.parquet(f"{self.path}/_compacted/v={version}")
+        return (ranged if buckets else self._with_bucket(ranged)).sortWithinPartitions(*order)
 
     def compact(self, before_day: int | None = None) -> int:
         """Merge the batch files of days before ``before_day`` (all days if not

@@ -101,13 +101,17 @@ def overlapping_ranges(nation: DataFrame) -> DataFrame:
     return base.unionByName(extra("IN", 2, 1)).unionByName(extra("LATE", 5, 2))
 
 
-def edge_addresses(ranges: DataFrame) -> DataFrame:
-    """``targetIp`` texts at and just outside the ends of every range, each
-    also with a leading zero and without its last part."""
-    v = ranges.select(F.explode(F.array("startip", "endip", F.col("endip") + 1, F.col("startip") - 1)).alias("v"))
-    ip = v.selectExpr(f"concat_ws('.', v div {TWO24}, v div 65536 % 256, v div 256 % 256, v % 256) AS ip")
-    return ip.select(F.explode(F.array("ip", F.concat(F.lit("0"), "ip"), F.substring_index("ip", ".", 3)))
-                     .alias("targetIp"))
+def edge_addresses(events: DataFrame) -> DataFrame:
+    """(event_id, ``targetIp``): for every event an address at or just outside
+    an end of the range of nation ``event_id % 25`` in ``ip_ranges``, by
+    ``event_id % 4`` its start, its end, the one after or the one before; by
+    ``event_id % 3`` as it is, with a leading zero, or without its last part."""
+    start = f"(20 + 8 * (event_id % 25)) * {TWO24}"
+    v = events.selectExpr("event_id", f"{start} + CASE event_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 6 * {TWO24} - 1 "
+                                      f"WHEN 2 THEN 6 * {TWO24} ELSE -1 END AS v")
+    ip = v.selectExpr("event_id", f"concat_ws('.', v div {TWO24}, v div 65536 % 256, v div 256 % 256, v % 256) AS ip")
+    return ip.selectExpr("event_id", "CASE event_id % 3 WHEN 0 THEN ip WHEN 1 THEN concat('0', ip) "
+                                     "ELSE substring_index(ip, '.', 3) END AS targetIp")
 
 
 def app_ranges(nation: DataFrame) -> DataFrame:

@@ -184,5 +184,14 @@ def test_merged_files_are_sorted_and_carry_bloom_filters(spark, tmp_path):
     assert len(raw) > os.path.getsize(next(plain.glob("*.parquet")))   # the filters take room
 
 
+@pytest.mark.parametrize("layout", [RECORDS, replace(RECORDS, digits=0), INDEX])
+def test_a_merge_shuffles_once(spark, tmp_path, layout):
+    rows_in = index_rows(_records(spark, 100)) if layout is INDEX else _records(spark, 100)
+    rows_in.withColumn("batch_id", F.lit(0)).write.parquet(str(tmp_path / "in"))
+    plan = Store(spark, str(tmp_path / "s"), layout)._sorted(spark.read.parquet(str(tmp_path / "in")), 4)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "Exchange rangepartitioning" in text
+
+
 def test_bucket_digits():
     assert bucket_digits(100, 10) == 0 and bucket_digits(10**9, 10) == 1 and bucket_digits(10**12, 1) == 4
