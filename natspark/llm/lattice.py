@@ -11,8 +11,9 @@ words, times the end token.
 Weights come from all training texts.  The edge of a known word has its
 absolutely discounted relative frequency; the discounted mass goes to the
 pieces, whose unigram probabilities are learned by EM over the distinct words.
-With these weights the score is a proper probability.  The word table stays
-distributed; a vector with a cell per piece comes to the driver.  The same
+With these weights the score is a proper probability.  The edges of all words
+are written once, in the order of the recursion; the table stays distributed,
+and a vector with a cell per piece comes to the driver each round.  The same
 table gives the counts of the add-0.1 word unigram beside the score.
 """
 
@@ -23,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,6 +74,90 @@ def vocabulary_pieces(model: bytes) -> list[bytes]:
             if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
 
 
+# In training, words of at most so many bytes (with the space) are summed as plain
+# products: even of the least weights they stay in the range of a double.
+SHORT = 30
+
+
+class Edges:
+    """The edges of a batch of words, in the order of the forward recursion.
+
+    Word w has nodes first[w] .. first[w] + its bytes; edge e ends at node
+    ``dst`` after ``size`` bytes of ``piece``.  Edges lie by the depth of their
+    end, then by the end; ``steps`` counts them by depth.  The arrays don't
+    depend on the weights, so they are made once for all rounds."""
+
+    def __init__(self, dst: np.ndarray, size: np.ndarray, piece: np.ndarray, first: np.ndarray, steps: np.ndarray):
+        self.dst, self.size, self.piece, self.first, self.steps = dst, size, piece, first, steps
+        self.src = dst - size
+        self.bounds = np.concatenate([[0], np.cumsum(steps)])
+
+    @classmethod
+    def of(cls, lattice: PieceLattice, data: np.ndarray, offs: np.ndarray) -> Edges:
+        """``data[offs[w]:offs[w + 1]]`` are the bytes of word w."""
+        n = np.diff(offs)
+        word = np.repeat(np.arange(len(n)), n)
+        left = offs[1:][word] - np.arange(len(data))       # bytes to the word's end
+        ends, sizes, pieces = [np.arange(len(data)) + word + 1], [np.ones(len(data), np.int64)], [data.astype(np.int64)]
+        for size in lattice.lengths:
+            at = np.flatnonzero(left >= size)
+            if not len(at):
+                break
+            h = span_hashes(data, at, at + size)
+            hit = np.searchsorted(lattice.keys, h)
+            hit[hit == len(lattice.keys)] = 0
+            ok = lattice.keys[hit] == h
+            at, hit = at[ok], hit[ok]
+            ends.append(at + word[at] + size)
+            sizes.append(np.full(len(at), size))
+            pieces.append(lattice.piece[hit])
+        dst, size, piece = (np.concatenate(x) for x in (ends, sizes, pieces))
+        first = offs[:-1] + np.arange(len(n))
+        nodes = len(data) + len(n)
+        depth = (np.arange(nodes) - np.repeat(first, n + 1))[dst]
+        order = np.argsort(depth * nodes + dst)
+        return cls(dst[order], size[order], piece[order], np.append(first, nodes), np.bincount(depth)[1:])
+
+    def last(self) -> np.ndarray:
+        """The end node of each word."""
+        return self.first[1:] - 1
+
+    def forward(self, weight: np.ndarray) -> np.ndarray:
+        """Sum over all paths from a word's first node to each node; ``weight``
+        is of each edge."""
+        alpha = np.zeros(int(self.first[-1]))
+        alpha[self.first[:-1]] = 1.0
+        for a, b in zip(self.bounds, self.bounds[1:]):
+            at = self.dst[a:b]
+            runs = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            alpha[at[runs]] = np.add.reduceat(alpha[self.src[a:b]] * weight[a:b], runs)
+        return alpha
+
+    def log_forward(self, weight: np.ndarray) -> np.ndarray:
+        """``forward`` for weights and sums in log space, for words of any length."""
+        alpha = np.full(int(self.first[-1]), -np.inf)
+        alpha[self.first[:-1]] = 0.0
+        for a, b in zip(self.bounds, self.bounds[1:]):
+            at = self.dst[a:b]
+            runs = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            alpha[at[runs]] = _log_sums(alpha[self.src[a:b]] + weight[a:b], runs)
+        return alpha
+
+    def uses(self, probability: np.ndarray) -> np.ndarray:
+        """Expected uses of each piece, every word counted once: forward, then
+        backward from 1 / (the word's sum), through the same edges."""
+        weight = probability[self.piece]
+        alpha = self.forward(weight)
+        beta = np.zeros(len(alpha))
+        beta[self.last()] = 1.0 / alpha[self.last()]
+        post = np.empty(len(weight))
+        for a, b in zip(self.bounds[-2::-1], self.bounds[:0:-1]):
+            back = weight[a:b] * beta[self.dst[a:b]]
+            np.add.at(beta, self.src[a:b], back)
+            post[a:b] = alpha[self.src[a:b]] * back
+        return np.bincount(self.piece, post, minlength=len(probability))
+
+
 class WordLattice:
     """The edges of a batch of words: word w has nodes 0..len, edge e goes
     from node ``src`` to ``dst`` (numbered over all words) by ``piece``."""
@@ -178,24 +263,69 @@ def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(size), pa.py_buffer(offs), pa.py_buffer(data[gather_spans(start, size)]))
 
 
+EDGES = "dst array<int>, size array<int>, piece array<int>, first array<int>, steps array<int>"
+
+
+def edge_blocks(words: DataFrame, lattice: PieceLattice) -> DataFrame:
+    """A row of ``EDGES`` for every hundred kilobytes or so of words of at most
+    ``SHORT`` bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offs = _word_bytes(b.column(0))
+            for i, j in _slices(offs):
+                e = Edges.of(lattice, data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+                arrays = [pa.array(x, pa.int32()) for x in (e.dst, e.size, e.piece, e.first, e.steps)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in arrays],
+                    ["dst", "size", "piece", "first", "steps"])
+
+    return words.mapInArrow(run, EDGES)
+
+
 def fit(counts: DataFrame, lattice: PieceLattice, rounds: int = 11, prior: float = 0.02) -> np.ndarray:
     """Log probabilities of the pieces by EM over the distinct words, each
     counted once (what the pieces must explain is words not seen before).
 
     Starts from equal probabilities.  Every one of the ``rounds`` rounds adds
-    up the expected uses of each piece over all words, plus ``prior``.
+    up the expected uses of each piece over all words, plus ``prior``.  The
+    edges of the words are written once; a round reads them and runs forward
+    and backward only.  The few words over ``SHORT`` bytes go through their
+    lattices in log space each round.
     """
-    logp = np.full(lattice.size, -np.log(lattice.size))
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    short = F.octet_length("word") < SHORT
     words = counts.select("word")
+    blocks = materialize(edge_blocks(words.where(short).repartition(tasks, "word"), lattice), "lm-edges")
+    long = materialize(words.where(~short), "lm-long")
+    logp = np.full(lattice.size, -np.log(lattice.size))
     for _ in range(rounds):
         total = np.full(lattice.size, prior)
-        for r in _expected(words, lattice, logp).collect():
+        uses = _expected_short(blocks, lattice.size, np.exp(logp)).unionByName(_expected(long, lattice, logp))
+        for r in uses.groupBy("piece").agg(F.sum("n").alias("n")).collect():
             total[r["piece"]] += r["n"]
         logp = np.log(total / total.sum())
     return logp
 
 
-def _expected(counts: DataFrame, lattice: PieceLattice, logp: np.ndarray) -> DataFrame:
+def _uses_of(total: np.ndarray) -> pa.RecordBatch:
+    used = np.flatnonzero(total)
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], ["piece", "n"])
+
+
+def _expected_short(blocks: DataFrame, size: int, probability: np.ndarray) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for b in batches:
+            for k in range(b.num_rows):
+                e = Edges(*(b.column(c)[k].values.to_numpy().astype(np.int64) for c in range(5)))
+                total += e.uses(probability)
+        yield _uses_of(total)
+
+    return blocks.mapInArrow(run, "piece long, n double")
+
+
+def _expected(words: DataFrame, lattice: PieceLattice, logp: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(lattice.size)
         for b in batches:
@@ -206,10 +336,18 @@ def _expected(counts: DataFrame, lattice: PieceLattice, logp: np.ndarray) -> Dat
                 of = np.searchsorted(w.first, w.src, "right") - 1
                 post = np.exp(alpha[w.src] + logp[w.piece] + beta[w.dst] - alpha[w.last][of])
                 total += np.bincount(w.piece, post, minlength=lattice.size)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], ["piece", "n"])
+        yield _uses_of(total)
 
-    return counts.mapInArrow(run, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+    return words.mapInArrow(run, "piece long, n double")
+
+
+def word_scores(lattice: PieceLattice, logp: np.ndarray, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Log sum over all segmentations of each word, in log space."""
+    out = np.empty(len(offs) - 1)
+    for i, j in _slices(offs):
+        e = Edges.of(lattice, data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+        out[i:j] = e.log_forward(logp[e.piece])[e.last()]
+    return out
 
 
 # --------------------------------------------------------------------- scoring
@@ -241,11 +379,7 @@ class WordTable:
             body = np.ones(len(raw), bool)
             body[offs[:-1]] = False
             raw[body] = data[gather_spans(start[new], size)]
-            got = np.empty(len(new))
-            for i, j in _slices(offs):
-                w = WordLattice(self.lattice, raw[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
-                got[i:j] = w.forward(self.logp)[w.last]
-            out[new] = got / np.log(10)
+            out[new] = word_scores(self.lattice, self.logp, raw, offs) / np.log(10)
             keys = np.concatenate([self.keys, h[new]])
             order = np.argsort(keys, kind="stable")
             self.keys, self.scores = keys[order], np.concatenate([self.scores, out[new]])[order]
@@ -268,9 +402,11 @@ def score(docs: DataFrame, learn, model: bytes, text_col: str = "text", smoothin
 
     Adds ``n_tokens`` (words and the end), ``n_known`` (tokens that occur in
     training), ``train_tokens``, ``base_score`` (log10, add-``smoothing`` word
-    unigram over all training words and the end) and ``score`` (log10 of the
-    lattice probability); columns of these names are replaced and ``text_col``
-    goes.
+    unigram over all training words and the end), ``lattice_score`` (log10 of
+    the probability from pieces alone, with the end at its share of the
+    training tokens) and ``score`` (log10 of the lattice probability with the
+    edges of known words); columns of these names are replaced and ``text_col``
+    goes.  Other columns may have any name.
 
     A null or blank text is its end token alone.  Without training rows all
     pieces, the end among them, are equally likely and the base is over an
@@ -279,7 +415,7 @@ def score(docs: DataFrame, learn, model: bytes, text_col: str = "text", smoothin
     (a bound, whatever the corpus); all other words are looked up by a join,
     so every count is exact.
     """
-    added = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    added = ("n_tokens", "n_known", "train_tokens", "base_score", "lattice_score", "score")
     names = [c for c in docs.columns if c.lower() not in added and c != text_col]
     train = docs.where(learn)
     counts = materialize(word_counts(train, text_col), "lm-words")
@@ -301,15 +437,22 @@ def score(docs: DataFrame, learn, model: bytes, text_col: str = "text", smoothin
     else:
         end_score = float(logp[lattice.end] / np.log(10))
     end_base = float(np.log10(ends + smoothing) - base)
-
-    uid = free_name(docs, "_row")
-    src = docs.select(*[F.col(f"`{c}`") for c in names], F.col(text_col).alias("_in"))
+    # pieces alone: an end with its share of the training tokens, else a word
+    end_share = ends / total if ends else float(np.exp(logp[lattice.end]))
+    end_only = float(np.log10(end_share))
+    word_only = float(np.log10(1 - end_share)) if end_share < 1 else 0.0
+
+    # what joins and lists need has names that no column of docs has
+    made = {k: free_name(docs, f"_{k}") for k in ("row", "in", "tokens", "known", "base", "score", "lattice", "tail",
+                                                  "tail_base", "tail_score", "tail_known")}
+    uid, tail_col = made["row"], made["tail"]
+    src = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").alias(made["in"]))
     tail_type = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("tf", T.LongType()),
                                           T.StructField("lat", T.DoubleType())]))
     schema = T.StructType([docs.schema[c] for c in names]
-                          + [T.StructField("_tokens", T.LongType()), T.StructField("_known", T.LongType()),
-                             T.StructField("_base", T.DoubleType()), T.StructField("_score", T.DoubleType()),
-                             T.StructField("_tail", tail_type)])
+                          + [T.StructField(made["tokens"], T.LongType()), T.StructField(made["known"], T.LongType()),
+                             T.StructField(made["base"], T.DoubleType()), T.StructField(made["score"], T.DoubleType()),
+                             T.StructField(made["lattice"], T.DoubleType()), T.StructField(tail_col, tail_type)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTable(lattice, logp, head)
@@ -336,26 +479,32 @@ def score(docs: DataFrame, learn, model: bytes, text_col: str = "text", smoothin
                 cols = [b.column(k).slice(i, rows) for k in range(len(names))]
                 cols += [pa.array(np.bincount(doc, minlength=rows) + 1, pa.int64()), pa.array(known, pa.int64()),
                          pa.array(np.bincount(doc, b10[inv], minlength=rows) + end_base),
-                         pa.array(np.bincount(doc, s10[inv], minlength=rows) + end_score), lists]
+                         pa.array(np.bincount(doc, s10[inv], minlength=rows) + end_score),
+                         pa.array(np.bincount(doc, lat[inv] + word_only, minlength=rows) + end_only), lists]
                 yield pa.RecordBatch.from_arrays(cols, schema.names)
 
     # Written once: the row numbers below stay as they are.
     first = materialize(src.mapInArrow(run, schema).withColumn(uid, F.monotonically_increasing_id()), "lm-first")
     n, lat = F.col("n"), F.col("lat")
     seen = F.log10((n - F.lit(discount)) / F.lit(float(max(total, 1))) + F.lit(to_pieces) * F.pow(F.lit(10.0), lat))
-    found = (first.select(uid, F.explode("_tail").alias("t")).select(uid, "t.word", "t.tf", "t.lat")
-             .join(counts, "word", "left").groupBy(uid).agg(
-        F.sum(F.col("tf") * (F.log10(F.coalesce(n, F.lit(0)) + F.lit(smoothing)) - F.lit(base))).alias("_tail_base"),
+    one = F.explode(F.col(f"`{tail_col}`"))
+    found = (first.select(F.col(f"`{uid}`").alias("id"), one.alias("t")).select("id", "t.word", "t.tf", "t.lat")
+             .join(counts, "word", "left").groupBy(F.col("id").alias(uid)).agg(
+        F.sum(F.col("tf") * (F.log10(F.coalesce(n, F.lit(0)) + F.lit(smoothing)) - F.lit(base))).alias(made["tail_base"]),
         F.sum(F.col("tf") * F.when(n.isNull(), lat + F.lit(float(np.log10(to_pieces)))).otherwise(seen)
-              ).alias("_tail_score"),
-        F.sum(F.when(n.isNotNull(), F.col("tf")).otherwise(0)).alias("_tail_known")))
-    zero = F.lit(0.0)
+              ).alias(made["tail_score"]),
+        F.sum(F.when(n.isNotNull(), F.col("tf")).otherwise(0)).alias(made["tail_known"])))
+
+    def col(k: str) -> Column:
+        return F.col(f"`{made[k]}`")
+
     return first.join(found, uid, "left").select(
-        *[F.col(f"`{c}`") for c in names], F.col("_tokens").alias("n_tokens"),
-        (F.col("_known") + F.coalesce("_tail_known", F.lit(0))).alias("n_known"),
+        *[F.col(f"`{c}`") for c in names], col("tokens").alias("n_tokens"),
+        (col("known") + F.coalesce(col("tail_known"), F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("_base") + F.coalesce("_tail_base", zero)).alias("base_score"),
-        (F.col("_score") + F.coalesce("_tail_score", zero)).alias("score"))
+        (col("base") + F.coalesce(col("tail_base"), F.lit(0.0))).alias("base_score"),
+        col("lattice").alias("lattice_score"),
+        (col("score") + F.coalesce(col("tail_score"), F.lit(0.0))).alias("score"))
 
 
 def _frequent(counts: DataFrame, limit: int) -> DataFrame:

@@ -256,6 +256,68 @@ def test_lattice_sums_all_segmentations(docs, model):
     assert all(math.isfinite(r.score) and r.train_tokens == 0 for r in nothing)
 
 
+def test_edges_give_what_the_word_lattices_give():
+    vocab = [b" a", b"ab", b" ab", b"ba", b"bab"]
+    small = lattice.lattice_of(vocab)
+    rnd = random.Random(6)
+    raw = [b" " + bytes(rnd.choice(b"abc") for _ in range(rnd.randrange(1, 12))) for _ in range(60)]
+    offs = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    p = np.random.default_rng(1).random(small.size)
+    p /= p.sum()
+    e, w = lattice.Edges.of(small, data, offs), lattice.WordLattice(small, data, offs)
+    assert np.allclose(np.log(e.forward(p[e.piece])[e.last()]), w.forward(np.log(p))[w.last])
+    assert np.allclose(lattice.word_scores(small, np.log(p), data, offs), w.forward(np.log(p))[w.last])
+    alpha, beta = w.forward(np.log(p)), w.backward(np.log(p))
+    of = np.searchsorted(w.first, w.src, "right") - 1
+    post = np.exp(alpha[w.src] + np.log(p)[w.piece] + beta[w.dst] - alpha[w.last][of])
+    assert np.allclose(e.uses(p), np.bincount(w.piece, post, minlength=small.size))
+
+
+def test_scores_equal_their_definition_whatever_the_columns_are_called(spark, model):
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice(["the", "The", "house", "zq", "été", "x" * 40, "of"]) + rnd.choice(["", "", "s", "ly"])
+                      for _ in range(rnd.randrange(12))) for _ in range(24)] + ["", None, "Only here", "9" * 70]
+    names = ["_row", "_in", "_tokens", "_known", "_base", "_score", "_lattice", "_tail", "_tail_base", "id", "t", "n"]
+    df = spark.createDataFrame([(i, t, *[7] * len(names)) for i, t in enumerate(texts)],
+                               "doc_id long, text string, " + ", ".join(f"{c} int" for c in names)).repartition(3)
+    learn = F.col("doc_id") % 3 != 0
+    got = lattice.score(df, learn, model, head_words=3)
+    assert got.columns == ["doc_id", *names, "n_tokens", "n_known", "train_tokens", "base_score", "lattice_score", "score"]
+    got = {r.doc_id: r for r in got.collect()}
+    assert len(got) == len(texts) and all(r._score == r._tail == r["id"] == 7 for r in got.values())
+    train = [t for i, t in enumerate(texts) if i % 3]
+    counts, ends = {}, len(train)
+    for t in train:
+        for x in words(t):
+            counts[x] = counts.get(x, 0) + 1
+    total, kinds = sum(counts.values()) + ends, len(counts) + 1
+    pieces = lattice.lattice_of(lattice.vocabulary_pieces(model))
+    table = spark.createDataFrame(list(counts.items()), "word string, n long")
+    logp = lattice.fit(table, pieces)
+    vocab = {bytes([b]): b for b in range(256)}
+    longer = sorted({p for p in lattice.vocabulary_pieces(model) if len(p) > 1 and b" " not in p[1:]
+                     and not any(b in p for b in b"\t\n\x0b\x0c\r") and p.lower() == p})
+    vocab |= {p: 256 + k for k, p in enumerate(longer)}
+
+    def of_pieces(word):
+        raw, alpha = b" " + word.encode(), [1.0]
+        for d in range(1, len(raw) + 1):
+            alpha.append(sum(alpha[k] * math.exp(logp[vocab[raw[k:d]]]) for k in range(d) if raw[k:d] in vocab))
+        return alpha[-1]
+
+    once, twice = sum(n == 1 for n in counts.values()), sum(n == 2 for n in counts.values())
+    discount = min(0.9, max(0.1, once / (once + 2 * twice)))
+    for i, t in enumerate(texts):
+        score, pure = math.log10((ends - discount) / total), math.log10(ends / total)
+        for x in words(t):
+            p = of_pieces(x)
+            score += math.log10(max(counts.get(x, 0) - discount, 0) / total + discount * kinds / total * p)
+            pure += math.log10(p * (1 - ends / total))
+        assert got[i].n_known == 1 + sum(x in counts for x in words(t))
+        assert abs(got[i].score - score) < 1e-6 and abs(got[i].lattice_score - pure) < 1e-6, t
+
+
 def test_every_em_round_sees_every_word(spark):
     small = lattice.lattice_of([b"zq", b" zq", b"ab"])
     vocab = {bytes([b]): b for b in range(256)} | {p: 256 + i for i, p in enumerate(sorted([b"zq", b" zq", b"ab"]))}
