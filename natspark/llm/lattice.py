@@ -263,27 +263,52 @@ def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(size), pa.py_buffer(offs), pa.py_buffer(data[gather_spans(start, size)]))
 
 
-EDGES = "dst array<int>, size array<int>, piece array<int>, first array<int>, steps array<int>"
+BLOCK = "words binary, n binary, edges binary"
 
 
-def edge_blocks(words: DataFrame, lattice: PieceLattice) -> DataFrame:
-    """A row of ``EDGES`` for every hundred kilobytes or so of words of at most
-    ``SHORT`` bytes."""
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Integer arrays as compressed bytes: differences, since most are small."""
+    import zstandard
+
+    head = np.array([len(arrays), *map(len, arrays)], np.int64)
+    body = [np.diff(x, prepend=0).astype(np.int32).tobytes() for x in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(head.tobytes() + b"".join(body))
+
+
+def _unpacked(raw: bytes) -> list[np.ndarray]:
+    import zstandard
+
+    data = zstandard.ZstdDecompressor().decompress(raw)
+    k = int(np.frombuffer(data, np.int64, 1)[0])
+    sizes = np.frombuffer(data, np.int64, k, 8)
+    flat = np.frombuffer(data, np.int32, -1, 8 * (k + 1))
+    return [np.cumsum(x, dtype=np.int64) for x in np.split(flat, np.cumsum(sizes)[:-1])]
+
+
+def edge_blocks(counts: DataFrame, lattice: PieceLattice) -> DataFrame:
+    """A ``BLOCK`` for every hundred kilobytes or so of words: the words, their
+    counts and their ``Edges``, as bytes that Spark only carries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            words, n = b.column(0).to_pylist(), b.column(1).to_numpy()
             data, offs = _word_bytes(b.column(0))
             for i, j in _slices(offs):
                 e = Edges.of(lattice, data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
-                arrays = [pa.array(x, pa.int32()) for x in (e.dst, e.size, e.piece, e.first, e.steps)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in arrays],
-                    ["dst", "size", "piece", "first", "steps"])
+                row = ["\n".join(words[i:j]).encode(), n[i:j].astype("<i8").tobytes(),
+                       _packed(e.dst, e.size, e.piece, e.first, e.steps)]
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in row], ["words", "n", "edges"])
 
-    return words.mapInArrow(run, EDGES)
+    return counts.select("word", "n").mapInArrow(run, BLOCK)
 
 
 def fit(counts: DataFrame, lattice: PieceLattice, rounds: int = 11, prior: float = 0.02) -> np.ndarray:
+    """The weights of ``fit_words`` alone."""
+    return fit_words(counts, lattice, rounds, prior)[0]
+
+
+def fit_words(counts: DataFrame, lattice: PieceLattice, rounds: int = 11, prior: float = 0.02
+              ) -> tuple[np.ndarray, DataFrame]:
     """Log probabilities of the pieces by EM over the distinct words, each
     counted once (what the pieces must explain is words not seen before).
 
@@ -291,11 +316,12 @@ def fit(counts: DataFrame, lattice: PieceLattice, rounds: int = 11, prior: float
     up the expected uses of each piece over all words, plus ``prior``.  The
     edges of the words are written once; a round reads them and runs forward
     and backward only.  The few words over ``SHORT`` bytes go through their
-    lattices in log space each round.
+    lattices in log space each round.  Also returns the words with their counts
+    and their log probability (word, n, lat in log10) under the last weights.
     """
     tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     short = F.octet_length("word") < SHORT
-    words = counts.select("word")
+    words = counts.select("word", "n")
     blocks = materialize(edge_blocks(words.where(short).repartition(tasks, "word"), lattice), "lm-edges")
     long = materialize(words.where(~short), "lm-long")
     logp = np.full(lattice.size, -np.log(lattice.size))
@@ -305,7 +331,28 @@ def fit(counts: DataFrame, lattice: PieceLattice, rounds: int = 11, prior: float
         for r in uses.groupBy("piece").agg(F.sum("n").alias("n")).collect():
             total[r["piece"]] += r["n"]
         logp = np.log(total / total.sum())
-    return logp
+
+    def blocks_scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for words, n, edges in zip(*(b.column(c).to_pylist() for c in range(3))):
+                e = Edges(*_unpacked(edges))
+                yield _scored(pa.array(words.decode().split("\n")), np.frombuffer(n, "<i8"),
+                              e.log_forward(logp[e.piece])[e.last()])
+
+    def words_scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield _scored(b.column(0), b.column(1).to_numpy(), word_scores(lattice, logp, *_word_bytes(b.column(0))))
+
+    scored = blocks.mapInArrow(blocks_scored, WORD_SCHEMA).unionByName(long.mapInArrow(words_scored, WORD_SCHEMA))
+    return logp, materialize(scored, "lm-scored")
+
+
+WORD_SCHEMA = "word string, n long, lat double"
+
+
+def _scored(words: pa.Array, n: np.ndarray, log_scores: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(n, pa.int64()),
+                                       pa.array(log_scores / np.log(10))], ["word", "n", "lat"])
 
 
 def _uses_of(total: np.ndarray) -> pa.RecordBatch:
@@ -317,12 +364,11 @@ def _expected_short(blocks: DataFrame, size: int, probability: np.ndarray) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         for b in batches:
-            for k in range(b.num_rows):
-                e = Edges(*(b.column(c)[k].values.to_numpy().astype(np.int64) for c in range(5)))
-                total += e.uses(probability)
+            for raw in b.column(0).to_pylist():
+                total += Edges(*_unpacked(raw)).uses(probability)
         yield _uses_of(total)
 
-    return blocks.mapInArrow(run, "piece long, n double")
+    return blocks.select("edges").mapInArrow(run, "piece long, n double")
 
 
 def _expected(words: DataFrame, lattice: PieceLattice, logp: np.ndarray) -> DataFrame:
@@ -338,7 +384,7 @@ def _expected(words: DataFrame, lattice: PieceLattice, logp: np.ndarray) -> Data
                 total += np.bincount(w.piece, post, minlength=lattice.size)
         yield _uses_of(total)
 
-    return words.mapInArrow(run, "piece long, n double")
+    return words.select("word").mapInArrow(run, "piece long, n double")
 
 
 def word_scores(lattice: PieceLattice, logp: np.ndarray, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -353,46 +399,25 @@ def word_scores(lattice: PieceLattice, logp: np.ndarray, data: np.ndarray, offs:
 # --------------------------------------------------------------------- scoring
 
 class WordTable:
-    """What is known of frequent words, by sorted hash; the words that a task
-    meets are scored once while they fit the bound."""
-
-    def __init__(self, lattice: PieceLattice, logp: np.ndarray, head: tuple[np.ndarray, np.ndarray],
-                 max_words: int = 300_000):
-        self.lattice, self.logp, self.head, self.max_words = lattice, logp, head, max_words
-        self.keys = np.empty(0, np.uint64)
-        self.scores = np.empty(0)
-
-    def lattice_scores(self, data, start, end, h) -> np.ndarray:
-        """log10 probability of words given as spans with distinct sorted hashes."""
-        if len(self.keys) > self.max_words:
-            self.keys, self.scores = self.keys[:0], self.scores[:0]
+    """Counts and lattice scores of frequent words, by sorted hash."""
+
+    def __init__(self, head):
+        raw = [w.encode() for w in head["word"]]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        end = np.cumsum(size)
+        h = span_hashes(np.frombuffer(b"".join(raw), np.uint8), end - size, end)
+        order = np.argsort(h)
+        self.keys = h[order]
+        self.n, self.lat = head["n"].to_numpy(np.int64)[order], head["lat"].to_numpy(float)[order]
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(count, score) of each word; count -1 for words not in the table."""
+        if not len(self.keys):
+            return np.full(len(h), -1), np.zeros(len(h))
         at = np.searchsorted(self.keys, h)
         at[at == len(self.keys)] = 0
-        known = self.keys[at] == h if len(self.keys) else np.zeros(len(h), bool)
-        out = np.empty(len(h))
-        out[known] = self.scores[at[known]]
-        new = np.flatnonzero(~known)
-        if len(new):
-            size = end[new] - start[new]
-            offs = np.concatenate([[0], np.cumsum(size + 1)])
-            raw = np.full(int(offs[-1]), SPACE, np.uint8)
-            body = np.ones(len(raw), bool)
-            body[offs[:-1]] = False
-            raw[body] = data[gather_spans(start[new], size)]
-            out[new] = word_scores(self.lattice, self.logp, raw, offs) / np.log(10)
-            keys = np.concatenate([self.keys, h[new]])
-            order = np.argsort(keys, kind="stable")
-            self.keys, self.scores = keys[order], np.concatenate([self.scores, out[new]])[order]
-        return out
-
-    def head_counts(self, h: np.ndarray) -> np.ndarray:
-        """Counts of words in the head table, -1 for others."""
-        keys, n = self.head
-        if not len(keys):
-            return np.full(len(h), -1)
-        at = np.searchsorted(keys, h)
-        at[at == len(keys)] = 0
-        return np.where(keys[at] == h, n[at], -1)
+        hit = self.keys[at] == h
+        return np.where(hit, self.n[at], -1), np.where(hit, self.lat[at], 0.0)
 
 
 def score(docs: DataFrame, learn, model: bytes, text_col: str = "text", smoothing: float = 0.1,
@@ -426,12 +451,12 @@ def score(docs: DataFrame, learn, model: bytes, text_col: str = "text", smoothin
     total, kinds = n_words + ends, distinct + (1 if ends else 0)
     base = float(np.log10(total + smoothing * (kinds + 1)))
     lattice = lattice_of(vocabulary_pieces(model))
-    logp = fit(counts, lattice)
+    logp, scored = fit_words(counts, lattice)
     # Absolute discounting; the discount is the usual estimate from the
     # numbers of words seen once and twice.
     discount = min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.1
     to_pieces = discount * kinds / total if total else 1.0
-    head = _hashed(_frequent(counts, head_words).toPandas())
+    head = WordTable(_frequent(scored, head_words).toPandas())
     if ends:
         end_score = float(np.log10((ends - discount) / total))
     else:
@@ -443,27 +468,27 @@ def score(docs: DataFrame, learn, model: bytes, text_col: str = "text", smoothin
     word_only = float(np.log10(1 - end_share)) if end_share < 1 else 0.0
 
     # what joins and lists need has names that no column of docs has
-    made = {k: free_name(docs, f"_{k}") for k in ("row", "in", "tokens", "known", "base", "score", "lattice", "tail",
-                                                  "tail_base", "tail_score", "tail_known")}
+    made = {k: free_name(docs, f"_{k}") for k in ("row", "in", "learn", "tokens", "known", "base", "score", "lattice", "tail",
+                                                  "tail_base", "tail_score", "tail_lattice", "tail_known")}
     uid, tail_col = made["row"], made["tail"]
-    src = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").alias(made["in"]))
-    tail_type = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("tf", T.LongType()),
-                                          T.StructField("lat", T.DoubleType())]))
-    schema = T.StructType([docs.schema[c] for c in names]
+    src = docs.select(*[F.col(f"`{c}`") for c in names], F.coalesce(learn, F.lit(False)).alias(made["learn"]),
+                      F.col(f"`{text_col}`").alias(made["in"]))
+    kept = len(names) + 1
+    tail_type = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("tf", T.LongType())]))
+    schema = T.StructType([docs.schema[c] for c in names] + [T.StructField(made["learn"], T.BooleanType())]
                           + [T.StructField(made["tokens"], T.LongType()), T.StructField(made["known"], T.LongType()),
                              T.StructField(made["base"], T.DoubleType()), T.StructField(made["score"], T.DoubleType()),
                              T.StructField(made["lattice"], T.DoubleType()), T.StructField(tail_col, tail_type)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTable(lattice, logp, head)
         for b in batches:
-            for i, j, data, offs in text_chunks(b.column(len(names))):
+            for i, j, data, offs in text_chunks(b.column(kept)):
                 data = _LOWER[data]
                 start, end, doc = word_bounds(data, offs)
                 h, at, inv = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
-                lat = words.lattice_scores(data, start[at], end[at], h)
-                c = words.head_counts(h)
+                c, lat = head.find(h)
                 in_head = c >= 0
+                pure = np.where(in_head, lat + word_only, 0.0)
                 b10 = np.where(in_head, np.log10(np.maximum(c, 0) + smoothing) - base, 0.0)
                 s10 = np.zeros(len(h))
                 s10[in_head] = np.log10((c[in_head] - discount) / max(total, 1) + to_pieces * 10.0 ** lat[in_head])
@@ -475,12 +500,12 @@ def score(docs: DataFrame, learn, model: bytes, text_col: str = "text", smoothin
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.searchsorted(owner, np.arange(rows + 1)), pa.int32()),
                     pa.StructArray.from_arrays([_strings(data, start[at[word]], end[at[word]]),
-                                                pa.array(tf, pa.int64()), pa.array(lat[word])], ["word", "tf", "lat"]))
-                cols = [b.column(k).slice(i, rows) for k in range(len(names))]
+                                                pa.array(tf, pa.int64())], ["word", "tf"]))
+                cols = [b.column(k).slice(i, rows) for k in range(kept)]
                 cols += [pa.array(np.bincount(doc, minlength=rows) + 1, pa.int64()), pa.array(known, pa.int64()),
                          pa.array(np.bincount(doc, b10[inv], minlength=rows) + end_base),
                          pa.array(np.bincount(doc, s10[inv], minlength=rows) + end_score),
-                         pa.array(np.bincount(doc, lat[inv] + word_only, minlength=rows) + end_only), lists]
+                         pa.array(np.bincount(doc, pure[inv], minlength=rows) + end_only), lists]
                 yield pa.RecordBatch.from_arrays(cols, schema.names)
 
     # Written once: the row numbers below stay as they are.
@@ -488,11 +513,22 @@ def score(docs: DataFrame, learn, model: bytes, text_col: str = "text", smoothin
     n, lat = F.col("n"), F.col("lat")
     seen = F.log10((n - F.lit(discount)) / F.lit(float(max(total, 1))) + F.lit(to_pieces) * F.pow(F.lit(10.0), lat))
     one = F.explode(F.col(f"`{tail_col}`"))
-    found = (first.select(F.col(f"`{uid}`").alias("id"), one.alias("t")).select("id", "t.word", "t.tf", "t.lat")
-             .join(counts, "word", "left").groupBy(F.col("id").alias(uid)).agg(
+    # only rows outside training can hold words that have no score yet
+    others = first.where(~F.col(f"`{made['learn']}`")).select(one.alias("t")).select("t.word").distinct()
+    unseen = others.join(scored.select("word"), "word", "left_anti").withColumn("n", F.lit(None).cast("long"))
+
+    def new_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = word_scores(lattice, logp, *_word_bytes(b.column(0))) / np.log(10)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got)], ["word", "n", "lat"])
+
+    table = scored.unionByName(materialize(unseen.mapInArrow(new_words, WORD_SCHEMA), "lm-unseen"))
+    found = (first.select(F.col(f"`{uid}`").alias("id"), one.alias("t")).select("id", "t.word", "t.tf")
+             .join(table, "word").groupBy(F.col("id").alias(uid)).agg(
         F.sum(F.col("tf") * (F.log10(F.coalesce(n, F.lit(0)) + F.lit(smoothing)) - F.lit(base))).alias(made["tail_base"]),
         F.sum(F.col("tf") * F.when(n.isNull(), lat + F.lit(float(np.log10(to_pieces)))).otherwise(seen)
               ).alias(made["tail_score"]),
+        F.sum(F.col("tf") * (lat + F.lit(word_only))).alias(made["tail_lattice"]),
         F.sum(F.when(n.isNotNull(), F.col("tf")).otherwise(0)).alias(made["tail_known"])))
 
     def col(k: str) -> Column:
@@ -503,7 +539,7 @@ def score(docs: DataFrame, learn, model: bytes, text_col: str = "text", smoothin
         (col("known") + F.coalesce(col("tail_known"), F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
         (col("base") + F.coalesce(col("tail_base"), F.lit(0.0))).alias("base_score"),
-        col("lattice").alias("lattice_score"),
+        (col("lattice") + F.coalesce(col("tail_lattice"), F.lit(0.0))).alias("lattice_score"),
         (col("score") + F.coalesce(col("tail_score"), F.lit(0.0))).alias("score"))
 
 
@@ -519,12 +555,3 @@ def _frequent(counts: DataFrame, limit: int) -> DataFrame:
             break
         least, held = b, held + k
     return counts.where(F.col("n") >= F.lit(1 << least))
-
-
-def _hashed(head) -> tuple[np.ndarray, np.ndarray]:
-    raw = [w.encode() for w in head["word"]]
-    size = np.fromiter(map(len, raw), np.int64, len(raw))
-    end = np.cumsum(size)
-    h = span_hashes(np.frombuffer(b"".join(raw), np.uint8), end - size, end)
-    order = np.argsort(h)
-    return h[order], head["n"].to_numpy(np.int64)[order] if len(raw) else np.empty(0, np.int64)
