@@ -9,6 +9,7 @@ MySQL and a geo-IP file are derived from ``events``, ``customer`` and
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -135,9 +136,11 @@ def index_lookup(spark, sf):
     days = last - first + 1 if size else 1
     tasks = spark.sparkContext.defaultParallelism if size < 1 << 24 else None
     stored = Store(spark, scratch_path(spark, "record-store"), replace(RECORDS, digits=bucket_digits(size, days)))
-    stored.load(rec, tasks)
     index = Store(spark, scratch_path(spark, "index-store"), INDEX)
-    index.load(index_rows(rec), tasks)
+    with ThreadPoolExecutor(2) as side_by_side:
+        for done in [side_by_side.submit(stored.load, rec, tasks),
+                     side_by_side.submit(index.load, index_rows(rec), tasks)]:
+            done.result()
     return store_lookup(index, stored, **INDEX_QUERY).select(*NAT_RECORD_COLUMNS)
 
 
