@@ -5,12 +5,15 @@ space): no piece of the vocabulary crosses such a border, so words merge on
 their own.  All new distinct words of a chunk merge together: flat arrays of
 symbols, the smallest pair rank of each word found by a segmented minimum,
 its leftmost pairs merged in all words at once, the arrays compacted, until no
-word has a pair left.
+word has a pair left.  A word longer than ``LONG_WORD`` (text without spaces)
+would hold all others back with a round per merge, so it takes the same merges
+in the same order from a heap.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -20,11 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from natspark.llm.common import gather_spans, text_chunks
+from natspark.llm.common import free_name, gather_spans, text_chunks
 
 MARK = "▁"
 _NONE = np.iinfo(np.int32).max
 _LONG_RUN = 64
+LONG_WORD = 512
+# Texts on which other kinds of models, normalizers or prefixes show.
+_PROBES = ("", " ", "  a  b ", "The quick brown fox jumps over the lazy dog's 1234567 friends.", "a\tb\nc\r\n d",
+           "ＡＢ ﬁ ² Å é e\u0301 \u00a0x", "naïve Straße привет 日本語 😀 \u200b", "unbelievably internationalization")
 
 
 class Vocabulary:
@@ -83,6 +90,7 @@ class Vocabulary:
         self.keys = np.array(keys, np.int64)[order]
         self.ranks = np.array(ranks, np.int32)[order]
         self.merged = np.array(merged, np.int32)[order]
+        self._pairs: dict[int, tuple[int, int]] | None = None       # made for the first long word
         # Merging a pair everywhere at once equals one at a time if no pair
         # that its piece can enter comes before (or ties with) the pair itself.
         self.at_once = np.zeros(n + 1, bool)
@@ -112,6 +120,39 @@ class Vocabulary:
         found = (self.keys[at] == key) & (left >= 0) & (right >= 0)
         return np.where(found, self.ranks[at], _NONE), np.where(found, self.merged[at], -1)
 
+    def _merge_long(self, sym: np.ndarray) -> np.ndarray:
+        """The symbols of one word, all merges done: smallest rank first, the
+        leftmost among equals, from a heap of (rank, place)."""
+        if self._pairs is None:
+            self._pairs = dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.merged.tolist())))
+        pairs, none = self._pairs, (_NONE, -1)
+        n = len(sym)
+        r, m = self._lookup(sym[:-1], sym[1:])
+        heap = ((r.astype(np.int64) << 32) | np.arange(n - 1))[r != _NONE].tolist()
+        heapq.heapify(heap)
+        rank, into, s = [*r.tolist(), _NONE], [*m.tolist(), -1], sym.tolist()
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            key = heapq.heappop(heap)
+            p = key & 0xFFFFFFFF
+            if rank[p] != key >> 32:                    # the pair has changed since
+                continue
+            gone = after[p]
+            s[p], end = into[p], after[gone]
+            rank[gone], s[gone] = _NONE, None
+            after[p] = end
+            rank[p], into[p] = pairs.get(s[p] << 32 | s[end], none) if end < n else none
+            if end < n:
+                before[end] = p
+            if rank[p] != _NONE:
+                heapq.heappush(heap, rank[p] << 32 | p)
+            left = before[p]
+            if left >= 0:
+                rank[left], into[left] = pairs.get(s[left] << 32 | s[p], none)
+                if rank[left] != _NONE:
+                    heapq.heappush(heap, rank[left] << 32 | left)
+        return np.array([x for x in s if x is not None], np.int64)
+
     def merge_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of the words, end to end, and how many each has."""
         text = "".join(words)
@@ -122,6 +163,14 @@ class Vocabulary:
         sym = char_id[inv] if len(uniq) else np.empty(0, np.int64)
         word = np.repeat(np.arange(len(words)), length)
         done_sym, done_word = [], []
+        long = np.flatnonzero(length > LONG_WORD)
+        if len(long):
+            end = np.cumsum(length)
+            for w in long.tolist():
+                done_sym.append(self._merge_long(sym[end[w] - length[w]:end[w]]))
+                done_word.append(np.full(len(done_sym[-1]), w))
+            short = (length <= LONG_WORD)[word]
+            sym, word = sym[short], word[short]
         rank = np.full(len(sym), _NONE, np.int32)      # of the pair that begins here
         into = np.full(len(sym), -1, np.int32)
         same = word[:-1] == word[1:]
@@ -177,17 +226,17 @@ class Vocabulary:
         lone = (sym < 0) | (sym >= self.pieces)
         if lone.any():
             name = {i: c for c, i in self.chars.items() if i >= self.pieces}
-            out, owner = [], []
-            step = np.flatnonzero(lone)
-            at = 0
-            for p in step:
-                s = int(sym[p])
-                raw = (chr(-1 - s) if s < 0 else name[s]).encode()
-                out += [sym[at:p], self.byte_ids[np.frombuffer(raw, np.uint8)]]
-                owner += [word[at:p], np.full(len(raw), word[p])]
-                at = p + 1
-            sym = np.concatenate([*out, sym[at:]])
-            word = np.concatenate([*owner, word[at:]])
+            kinds, which = np.unique(sym[lone], return_inverse=True)
+            raw = [self.byte_ids[np.frombuffer((chr(-1 - int(k)) if k < 0 else name[int(k)]).encode(), np.uint8)]
+                   for k in kinds]
+            width = np.fromiter(map(len, raw), np.int64, len(raw))
+            size = np.ones(len(sym), np.int64)
+            size[lone] = width[which]
+            is_byte = np.repeat(lone, size)
+            out = np.empty(len(is_byte), np.int64)
+            out[~is_byte] = sym[~lone]
+            out[is_byte] = np.concatenate(raw)[gather_spans((np.cumsum(width) - width)[which], width[which])]
+            sym, word = out, np.repeat(word, size)
         return sym.astype(np.int32), np.bincount(word, minlength=len(words))
 
 
@@ -271,6 +320,21 @@ class Encoder:
         return out
 
 
+def check_model(model: bytes) -> None:
+    """Raise ValueError unless the library encodes and decodes some telling
+    texts as this module does: a model of another kind, with another
+    normalizer or without the mark before the first word doesn't fit."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+    enc = Encoder(Vocabulary(model))
+    ids, n = enc.encode(list(_PROBES))
+    for text, end, k, back in zip(_PROBES, np.cumsum(n), n, enc.decode(ids, n)):
+        want = sp.encode(text, add_bos=True, add_eos=True)
+        if ids[end - k:end].tolist() != want or back.decode("utf-8", "replace") != sp.decode(want):
+            raise ValueError("the model is not a BPE model with byte fallback and an identity normalizer")
+
+
 def read_model(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
@@ -282,14 +346,16 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text",
     ``n_tokens``, ``ids_sha256`` (of the ids as little-endian unsigned 32-bit
     integers), ``decoded`` and ``decoded_sha256`` (of the ids decoded again).
 
-    Columns of ``docs`` with these names are replaced.  A null text is an
-    empty one: begin and end id only, decoding to "".  Equal texts get equal
-    ids.  ``model`` is a model file's content, sent along with the tasks.
+    Columns of ``docs`` with these names are replaced; others may have any
+    name.  A null text is an empty one: begin and end id only, decoding to "".
+    Equal texts get equal ids.  ``model`` is a model file's content, sent along
+    with the tasks; a model of another kind raises ValueError.
     """
+    check_model(model)
     kinds = {"ids": T.ArrayType(T.IntegerType()), "n_tokens": T.LongType(), "ids_sha256": T.StringType(),
              "decoded": T.StringType(), "decoded_sha256": T.StringType()}
     names = [c for c in docs.columns if c.lower() not in outputs]
-    src = docs.select(*[F.col(f"`{c}`") for c in names], F.col(text_col).alias("_in"))
+    src = docs.select(*[F.col(f"`{c}`") for c in names], F.col(text_col).alias(free_name(docs, "_in")))
     schema = T.StructType([docs.schema[c] for c in names] + [T.StructField(o, kinds[o]) for o in outputs])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,9 +386,11 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text",
 
 
 def decode(rows: DataFrame, model: bytes, ids_col: str = "ids") -> DataFrame:
-    """Add ``decoded``, the text of ``ids_col``; a null or empty array is ""."""
+    """Add ``decoded`` (replacing a column of this name), the text of
+    ``ids_col``; a null or empty array is ""."""
     names = [c for c in rows.columns if c.lower() != "decoded"]
-    src = rows.select(*[F.col(f"`{c}`") for c in names], F.col(ids_col).cast("array<int>").alias("_in"))
+    src = rows.select(*[F.col(f"`{c}`") for c in names],
+                      F.col(ids_col).cast("array<int>").alias(free_name(rows, "_in")))
     schema = T.StructType([rows.schema[c] for c in names] + [T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -134,6 +134,72 @@ def test_sentencepiece_equals_the_library(docs, model):
     assert sentencepiece.encode(docs.limit(0), model).count() == 0
 
 
+def test_long_words_equal_the_library_and_other_models_are_refused(spark, model):
+    import sentencepiece as library
+    sp = library.SentencePieceProcessor(model_proto=model)
+    enc = sentencepiece.Encoder(sentencepiece.Vocabulary(model))
+    rnd = random.Random(11)
+    n = sentencepiece.LONG_WORD
+    texts = ["".join(rnd.choice(abc) for _ in range(size)) for size in (n - 2, n - 1, n, n + 1, 3 * n, 20_000)
+             for abc in ("abcdefghijklmnopqrstuvwxyz", "ab", "theinsr", "日本語é😀th", "01▁.ea")]
+    texts += ["ab" * n, "the" * n + "\n" + "y" * n, "a " * n + "q" * 2 * n + " end", "x" * 200_000]
+    ids, k = enc.encode(texts)
+    for t, e, size in zip(texts, np.cumsum(k), k):
+        assert ids[e - size:e].tolist() == sp.encode(t, add_bos=True, add_eos=True), t[:40]
+    cased = spark.createDataFrame([(1, "a b", 2, 3)], "id int, text string, _in int, __IN int")
+    out = sentencepiece.encode(cased, model)
+    assert out.columns == [*cased.columns, "ids", "n_tokens"] and out.first()["_in"] == 2
+    assert sentencepiece.decode(out, model).first().decoded == "a b"
+
+
+def test_other_models_are_refused(model, monkeypatch):
+    sentencepiece.check_model(model)
+    # a table that merges in another order stands for a model of another kind
+    made = sentencepiece.Vocabulary(model)
+    made.ranks = made.ranks[::-1].copy()
+    monkeypatch.setattr(sentencepiece, "Vocabulary", lambda _: made)
+    with pytest.raises(ValueError):
+        sentencepiece.check_model(model)
+
+
+def test_language_words_and_spans_keep_their_places(spark):
+    rows = [(i, "bu güzel bir gün ve sonra eve geldi" if i % 2 else "hello there you are my good old friend",
+             "tr" if i % 2 else "en") for i in range(40)]
+    m = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    text = "İİİ güzel bir gün ve sonra hello there you are my good friend"
+    got = langid.identify(spark.createDataFrame([(text,), ("  12 hello there 3 ",)], "text string"), m).collect()
+    assert [text[s.start:s.end] for s in got[0].spans if s.lang == "en"] == ["hello there you are my good friend"]
+    assert [(s.start, s.end, s.lang) for s in got[1].spans] == [(5, 16, "en")]
+    assert langid.words_of("İx Σ1ß") == ["i̇x", "σ", "ß"]
+
+
+def test_language_word_scores_equal_their_definition(spark):
+    """Smoothed n-gram counts in dictionaries instead of hashed tables."""
+    rows = [(0, "ab ab ba abc", "en"), (1, "xy yx xyz", "de"), (2, "ab xy", "en"), (3, "", "de"), (4, None, "en"),
+            (5, "да нет", "ru")]
+    m = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+
+    def grams(word):
+        marked = f"<{word}>"
+        return [marked] + [marked[i:i + n] for n in m.orders for i in range(len(marked) - n + 1)]
+
+    seen = {lang: [g for _, t, k in rows if k == lang for w in (t or "").split() for g in grams(w)]
+            for lang in m.languages}
+    assert m.languages == ("de", "en", "ru")
+
+    def score(word):
+        cyrillic = word[0] > "z"
+        raw = [sum(math.log((seen[k].count(g) + 0.5) / (len(seen[k]) + 0.5 * len(m.logp))) for g in grams(word))
+               / len(m.orders) if (k == "ru") == cyrillic else -math.inf for k in m.languages]
+        return [max(x - max(raw), -50) for x in raw]
+
+    tested = ["ab", "xy", "abc", "zz", "ab", "да", "x"]
+    scorer = langid.WordScorer(m)
+    at = scorer.rows(tested)
+    assert np.allclose(scorer.scores[at], [score(w) for w in tested], atol=1e-3)
+    assert scorer.known[at].all() and not scorer.known[scorer.rows(["日本"])].any()
+
+
 def brute_components(rows, w):
     sets = {}
     for i, t in rows:
