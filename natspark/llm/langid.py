@@ -99,7 +99,13 @@ def _word_scripts(words: list[str]) -> np.ndarray:
 
 
 def words_of(text: str | None) -> list[str]:
-    return [] if not text else _LETTERS.findall(text.lower())
+    """The words of a text, lower-cased one by one: lower case can be longer,
+    and a word's number must stay that of the word in the text."""
+    if not text:
+        return []
+    if text.isascii():
+        return _LETTERS.findall(text.lower())
+    return [w.lower() for w in _LETTERS.findall(text)]
 
 
 # ------------------------------------------------------------------- training
@@ -256,6 +262,9 @@ SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructF
 
 
 def _spans(text: str, labels: np.ndarray, languages: tuple[str, ...]) -> list[dict]:
+    if len(labels) and (labels == labels[0]).all():      # one span: only its ends are looked for
+        end = next(i for i in range(len(text), 0, -1) if _LETTERS.match(text, i - 1))
+        return [{"start": _LETTERS.search(text).start(), "end": end, "lang": languages[labels[0]]}]
     out: list[dict] = []
     for m, k in zip(_LETTERS.finditer(text), labels):
         if out and out[-1]["lang"] == languages[k]:

@@ -19,7 +19,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.transform("mask", lambda s: F.concat_ws("-", s["start"], s["end"]))
     return (chat.rotate(table(spark, sf_dir, "conversations")).withColumnRenamed("conv", "conv_id")
-            .drop("piece").withColumn("mask", F.array_join(spans, ";")))
+            .withColumn("mask", F.array_join(spans, ";")))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +27,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(id_remainder(F.col("doc_id"), 5) == 0, F.lit(False))
     model = langid.fit(docs.where(id_remainder(F.col("doc_id"), 5) != 0))
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")
-    return langid.identify(rows, model, with_spans=False).drop("text")
+    span = F.transform("spans", lambda s: F.concat(s["start"], F.lit("-"), s["end"], F.lit(":"), s["lang"]))
+    return (langid.identify(rows, model).withColumn("spans", F.array_join(span, ";")).drop("text"))
 
 
 def tokenizer_path() -> str:
@@ -197,15 +198,18 @@ x AS (SELECT t.conv_id, p.speaker, coalesce(turn // 1024, 4611686018427387904) A
              '<|im_start|>' || CASE WHEN who = p.speaker THEN 'assistant' WHEN who = 'system' THEN who
                                     ELSE 'user name=' || replace(who, '<|', '< |') END || chr(10) AS head
       FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
-y AS (SELECT *, row_number() OVER o AS n,
+z AS (SELECT *, row_number() OVER (w ORDER BY turn NULLS LAST, who, body) AS n, count(*) OVER w AS rows_of_part
+      FROM x WINDOW w AS (PARTITION BY conv_id, speaker, part)),
+q AS (SELECT *, CASE WHEN rows_of_part > 1024 THEN (n - 1) // 1024 ELSE 0 END AS piece FROM z),
+y AS (SELECT *,
              coalesce(sum(length(head) + length(body) + 11) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
              + length(head) AS pos
-      FROM x WINDOW o AS (PARTITION BY conv_id, speaker, part ORDER BY turn NULLS LAST, who, body))
-SELECT conv_id, speaker, part, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
+      FROM q WINDOW o AS (PARTITION BY conv_id, speaker, part, piece ORDER BY n))
+SELECT conv_id, speaker, part, CAST(piece AS BIGINT) AS piece, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
        string_agg(head || body || '<|im_end|>' || chr(10), '' ORDER BY n) AS rendered,
        coalesce(string_agg(CAST(pos AS BIGINT) || '-' || CAST(pos + length(body) + 10 AS BIGINT), ';' ORDER BY n)
                 FILTER (own), '') AS mask
-FROM y GROUP BY conv_id, speaker, part
+FROM y GROUP BY conv_id, speaker, part, piece
 """
 
 # The trie from the definition: a node is a depth and the turns so far; what a
