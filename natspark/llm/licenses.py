@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from importlib import resources
 
 import numpy as np
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from natspark.llm.common import materialize
+from natspark.llm.common import free_name, materialize
 
 # Short notices by SPDX identifier.
 TEMPLATES = {
@@ -99,8 +99,9 @@ ALL_TEMPLATES = TEMPLATES | HEADERS | licence_bodies()
 # Fixed value: templates of at most so many terms are looked for in windows of lines.
 SHORT_TERMS = 400
 TAG = re.compile(r"SPDX-License-Identifier:\s*([^\r\n]+)", re.I)
-# Fixed value: a header must hold one of these to be compared.
+# A header is a window of lines that holds one of these; the second may stand across a line end.
 CUE = re.compile(r"licen[cs]e|copyright|permission is|redistribution|public domain|spdx|creative commons", re.I)
+_CUE_OF_TWO = re.compile(r"permission is|public domain|creative commons")
 _TERM = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
 
@@ -124,17 +125,34 @@ class Matcher:
         self.short = [t for t in self.templates if size[t[0]] <= SHORT_TERMS]
         self.long = [(t, size[t[0]]) for t in self.templates if size[t[0]] > SHORT_TERMS]
         self.reach = 1.25 * max((size[n] for n, _ in self.short), default=0)
+        self.is_short = np.array([size[n] <= SHORT_TERMS for n, _ in self.templates], bool)
+        self.row: dict[str, int] = {}
+        for _, v in self.templates:
+            for t in v:
+                self.row.setdefault(t, len(self.row))
+        self.squares = np.zeros((len(self.row), len(self.templates)))
+        for k, (_, v) in enumerate(self.templates):
+            for t, w in v.items():
+                self.squares[self.row[t], k] = w * w
 
     def _unit(self, tf: Counter) -> dict[str, float]:
         v = {t: (1 + math.log(n)) * self.idf.get(t, self.rare) for t, n in tf.items()}
         norm = math.sqrt(sum(x * x for x in v.values()))
         return {t: x / norm for t, x in v.items()} if norm else {}
 
-    def best(self, text: str) -> tuple[str | None, float]:
-        """The template of largest cosine (the first by name among equals)."""
-        v = self._unit(terms(text))
+    def limits(self, used: Iterable[str]) -> np.ndarray:
+        """For each template the most that any window of a text with these
+        terms can have: the norm of the template's part that they cover."""
+        rows = [r for r in map(self.row.get, used) if r is not None]
+        return np.sqrt(self.squares[rows].sum(0))
+
+    def best(self, words: Counter, only: np.ndarray) -> tuple[str | None, float]:
+        """The template of largest cosine (the first by name among equals),
+        of those that ``only`` marks."""
+        v = self._unit(words)
         name, top = None, 0.0
-        for n, t in self.templates:
+        for k in np.flatnonzero(only):
+            n, t = self.templates[k]
             s = sum(w * v.get(k, 0.0) for k, w in t.items())
             if s > top + 1e-12:
                 name, top = n, s
@@ -185,21 +203,48 @@ class Matcher:
                     found = (self.short[n][0], float(cos[k, n]), s, ends[k])
         return found
 
-    def best_body(self, words: list[str]) -> tuple[str | None, float, int, int]:
+    def best_body(self, words: list[str], only: np.ndarray) -> tuple[str | None, float, int, int]:
         """(template, cosine, first term, number of terms) of the best window
-        as long as a licence body, in a text that is longer than the body."""
+        as long as a licence body, in a text that is longer than the body;
+        ``only`` marks the templates to compare, windows begin at every term."""
         found: tuple[str | None, float, int, int] = (None, 0.0, 0, 0)
+        todo = [x for x, ok in zip(self.long, only[~self.is_short]) if ok and len(words) > x[1]]
+        if not todo:
+            return found
         known: dict[str, int] = {}
         ids = np.array([known.setdefault(t, len(known)) for t in words], np.int64)
         names = list(known)
-        for template, n in self.long:
-            for first in (range(0, len(ids) - n + max(1, n // 8), max(1, n // 8)) if len(ids) > n else ()):
-                used, count = np.unique(ids[first:first + n], return_counts=True)
-                s = float(self._cosines(count[None, :], [names[i] for i in used], [template])[0, 0])
-                if s > found[1] + 1e-12:
-                    found = (template[0], s, first, n)
+        for template, n in todo:
+            cos = self._sliding(ids, names, template[1], n)
+            first = int(np.argmax(cos >= cos.max() - 1e-9))
+            used, count = np.unique(ids[first:first + n], return_counts=True)
+            s = float(self._cosines(count[None, :], [names[i] for i in used], [template])[0, 0])
+            if s > found[1] + 1e-12:
+                found = (template[0], s, first, n)
         return found
 
+    def _sliding(self, ids: np.ndarray, names: list[str], template: dict[str, float], n: int) -> np.ndarray:
+        """The cosine of every window of ``n`` terms to a template.
+
+        When a term enters or leaves the window, only its own weight changes:
+        dot product and norm are running sums of these changes."""
+        m = len(ids)
+        idf = np.array([self.idf.get(t, self.rare) for t in names])
+        dot = idf * np.array([template.get(t, 0.0) for t in names])
+        pos = np.argsort(ids, kind="stable")
+        base = ids[pos] * (m + n + 2)
+        key, k = base + pos, np.arange(m)
+        inside = k - np.searchsorted(key, base + pos - n + 1) + 1       # of the term, with the one that enters
+        staying = np.searchsorted(key, base + pos + n) - k              # of the term, with the one that leaves
+        value = np.concatenate([[0.0], 1 + np.log(np.arange(1, n + 1))])
+        sums = []
+        for weight, f in ((dot, value), (idf * idf, value * value)):
+            enter, leave = np.empty(m), np.empty(m)
+            enter[pos] = weight[ids[pos]] * (f[inside] - f[inside - 1])
+            leave[pos] = weight[ids[pos]] * (f[staying - 1] - f[staying])
+            sums.append(np.cumsum(enter)[n - 1:] + np.concatenate([[0.0], np.cumsum(leave)])[:m - n + 1])
+        return sums[0] / np.sqrt(np.maximum(sums[1], 1e-12))
+
 
 def tagged(line: str) -> str | None:
     """The license that an SPDX tag in the line names, if it is one of the
@@ -249,19 +294,22 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
     ``threshold``, or at least ``file_share`` of its terms stand in the match.
 
     Compared are the windows of lines around each line with a cue word, the
-    whole text, and windows as long as each licence body; a known SPDX tag
-    has similarity 1.  Only texts with a cue word are compared.  The best match above
-    ``threshold`` wins; among equals a tag, then the window of lines, the
-    earlier line first, then the whole text.  Columns of the four names are
-    replaced.  A null or empty text has no license.  An empty table gives no
-    rows.
+    whole text, and all windows as long as each licence body; a known SPDX tag
+    has similarity 1.  A template is left out for a text only if the terms of
+    the text cover too little of it to reach ``threshold`` in any window.  The
+    best match of at least ``threshold`` wins; among equals a tag, then the
+    window of lines, the earlier line first, then the whole text.  Without a
+    match ``similarity`` is 0.  Columns of the four names are replaced, others
+    may have any name.  A null or empty text has no license.  An empty table
+    gives no rows.
     """
     df, total = document_frequencies(files, text_col, templates)
     rare = math.log(1 + total)
     idf = {t: math.log((1 + total) / (1 + df.get(t, 0))) + 1 for text in templates.values() for t in terms(text)}
     added = [f.split()[0] for f in SCAN.split(", ")]
     names = [c for c in files.columns if c.lower() not in added and c != text_col]
-    src = files.select(*[F.col(f"`{c}`") for c in names], F.col(path_col).alias("_p"), F.col(text_col).alias("_t"))
+    src = files.select(*[F.col(f"`{c}`") for c in names], F.col(path_col).alias(free_name(files, "_path")),
+                       F.col(text_col).alias(free_name(files, "_text")))
     rule = re.compile(name_rule)
     ids = {spdx(name) for name in templates}
 
@@ -269,20 +317,25 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
         matcher = Matcher(templates, idf, rare + 1)
 
         def one(path: str | None, text: str | None) -> tuple:
-            if not text or not CUE.search(text):
+            words = Counter(_TERM.findall((text or "").lower()))
+            can = matcher.limits(words) >= threshold - 1e-9
+            if not can.any() and not (text and TAG.search(text)):
                 return None, 0.0, None, False
             lines = [x.strip() for x in text.split("\n")]
             lines = [(x, t) for x in lines if (t := _TERM.findall(x.lower()))]
             all_terms = [t for _, x in lines for t in x]
-            cues = [i for i, (x, _) in enumerate(lines) if CUE.search(x)]
-            n, s, i, j = matcher.best_window([t for _, t in lines], cues)
-            best = (n, s, " ".join(x for x, _ in lines[i:j]), sum(len(t) for _, t in lines[i:j]))
+            cues = [i for i, (x, t) in enumerate(lines) if CUE.search(x) or (
+                i + 1 < len(lines) and _CUE_OF_TWO.fullmatch(t[-1] + " " + lines[i + 1][1][0]))]
+            best = (None, 0.0, None, 0)
+            if can[matcher.is_short].any():
+                n, s, i, j = matcher.best_window([t for _, t in lines], cues)
+                best = (n, s, " ".join(x for x, _ in lines[i:j]), sum(len(t) for _, t in lines[i:j]))
             for i in cues:
                 if (n := tagged(lines[i][0])) and n in ids:
                     best = (n, 1.0, lines[i][0], len(lines[i][1]))
                     break
-            whole = matcher.best(text)
-            body = matcher.best_body(all_terms)
+            whole = matcher.best(words, can)
+            body = matcher.best_body(all_terms, can)
             for n, s, first, size in ((*whole, 0, len(all_terms)), body):
                 if s > best[1] + 1e-12:
                     begin, k = 0, 0
@@ -292,7 +345,7 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
             name, top, header, size = best
             top = min(round(top, 12), 1.0)
             if top < threshold:
-                return None, top, None, False
+                return None, 0.0, None, False
             named = bool(rule.match((path or "").rpartition("/")[2]))
             return (spdx(name), top, header,
                     named or whole[1] >= threshold or size / max(1, len(all_terms)) >= file_share)
@@ -314,7 +367,8 @@ def directory(path: Column) -> Column:
 
 def inherit(scanned: DataFrame, path_col: str = "path") -> DataFrame:
     """Add ``effective_license``, ``inherited_from`` (a directory, null if
-    not inherited) and ``depth_up`` (0: the file's own directory).
+    not inherited) and ``depth_up`` (0: the file's own directory), replacing
+    columns of these names; others may have any name.
 
     A directory's license is that of its license files; if they differ, that
     of the best similarity, then the first by name.  A file with a license of
@@ -325,23 +379,23 @@ def inherit(scanned: DataFrame, path_col: str = "path") -> DataFrame:
     with a third of all files costs one row; files then fetch their
     directory's result.
     """
+    here, up, n, lic = (free_name(scanned, x) for x in ("_dir", "_up", "_n", "_license"))
     # the scan has dropped the texts: written once, not run for each join below
-    rows = materialize(scanned.withColumn("_dir", directory(F.col(path_col))), "lic-scanned")
+    rows = materialize(scanned.withColumn(here, directory(F.col(f"`{path_col}`"))), "lic-scanned")
     best = F.min(F.struct((-F.col("similarity")).alias("s"), F.col("license").alias("l")))
-    licensed = materialize(rows.where("is_license_file and _dir is not null")
-                           .groupBy(F.col("_dir").alias("_up")).agg(best["l"].alias("_license")), "lic-dirs")
-    dirs = rows.where("license is null and _dir is not null").select("_dir").distinct()
-    steps = F.split("_dir", "/")
-    depth = F.when(F.col("_dir") == "", 0).otherwise(F.size(steps))
-    above = (dirs.withColumn("_n", F.explode(F.sequence(F.lit(0), depth)))
-             .withColumn("_up", F.when(F.col("_n") < depth, F.array_join(F.slice(steps, F.lit(1), depth - F.col("_n")), "/"))
+    licensed = materialize(rows.where(F.col("is_license_file") & F.col(here).isNotNull())
+                           .groupBy(F.col(here).alias(up)).agg(best["l"].alias(lic)), "lic-dirs")
+    dirs = rows.where(F.col("license").isNull() & F.col(here).isNotNull()).select(here).distinct()
+    steps = F.split(here, "/")
+    depth = F.when(F.col(here) == "", 0).otherwise(F.size(steps))
+    above = (dirs.withColumn(n, F.explode(F.sequence(F.lit(0), depth)))
+             .withColumn(up, F.when(F.col(n) < depth, F.array_join(F.slice(steps, F.lit(1), depth - F.col(n)), "/"))
                          .otherwise(F.lit(""))))
-    nearest = Window.partitionBy("_dir").orderBy("_n")
-    found = materialize(above.join(licensed, "_up").withColumn("_k", F.row_number().over(nearest)).where("_k = 1")
-                        .select("_dir", "_up", "_n", "_license"), "lic-inherited")
+    nearest = Window.partitionBy(here).orderBy(n)
+    found = materialize(above.join(licensed, up).withColumn("k", F.row_number().over(nearest)).where("k = 1")
+                        .select(here, up, n, lic), "lic-inherited")
     own = F.col("license").isNotNull()
-    return (rows.join(found, "_dir", "left")
-            .withColumn("effective_license", F.coalesce("license", "_license"))
-            .withColumn("inherited_from", F.when(~own, F.col("_up")))
-            .withColumn("depth_up", F.when(~own, F.col("_n").cast("long")))
-            .drop("_dir", "_up", "_n", "_license"))
+    added = {"effective_license": F.coalesce(F.col("license"), F.col(lic)), "inherited_from": F.when(~own, F.col(up)),
+             "depth_up": F.when(~own, F.col(n).cast("long"))}
+    kept = [F.col(f"`{c}`") for c in scanned.columns if c.lower() not in added]
+    return rows.join(found, here, "left").select(*kept, *[c.alias(name) for name, c in added.items()])

@@ -197,7 +197,8 @@ def test_language_word_scores_equal_their_definition(spark):
     scorer = langid.WordScorer(m)
     at = scorer.rows(tested)
     assert np.allclose(scorer.scores[at], [score(w) for w in tested], atol=1e-3)
-    assert scorer.known[at].all() and not scorer.known[scorer.rows(["日本"])].any()
+    strange = scorer.rows(["日本"])
+    assert scorer.known[at].all() and not scorer.known[strange].any()
 
 
 def brute_components(rows, w):
@@ -455,6 +456,118 @@ def test_licenses_of_wrapped_headers_whole_texts_and_tags(spark):
     assert {r[0]: got[r[0]] for r in rows} == {r[0]: r[2:] for r in rows}
 
 
+def plain_cosine(a, b, idf, rare):
+    def weights(tf):
+        return {t: (1 + math.log(n)) * idf.get(t, rare) for t, n in tf.items()}
+    a, b = weights(a), weights(b)
+    norm = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+    return sum(x * b.get(t, 0.0) for t, x in a.items()) / norm if norm else 0.0
+
+
+def test_license_bodies_are_compared_at_every_term():
+    rnd = random.Random(4)
+    vocab = [f"w{i}" for i in range(40)]
+    body = [rnd.choice(vocab) for _ in range(licenses.SHORT_TERMS + 20)]
+    idf = {t: 1 + rnd.random() * 3 for t in vocab}
+    m = licenses.Matcher({"X (text)": " ".join(body)}, idf, 4.5)
+    for before, after in ((0, 1), (7, 5), (133, 60)):
+        changed = [t if rnd.random() > 0.2 else f"z{rnd.randrange(9)}" for t in body]
+        text = [f"z{rnd.randrange(30)}" for _ in range(before)] + changed + [rnd.choice(vocab) for _ in range(after)]
+        got = m.best_body(text, np.array([True]))
+        size = len(body)
+        all_of = [plain_cosine(licenses.Counter(text[i:i + size]), licenses.Counter(body), idf, 4.5)
+                  for i in range(len(text) - size + 1)]
+        assert abs(got[1] - max(all_of)) < 1e-9 and abs(all_of[got[2]] - max(all_of)) < 1e-9 and got[3] == size
+    assert m.best_body(body, np.array([True])) == (None, 0.0, 0, 0)      # no longer than the body
+
+
+def test_license_scan_and_inheritance_equal_brute_force(spark):
+    rnd = random.Random(12)
+    templates = {"A-1": "released under the alpha license version one", "B-2": "beta public domain notice two two",
+                 "C-3": "permission is given by gamma to all", "A-1 (long)": "this file may be used under the alpha "
+                 "license if the notice of the alpha license and its version one stay in all copies"}
+    pool = sorted({w for t in templates.values() for w in t.split()}) + ["noise", "other", "words", "copyright"]
+    files = []
+    for i in range(150):
+        t = rnd.choice(list(templates.values())).split()
+        t = [w if rnd.random() > 0.2 else rnd.choice(pool) for w in t]
+        t = [rnd.choice(pool) for _ in range(rnd.randrange(12))] + t + [rnd.choice(pool) for _ in range(rnd.randrange(12))]
+        text = "".join(w + rnd.choice([" ", " ", " ", "\n", "\n# "]) for w in t)
+        path = "/".join([rnd.choice("abc") for _ in range(rnd.randrange(4))] + [rnd.choice(["LICENSE", "x.c", "y.c"])])
+        files.append((i, path, text))
+    files += [(200, "a/b/c/deep/er/z.c", "plain words"), (201, None, templates["A-1"]), (202, "LICENSE", ""), (203, "q/z.c", None)]
+    names = ["_dir", "_n", "_up", "_license", "_p", "_t", "_path", "_text", "k", "depth_up"]
+    df = spark.createDataFrame([(*f, *[7] * len(names)) for f in files],
+                               "i int, path string, text string, " + ", ".join(f"{c} int" for c in names)).repartition(3)
+    out = licenses.inherit(licenses.scan(df, templates=templates, threshold=0.7))
+    assert out.columns == ["i", "path", *names[:-1], "license", "similarity", "header", "is_license_file",
+                           "effective_license", "inherited_from", "depth_up"]
+    got = {r.i: r for r in out.collect()}
+    assert len(got) == len(files) and all(r._dir == r._n == r._license == r.k == 7 for r in got.values())
+
+    total = len(files)
+    idf = {w: math.log((1 + total) / (1 + sum(w in licenses.terms(t or "") for _, _, t in files))) + 1
+           for x in templates.values() for w in licenses.terms(x)}
+    rare = math.log(1 + total) + 1
+    most = 1.25 * max(len(t.split()) for t in templates.values())
+    want = {}
+    for i, path, text in files:
+        lines = [x for x in (text or "").split("\n") if licenses.terms(x)]
+        cue = [bool(re.search("license|copyright|permission is|public domain", x)) or
+               (k + 1 < len(lines) and (x.split()[-1], re.sub("^# *", "", lines[k + 1]).split()[0])
+                in {("permission", "is"), ("public", "domain")}) for k, x in enumerate(lines)]
+        windows = [licenses.terms(text or "")]
+        for s in range(len(lines)):
+            for e in range(s + 1, len(lines) + 1):
+                size = sum(sum(licenses.terms(x).values()) for x in lines[s:e])
+                if any(cue[s:e]) and (size <= most or e == s + 1 or (e == s + 2 and cue[s])):
+                    windows.append(licenses.terms("\n".join(lines[s:e])))
+        scores = {n: max(plain_cosine(w, licenses.terms(t), idf, rare) for w in windows) for n, t in templates.items()}
+        top = max(scores.values())
+        if top >= 0.7:
+            want[i] = ({n.partition(" (")[0] for n, v in scores.items() if v > top - 1e-9}, top)
+    assert 20 < len(want) < 150
+    for i, path, text in files:
+        r = got[i]
+        assert (r.license is not None) == (i in want), (i, text)
+        if i in want:
+            assert r.license in want[i][0] and abs(r.similarity - want[i][1]) < 1e-9
+        else:
+            assert r.similarity == 0
+        if r.license is not None:
+            assert (r.effective_license, r.inherited_from, r.depth_up) == (r.license, None, None)
+            continue
+        folder, up = (path.rpartition("/")[0], 0) if path is not None else (None, 0)
+        expected = (None, None, None)
+        while folder is not None:
+            here = sorted((-x.similarity, x.license) for x in got.values()
+                          if x.is_license_file and x.path is not None and x.path.rpartition("/")[0] == folder)
+            if here:
+                expected = (here[0][1], folder, up)
+                break
+            folder, up = (folder.rpartition("/")[0], up + 1) if folder else (None, up)
+        assert (r.effective_license, r.inherited_from, r.depth_up) == expected, path
+
+
+def test_warc_revisits_equal_brute_force(spark):
+    rnd = random.Random(2)
+    rows = [(rnd.choice([None, *range(40)]) if rnd.random() < 0.1 else i, f"u{i}", rnd.choice([None, "", "a", "é", "x" * 999, f"own {i}"]))
+            for i in range(200)]
+    for least in (0, 2):
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+        index, folder = warc.bundle(pages, min_bytes=least)
+        got = sorted(((r.url, r.page_id, r.record_type, r.refers_to, r.payload_bytes, r.payload)
+                      for r in warc.read_archives(index, folder).collect()), key=lambda r: r[0])
+        want = []
+        for i, url, html in rows:
+            body = (html or "").encode()
+            ids = [j for j, _, h in rows if (h or "") == (html or "") and j is not None]
+            refers = min(ids) if ids and len(body) >= least and i != min(ids) else None
+            want.append((url, i, "response" if refers is None else "revisit", refers, len(body),
+                         body if refers is None else None))
+        assert got == sorted(want, key=lambda r: r[0])
+
+
 def test_warc_round_trip_and_random_access(spark, tmp_path):
     pages = spark.createDataFrame([(3, "u3", "same", 1), (1, "u\n1%", "same", 1), (2, "u2", None, 1), (5, None, "", 1),
                                    (7, "u7", "é" * 3_000_000, 1), (None, "u", "same", 1), (9, "u9", "alone", 1)],
