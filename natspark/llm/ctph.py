@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from natspark.llm.common import materialize, span_hashes
@@ -190,6 +190,11 @@ def _compare(ids: list, texts: list[str], following: list[str]) -> pa.RecordBatc
         ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
 
+def _begin(text_col: str) -> Column:
+    """The first 64 characters: a short key in the order of the texts."""
+    return F.substring(text_col, 1, 64)
+
+
 def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                chunk_chars: int = 1 << 20) -> DataFrame:
     """Fingerprint every text, its edit by the next text, and compare.
@@ -198,12 +203,13 @@ def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ids first); after the last comes the first.  A null text is empty.  An
     empty table gives no rows; a single row is its own next.
 
-    The texts cross one range shuffle and are then read in order, so a task
-    holds a chunk of them; only the seams between the sorted partitions, two
-    rows for each, are joined afterwards.
+    The texts cross one range shuffle, by id and the begin of the text, so an
+    id (or no id) that a third of the rows share is many tasks.  They are then
+    read in order and a task holds a chunk of them; only the seams between the
+    sorted partitions, two rows for each, are joined afterwards.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    ordered = rows.repartitionByRange(F.col("id"), _begin("text")).sortWithinPartitions("id", "text")
     seam = ("struct<first_id:bigint,first:string,last_id:bigint,last:string>")
     fields = [f.split() for f in RESULT.split(", ")]
     arrow = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
@@ -239,20 +245,17 @@ def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([*(pa.nulls(1, arrow[f[1]]) for f in fields), seams], names)
 
     found = materialize(ordered.mapInArrow(run, RESULT + f", seam {seam}"), "ctph")
-    seams = found.where("seam is not null").select("seam.*")
-    # One row per partition, ids only: which partition follows which.
-    by_id = Window.orderBy("first_id")
-    whole = by_id.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    order = (seams.select("first_id", "last_id")
-             .withColumn("next_id", F.lead("first_id").over(by_id))
-             .withColumn("is_last", F.row_number().over(by_id) == F.count("*").over(whole))
-             .withColumn("next_id", F.when(F.col("is_last"), F.first("first_id").over(whole))
-                         .otherwise(F.col("next_id"))))
-    heads = seams.select(F.col("first_id").alias("h"), "first")
-    ends = (seams.select(F.col("first_id").alias("s"), "last").join(
-        order, F.col("s").eqNullSafe(F.col("first_id")))
-        .join(heads, F.col("next_id").eqNullSafe(F.col("h")))
-        .select(F.col("last_id").alias("id"), "last", "first"))
+    seams = found.where("seam is not null").select("seam.*").withColumn("begin", _begin("first"))
+    # One row per partition, ids and begins only: which partition follows which.
+    in_order = Window.orderBy("first_id", "begin")
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    here, head = F.struct("first_id", "begin"), F.first(F.struct("first_id", "begin")).over(whole)
+    order = seams.select(here.alias("s"), F.coalesce(F.lead(here).over(in_order), head).alias("next"))
+    heads = seams.select(here.alias("h"), "first")
+    ends = (seams.select(here.alias("here"), "last_id", "last")
+            .join(order, F.col("here").eqNullSafe(F.col("s")))
+            .join(heads, F.col("next").eqNullSafe(F.col("h")))
+            .select(F.col("last_id").alias("id"), "last", "first"))
 
     def run_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
