@@ -30,6 +30,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 INDEX_SCHEMA = ("page_id long, archive string, frame int, frame_at long, frame_bytes long, "
                 "record_at long, record_bytes long")
+# Fixed value: so many payloads, those with most pages, meet their pages by a broadcast.
+HOT_PAYLOADS = 256
 RECORD_SCHEMA = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
                  "refers_to long, payload binary")
 
@@ -189,10 +191,15 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", payload_col: str =
     rows = rows.withColumn("sha", F.sha1(F.col("payload").cast("binary")))
     several = (rows.where(F.octet_length("payload") >= min_bytes).groupBy("sha")
                .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null"))
-    several = materialize(several.select("sha", "first"), "warc-first")
-    return rows.join(several, "sha", "left").select(
-        "page_id", "url", "payload",
-        F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
+    several = materialize(several, "warc-first")
+    # The payloads with most pages meet their pages by a broadcast of a stated
+    # number of rows and cross no shuffle; no other has a large share of all.
+    hot = F.broadcast(materialize(several.orderBy(F.desc("n"), "sha").limit(HOT_PAYLOADS).select("sha", "first"), "warc-hot"))
+    others = several.select("sha", "first").join(hot, "sha", "left_anti")
+    met = (rows.join(hot, "sha")
+           .unionByName(rows.join(hot, "sha", "left_anti").join(others, "sha", "left")))
+    return met.select("page_id", "url", "payload",
+                      F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
 
 
 def write_archives(records: DataFrame, folder: str, frame_bytes: int = 1 << 20, level: int = 3,
