@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from natspark.llm.common import free_name, materialize
+from natspark.operators.joins import skew_join
 
 # Short notices by SPDX identifier.
 TEMPLATES = {
@@ -377,9 +378,9 @@ def inherit(scanned: DataFrame, path_col: str = "path") -> DataFrame:
 
     Ancestors are joined per distinct directory, not per file, so a directory
     with a third of all files costs one row; files then fetch their
-    directory's result.
+    directory's result, those of a hot directory by a broadcast of its row.
     """
-    here, up, n, lic = (free_name(scanned, x) for x in ("_dir", "_up", "_n", "_license"))
+    here, of, up, n, lic = (free_name(scanned, x) for x in ("_dir", "_of", "_up", "_n", "_license"))
     # the scan has dropped the texts: written once, not run for each join below
     rows = materialize(scanned.withColumn(here, directory(F.col(f"`{path_col}`"))), "lic-scanned")
     best = F.min(F.struct((-F.col("similarity")).alias("s"), F.col("license").alias("l")))
@@ -393,9 +394,9 @@ def inherit(scanned: DataFrame, path_col: str = "path") -> DataFrame:
                          .otherwise(F.lit(""))))
     nearest = Window.partitionBy(here).orderBy(n)
     found = materialize(above.join(licensed, up).withColumn("k", F.row_number().over(nearest)).where("k = 1")
-                        .select(here, up, n, lic), "lic-inherited")
+                        .select(F.col(here).alias(of), up, n, lic), "lic-inherited")
     own = F.col("license").isNotNull()
     added = {"effective_license": F.coalesce(F.col("license"), F.col(lic)), "inherited_from": F.when(~own, F.col(up)),
              "depth_up": F.when(~own, F.col(n).cast("long"))}
     kept = [F.col(f"`{c}`") for c in scanned.columns if c.lower() not in added]
-    return rows.join(found, here, "left").select(*kept, *[c.alias(name) for name, c in added.items()])
+    return skew_join(rows, found, here, of, "left").select(*kept, *[c.alias(name) for name, c in added.items()])

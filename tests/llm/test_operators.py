@@ -581,3 +581,16 @@ def test_warc_round_trip_and_random_access(spark, tmp_path):
     assert [r.page_id for r in warc.fetch(index.where("page_id = 9"), folder).collect()] == [9]
     empty, where = warc.bundle(pages.limit(0), folder=str(tmp_path / "e"))
     assert warc.read_archives(empty, where).count() == 0
+
+
+def test_files_of_a_hot_directory_inherit(spark):
+    rows = [(f"big/src/f{i}.py", None, 0.0, False) for i in range(300)] + [(f"d{i}/x/y.py", None, 0.0, False) for i in range(40)] \
+        + [("big/LICENSE", "MIT", 1.0, True), ("d7/LICENSE", "ISC", 0.9, True), (None, None, 0.0, False)]
+    scanned = spark.createDataFrame(rows, "path string, license string, similarity double, is_license_file boolean")
+    got = {r.path: (r.effective_license, r.inherited_from, r.depth_up)
+           for r in licenses.inherit(scanned.withColumn("_of", F.lit(1)).repartition(5)).collect()}
+    assert len(got) == len(rows) and got[None] == (None, None, None)
+    for path, own, *_ in rows[:-1]:
+        top = path.split("/")[0]
+        lic = {"big": "MIT", "d7": "ISC"}.get(top)
+        assert got[path] == ((own, None, None) if own else (lic, top if lic else None, 1 if lic else None)), path
